@@ -1 +1,14 @@
-"""Column functions: lines, records, times, attributes and message text."""
+"""SQL expressions for lines, records, times, attributes and message text.
+
+The functions take column names or SQL text and give SQL text, for `selectExpr` or `functions.expr`.
+One text reaches the session in one call, however large the expression is.
+"""
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted_list(texts) -> str:
+    return ", ".join(quoted(t) for t in texts)

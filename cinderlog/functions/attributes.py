@@ -2,51 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
+from cinderlog.functions import quoted
 from cinderlog.schema import ATTRIBUTE_TYPE
 
 _LIST = ATTRIBUTE_TYPE.simpleString()
 
 
-def _attribute(log_id: Column, key: Column, value: Column, number: Column | None = None) -> Column:
-    return F.struct(
-        (F.lit(None).cast("bigint") if number is None else number).alias("id"),
-        log_id.alias("logId"), key.alias("key"), value.alias("value"),
-    )
+def _attribute(number: str, log_id: str, key: str, value: str) -> str:
+    return f"named_struct('id', {number}, 'logId', {log_id}, 'key', {key}, 'value', {value})"
 
 
-def parse_attributes(text: Column, log_id: Column) -> Column:
+def parse_attributes(text: str, log_id: str) -> str:
     """Attribute text to a list: a JSON object, or `k=v` pairs parted by blanks or commas.
 
     A word without `=` becomes a key without a value. Unreadable JSON gives NULL.
     """
-    trimmed = F.trim(text)
-    words = F.filter(F.split(trimmed, r"[\s,]+"), lambda w: w != "")
-    pairs = F.transform(
-        words,
-        lambda w: _attribute(
-            log_id,
-            F.substring_index(w, "=", 1),
-            F.when(F.contains(w, F.lit("=")), F.substr(w, F.instr(w, "=") + 1)),
-        ),
+    none = "CAST(NULL AS BIGINT)"
+    value = "CASE WHEN contains(w, '=') THEN substr(w, instr(w, '=') + 1) END"
+    pair = _attribute(none, log_id, "substring_index(w, '=', 1)", value)
+    words = f"filter(split({text}, {quoted(r'[\s,]+')}), w -> w <> '')"
+    entries = f"map_entries(from_json({text}, 'map<string,string>', map('allowSingleQuotes', 'false')))"
+    member = _attribute(none, log_id, "e.key", "e.value")
+    return (
+        f"CASE WHEN startswith(ltrim({text}), '{{') THEN CAST(transform({entries}, e -> {member}) AS {_LIST}) "
+        f"ELSE CAST(transform({words}, w -> {pair}) AS {_LIST}) END"
     )
-    entries = F.map_entries(F.from_json(trimmed, "map<string,string>", {"allowSingleQuotes": "false"}))
-    from_object = F.transform(entries, lambda e: _attribute(log_id, e["key"], e["value"]))
-    return F.when(trimmed.startswith("{"), from_object).otherwise(pairs).cast(_LIST)
 
 
-def attribute_number(text: Column) -> Column:
+def attribute_number(text: str) -> str:
     """Attribute id from its JSON text; a fraction is cut off."""
-    return F.nullif(F.trim(text), F.lit("")).try_cast("decimal(38,9)").try_cast("bigint")
+    return f"try_cast(try_cast(nullif(trim({text}), '') AS DECIMAL(38,9)) AS BIGINT)"
 
 
-def from_attribute_maps(maps: Column) -> Column:
+def from_attribute_maps(maps: str) -> str:
     """List of JSON objects, read as string maps, to the typed attribute list."""
-    return F.transform(
-        maps,
-        lambda m: F.when(
-            m.isNotNull(),
-            _attribute(m["logId"], m["key"], m["value"], attribute_number(m["id"])),
-        ),
-    ).cast(_LIST)
+    member = _attribute(attribute_number("m['id']"), "m['logId']", "m['key']", "m['value']")
+    return f"CAST(transform({maps}, m -> CASE WHEN m IS NOT NULL THEN {member} END) AS {_LIST})"

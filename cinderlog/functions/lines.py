@@ -2,33 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
+from cinderlog.functions import quoted
 from cinderlog.schema import CSV_LINE_FIELDS, CSV_LINE_RE, LOG_LINE_FIELDS, LOG_LINE_RE
 
-_MARK = "\u0001"
+_MARK = "\\u0001"
 
 
-def _captures(line: Column, pattern: str, count: int) -> Column:
+def _captures(line: str, pattern: str, count: int) -> str:
     """Array of the pattern's groups, NULL where the line does not match.
 
     One replacement writes all groups with a mark between them. A line that holds the mark itself
     is cut group by group instead.
     """
-    joined = _MARK.join(f"${i}" for i in range(1, count + 1))
-    cut = F.split(F.regexp_replace(line, pattern, joined), _MARK, -1)
-    slow = F.array(*[F.regexp_extract(line, pattern, i) for i in range(1, count + 1)])
-    return F.when(line.rlike(pattern), F.when(F.contains(line, F.lit(_MARK)), slow).otherwise(cut))
+    pattern = quoted(pattern)
+    groups = range(1, count + 1)
+    joined = _MARK.join(f"${i}" for i in groups)
+    slow = ", ".join(f"regexp_extract({line}, {pattern}, {i})" for i in groups)
+    return (
+        f"CASE WHEN NOT {line} RLIKE {pattern} THEN NULL WHEN contains({line}, '{_MARK}') THEN array({slow}) "
+        f"ELSE split(regexp_replace({line}, {pattern}, '{joined}'), '{_MARK}', -1) END"
+    )
 
 
-def log_line_captures(line: Column) -> Column:
+def log_line_captures(line: str) -> str:
     return _captures(line, LOG_LINE_RE, len(LOG_LINE_FIELDS))
 
 
-def csv_line_captures(line: Column) -> Column:
+def csv_line_captures(line: str) -> str:
     return _captures(line, CSV_LINE_RE, len(CSV_LINE_FIELDS))
 
 
-def captured_fields(captures: Column, names: tuple[str, ...]) -> dict[str, Column]:
-    """Captures by field name; an empty capture counts as absent."""
-    return {name: F.nullif(captures[i], F.lit("")) for i, name in enumerate(names)}
+def _named(captures: str, names: tuple[str, ...]) -> dict[str, str]:
+    return {name: f"nullif({captures}[{i}], '')" for i, name in enumerate(names)}
+
+
+def log_fields(captures: str) -> dict[str, str]:
+    """Captures of a log line by field name; an empty capture counts as absent."""
+    return _named(captures, LOG_LINE_FIELDS)
+
+
+def csv_fields(captures: str) -> dict[str, str]:
+    """Captures of a comma-separated line by field name; an empty capture counts as absent."""
+    return _named(captures, CSV_LINE_FIELDS)

@@ -2,133 +2,113 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, functions as F
-
+from cinderlog.functions import quoted, quoted_list
+from cinderlog.functions.attributes import attribute_number
 from cinderlog.functions.times import epoch_decimal, iso_instant
-from cinderlog.schema import (
-    ATTRIBUTE_FIELDS, COLUMN_BY_FIELD, EVENT_FIELDS, MAX_RECORD_BYTES,
-)
+from cinderlog.schema import ATTRIBUTE_FIELDS, COLUMN_BY_FIELD, EVENT_FIELDS
 
 TEXT_FIELDS = tuple(f for f in EVENT_FIELDS if f != "attributes")
 TIME_FIELDS = ("timestamp", "ingestionTimestamp")
-_CORRUPT = "_corrupt"
 _TEXT_DDL = ", ".join(f"{f} string" for f in TEXT_FIELDS)
-_ATTRIBUTES_DDL = "attributes array<map<string,string>>"
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+_STRICT = "'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false'"
 
 
-def _read(value: Column, ddl: str) -> Column:
-    return F.from_json(
-        value, f"{ddl}, {_CORRUPT} string",
-        {**_STRICT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
-    )
+def _read(value: str, ddl: str) -> str:
+    options = f"map({_STRICT}, 'mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '_corrupt')"
+    return f"from_json({value}, '{ddl}, _corrupt string', {options})"
 
 
-def read_record(value: Column) -> Column:
-    """The twelve fields as text (attributes as string maps), plus the corrupt text."""
-    return _read(value, f"{_TEXT_DDL}, {_ATTRIBUTES_DDL}")
+def _typed(value: str, ddl: str) -> str:
+    return f"from_json({value}, '{ddl}', map({_STRICT}))"
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def read_record(value: str) -> str:
+    """The twelve fields as text (attributes as string maps), plus the corrupt text."""
+    return _read(value, f"{_TEXT_DDL}, attributes array<map<string,string>>")
 
 
-def _opens_nested(text: Column) -> Column:
-    return text.startswith("{") | text.startswith("[")
+def is_empty(value: str) -> str:
+    return f"({value} IS NULL OR {value} RLIKE {quoted(r'^\s*$')})"
 
 
-def _is_nested(variant: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(variant).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+def is_broken(value: str, rec: str) -> str:
+    """Not one JSON object. A record that only fails on its attributes is not broken."""
+    return (
+        f"(({rec} IS NULL OR {rec}._corrupt IS NOT NULL) "
+        f"AND coalesce({_read(value, _TEXT_DDL)}._corrupt IS NOT NULL, true))"
+    )
 
 
-def is_empty(value: Column) -> Column:
-    return value.isNull() | value.rlike(r"^\s*$")
+def has_unknown_field(value: str, rec: str) -> str:
+    nested = f"exists(map_keys(m), k -> k NOT IN ({quoted_list(ATTRIBUTE_FIELDS)}))"
+    return (
+        f"(coalesce(exists(json_object_keys({value}), k -> k NOT IN ({quoted_list(EVENT_FIELDS)})), false) "
+        f"OR coalesce(exists({rec}.attributes, m -> coalesce({nested}, false)), false))"
+    )
 
 
-def is_broken(value: Column, rec: Column) -> Column:
-    """Not one JSON object. A record that only fails on its attributes is not broken."""
-    corrupt = rec[_CORRUPT].isNotNull() | rec.isNull()
-    return corrupt & F.coalesce(_read(value, _TEXT_DDL)[_CORRUPT].isNotNull(), F.lit(True))
+def _opens_nested(text: str) -> str:
+    return f"startswith({text}, '{{') OR startswith({text}, '[')"
 
 
-def has_unknown_field(value: Column, rec: Column) -> Column:
-    top = F.exists(F.json_object_keys(value), lambda k: ~k.isin(*EVENT_FIELDS))
-    nested = F.exists(
-        rec["attributes"],
-        lambda m: F.coalesce(F.exists(F.map_keys(m), lambda k: ~k.isin(*ATTRIBUTE_FIELDS)), F.lit(False)),
-    )
-    return F.coalesce(top, F.lit(False)) | F.coalesce(nested, F.lit(False))
+def _is_nested(variant: str) -> str:
+    return f"coalesce(schema_of_variant({variant}) RLIKE '^(OBJECT|ARRAY)', false)"
 
 
-def has_nested_text(value: Column, rec: Column) -> Column:
+def has_nested_text(value: str, rec: str) -> str:
     """A field that takes text was given an object or a list.
 
     Reading has turned those into text. Only records with text that starts like one are read again,
     this time keeping the JSON types.
     """
-    typed = F.from_json(value, ", ".join(f"{f} variant" for f in TEXT_FIELDS), _STRICT)
-    looks_nested = _any([F.coalesce(_opens_nested(rec[f]), F.lit(False)) for f in TEXT_FIELDS])
-    return looks_nested & _any([_is_nested(typed[f]) for f in TEXT_FIELDS])
+    looks = " OR ".join(f"coalesce({_opens_nested(f'{rec}.{f}')}, false)" for f in TEXT_FIELDS)
+    typed = _typed(value, ", ".join(f"{f} variant" for f in TEXT_FIELDS))
+    nested = " OR ".join(_is_nested(f"t.{f}") for f in TEXT_FIELDS)
+    return f"(({looks}) AND exists(array({typed}), t -> {nested}))"
 
 
-def has_bad_attributes(value: Column, rec: Column) -> Column:
+def has_bad_attributes(value: str, rec: str) -> str:
     """Attributes are no list of objects, an id is no number, or a text field in them is nested."""
-    def bad(m: Column) -> Column:
-        given = F.nullif(F.trim(m["id"]), F.lit("")).isNotNull()
-        unread = m["id"].try_cast("decimal(38,9)").try_cast("bigint").isNull()
-        return F.coalesce(given & unread, F.lit(False))
-
-    looks_nested = F.exists(
-        rec["attributes"], lambda m: F.coalesce(F.exists(F.map_values(m), _opens_nested), F.lit(False))
-    )
-    typed = F.from_json(value, "attributes array<map<string,variant>>", _STRICT)["attributes"]
-    nested = F.exists(
-        typed, lambda m: F.coalesce(F.exists(F.map_values(m), _is_nested), F.lit(False))
-    )
-    no = F.lit(False)
+    number = f"coalesce(nullif(trim(m['id']), '') IS NOT NULL AND {attribute_number("m['id']")} IS NULL, false)"
+    looks = f"coalesce(exists(map_values(m), v -> {_opens_nested('v')}), false)"
+    nested = f"coalesce(exists(map_values(m), v -> {_is_nested('v')}), false)"
+    typed = f"{_typed(value, 'attributes array<map<string,variant>>')}.attributes"
     return (
-        rec[_CORRUPT].isNotNull()
-        | F.coalesce(F.exists(rec["attributes"], bad), no)
-        | (F.coalesce(looks_nested, no) & F.coalesce(nested, no))
+        f"({rec}._corrupt IS NOT NULL OR coalesce(exists({rec}.attributes, m -> {number}), false) "
+        f"OR (coalesce(exists({rec}.attributes, m -> {looks}), false) "
+        f"AND coalesce(exists({typed}, m -> {nested}), false)))"
     )
 
 
-def exact_number(value: Column, field: str) -> Column:
+def exact_number(value: str, field: str) -> str:
     """A JSON number with up to nine decimals, read without going through a double."""
-    typed = F.from_json(value, f"{field} variant", _STRICT)[field]
-    return F.try_variant_get(typed, "$", "decimal(38,9)")
-
+    return f"try_variant_get({_typed(value, f'{field} variant')}.{field}, '$', 'decimal(38,9)')"
 
-def is_oversize(value: Column, limit: int = MAX_RECORD_BYTES) -> Column:
-    return F.octet_length(value) > limit
 
-
-def read_bodies(body: Column) -> Column:
+def read_bodies(body: str) -> str:
     """A request body, a JSON array of objects, to a list of maps that keep nested values and key order."""
-    return F.from_json(body, "array<map<string,variant>>", _STRICT)
+    return _typed(body, "array<map<string,variant>>")
 
 
-def without_key(record: Column, key: str) -> Column:
-    return F.map_filter(record, lambda k, v: k != key)
+def without_key(record: str, key: str) -> str:
+    return f"map_filter({record}, (k, v) -> k <> {quoted(key)})"
 
 
-def event_document(time_form: str = "epoch") -> Column:
+def event_document(time_form: str = "epoch") -> str:
     """Struct of the event columns under the record's field names, in order.
 
     `epoch` writes times as decimal seconds, `iso` as text in UTC.
     """
     form = {"epoch": epoch_decimal, "iso": iso_instant}[time_form]
-    return F.struct(*[
-        (form(F.col(c)) if f in TIME_FIELDS else F.col(c)).alias(f) for f, c in COLUMN_BY_FIELD.items()
-    ])
+    return "named_struct({})".format(
+        ", ".join(f"'{f}', {form(c) if f in TIME_FIELDS else c}" for f, c in COLUMN_BY_FIELD.items())
+    )
 
 
-def to_document(struct: Column) -> Column:
+def to_document(struct: str) -> str:
     """JSON text with absent fields written as null."""
-    return F.to_json(struct, {"ignoreNullFields": "false"})
+    return f"to_json({struct}, map('ignoreNullFields', 'false'))"
 
 
-def document_size(document: Column) -> Column:
-    return F.octet_length(document).cast("bigint")
+def document_size(document: str) -> str:
+    return f"CAST(octet_length({document}) AS BIGINT)"

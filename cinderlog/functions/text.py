@@ -2,34 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
 
+from cinderlog.functions import quoted, quoted_list
 
-def tokens(text: Column) -> Column:
+
+def tokens(text: str) -> str:
     """Lower-case words made of ASCII letters."""
-    return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda w: w != "")
+    return f"filter(split(lower({text}), '[^a-z]+'), w -> w <> '')"
 
 
-def _terms(terms: list[str]) -> Column:
+def _terms(terms: Sequence[str]) -> str:
     wanted = sorted({t.lower() for t in terms})
     if not wanted:
         raise ValueError("no search terms given")
-    return F.array(*[F.lit(t) for t in wanted])
+    return quoted_list(wanted)
 
 
-def match_any(token_list: Column, terms: list[str]) -> Column:
-    return F.arrays_overlap(token_list, _terms(terms))
+def match_any(token_list: str, terms: Sequence[str]) -> str:
+    return f"arrays_overlap({token_list}, array({_terms(terms)}))"
 
 
-def match_all(token_list: Column, terms: list[str]) -> Column:
-    return F.size(F.array_except(_terms(terms), token_list)) == 0
+def match_all(token_list: str, terms: Sequence[str]) -> str:
+    return f"size(array_except(array({_terms(terms)}), {token_list})) = 0"
 
 
-def match_count(token_list: Column, terms: list[str]) -> Column:
+def match_count(token_list: str, terms: Sequence[str]) -> str:
     """How many tokens are among the terms, repeats included."""
-    wanted = sorted({t.lower() for t in terms})
-    return F.size(F.filter(token_list, lambda w: w.isin(*wanted))).cast("bigint")
+    return f"CAST(size(filter({token_list}, w -> w IN ({_terms(terms)}))) AS BIGINT)"
 
 
-def match_phrase(text: Column, phrase: str) -> Column:
-    return F.contains(F.lower(text), F.lit(phrase.lower()))
+def match_phrase(text: str, phrase: str) -> str:
+    return f"contains(lower({text}), {quoted(phrase.lower())})"

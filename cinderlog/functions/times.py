@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from cinderlog.functions import quoted
 
 # An instant needs a zone; the line format has whole seconds in UTC.
 INSTANT_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})$"
@@ -13,51 +13,51 @@ DATE_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "HH:mm:ss"
 
 
-def parse_log_time(text: Column) -> Column:
+def parse_log_time(text: str) -> str:
     """Time of a log line, `2026-07-17T10:25:30Z`; anything else gives NULL."""
-    return F.when(text.rlike(LOG_TIME_RE), text.try_cast("timestamp"))
+    return f"CASE WHEN {text} RLIKE {quoted(LOG_TIME_RE)} THEN try_cast({text} AS TIMESTAMP) END"
 
 
-def parse_instant(text: Column) -> Column:
-    """ISO time with a zone. The guard keeps out dates and zoneless times, which the cast would take."""
-    with_colon = F.when(
-        text.rlike(r"[+-]\d{4}$"), F.regexp_replace(text, r"(\d{2})(\d{2})$", "$1:$2")
-    ).otherwise(text)
-    return F.when(text.rlike(INSTANT_RE), with_colon.try_cast("timestamp"))
+def parse_instant(text: str) -> str:
+    """ISO time with a zone. The guard keeps out dates and zoneless times, which the cast would take.
+
+    The cast knows offsets with a colon only.
+    """
+    with_colon = f"regexp_replace({text}, {quoted(r'([+-]\d{2})(\d{2})$')}, '$1:$2')"
+    return (
+        f"CASE WHEN {text} RLIKE {quoted(INSTANT_RE)} THEN try_cast("
+        f"CASE WHEN endswith({text}, 'Z') THEN {text} ELSE {with_colon} END AS TIMESTAMP) END"
+    )
 
 
-def from_epoch_seconds(seconds: Column) -> Column:
+def from_epoch_seconds(seconds: str) -> str:
     """Decimal seconds since 1970 to a timestamp, cut to microseconds; out of range gives NULL."""
-    micros = F.floor(seconds.try_cast("decimal(38,9)") * F.lit(1_000_000)).try_cast("bigint")
-    return F.timestamp_micros(micros)
+    return f"timestamp_micros(try_cast(floor(try_cast({seconds} AS DECIMAL(38,9)) * 1000000) AS BIGINT))"
 
 
-def normalize_timestamp(text: Column, exact_number: Column | None = None) -> Column:
+def normalize_timestamp(text: str, exact_number: str | None = None) -> str:
     """UTC timestamp from an ISO instant or from epoch seconds; NULL when neither.
 
     A JSON number in E notation has already lost digits in `text`; `exact_number` may supply them.
     """
-    trimmed = F.trim(text)
-    number = trimmed.try_cast("decimal(38,9)")
+    number = text
     if exact_number is not None:
-        number = F.when(F.contains(F.upper(trimmed), F.lit("E")), F.coalesce(exact_number, number)).otherwise(number)
-    return F.when(trimmed.rlike(EPOCH_RE), from_epoch_seconds(number)).otherwise(parse_instant(trimmed))
+        number = f"CASE WHEN contains(upper({text}), 'E') THEN coalesce({exact_number}, try_cast({text} AS DECIMAL(38,9))) ELSE try_cast({text} AS DECIMAL(38,9)) END"
+    return f"CASE WHEN {text} RLIKE {quoted(EPOCH_RE)} THEN {from_epoch_seconds(number)} ELSE {parse_instant(text)} END"
 
 
-def iso_instant(ts: Column) -> Column:
+def iso_instant(ts: str) -> str:
     """`2026-07-17T10:25:30.123456Z`; expects the session zone to be UTC."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+    return f"date_format({ts}, {quoted(pattern)})"
 
 
-def epoch_decimal(ts: Column) -> Column:
+def epoch_decimal(ts: str) -> str:
     """Seconds since 1970 with nine decimals, the number form of an instant in a document."""
-    return (F.unix_micros(ts).cast("decimal(26,6)") / F.lit(1_000_000)).cast("decimal(20,9)")
+    return f"CAST(CAST(unix_micros({ts}) AS DECIMAL(26,6)) / 1000000 AS DECIMAL(20,9))"
 
 
-def document_forms(ts: Column) -> dict[str, Column]:
+def document_forms(ts: str) -> dict[str, str]:
     """Date-time, date and time texts of a document."""
-    return {
-        "dt": F.date_format(ts, DATE_TIME_FORMAT),
-        "d": F.date_format(ts, DATE_FORMAT),
-        "t": F.date_format(ts, TIME_FORMAT),
-    }
+    forms = {"dt": DATE_TIME_FORMAT, "d": DATE_FORMAT, "t": TIME_FORMAT}
+    return {name: f"date_format({ts}, {quoted(form)})" for name, form in forms.items()}

@@ -4,28 +4,86 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cinderlog.functions import attributes as attr, lines, records, times
-from cinderlog.schema import (
-    COLUMN_BY_FIELD, CSV_LINE_FIELDS, EVENT_COLUMNS, EVENT_FIELDS, LEVELS, LOG_LINE_FIELDS, MAX_RECORD_BYTES,
-)
+from cinderlog.functions import attributes as attr, lines, quoted_list, records, times
+from cinderlog.schema import COLUMN_BY_FIELD, EVENT_COLUMNS, LEVELS, MAX_RECORD_BYTES
 
 
-def _kept_apart(value: Column) -> Column:
+def _later_time(value: str, rec: str) -> str:
+    """Text of whichever of the two time keys comes last in the record."""
+    plain, ingested = (f"array_position(reverse(json_object_keys({value})), '{f}')" for f in records.TIME_FIELDS)
+    return (
+        f"CASE WHEN {ingested} > 0 AND ({plain} = 0 OR {ingested} < {plain}) "
+        f"THEN {rec}.ingestionTimestamp ELSE {rec}.timestamp END"
+    )
+
+
+def _texts(value: str, alias_times: bool) -> str:
+    """Struct of the text fields, from whichever format the row has."""
+    log, csv = lines.log_fields("_read.log"), lines.csv_fields("_read.csv")
+    parts = []
+    for field in records.TEXT_FIELDS:
+        json = f"_read.json.{field}"
+        if field in records.TIME_FIELDS:
+            if alias_times:
+                json = _later_time(value, "_read.json")
+            json = f"nullif(trim({json}), '')"
+        parts.append(
+            f"'{field}', CASE _parser WHEN 'json' THEN {json} WHEN 'log' THEN {log.get(field, 'NULL')} "
+            f"WHEN 'csv' THEN {csv.get(field, 'NULL')} END"
+        )
+    return f"named_struct({', '.join(parts)})"
+
+
+def _typed(value: str, alias_times: bool) -> str:
+    """Struct of the event columns."""
+    def moment(field: str) -> str:
+        text = f"_text.{'timestamp' if alias_times else field}"
+        exact = records.exact_number(value, field)
+        return f"CASE WHEN _parser = 'log' THEN {times.parse_log_time(text)} ELSE {times.normalize_timestamp(text, exact)} END"
+
+    log = lines.log_fields("_read.log")
+    special = {
+        **{field: moment(field) for field in records.TIME_FIELDS},
+        "attributes": (
+            f"CASE _parser WHEN 'json' THEN {attr.from_attribute_maps('_read.json.attributes')} "
+            f"WHEN 'log' THEN {attr.parse_attributes(log['attributes'], '_text.logId')} END"
+        ),
+    }
+    return "named_struct({})".format(
+        ", ".join(f"'{c}', {special.get(f, f'_text.{f}')}" for f, c in COLUMN_BY_FIELD.items())
+    )
+
+
+def _reason(value: str, max_bytes: int) -> str:
+    """First reason that applies; NULL for a valid record."""
+    rec, attributes = "_read.json", lines.log_fields("_read.log")["attributes"]
+    unread_time = " OR ".join(
+        f"(_text.{field} IS NOT NULL AND _bound.{COLUMN_BY_FIELD[field]} IS NULL)" for field in records.TIME_FIELDS
+    )
+    checks = {
+        "empty": records.is_empty(value),
+        "unstructured": "_parser = 'raw'",
+        "no_match": "_parser = 'log' AND _read.log IS NULL OR _parser = 'csv' AND _read.csv IS NULL",
+        "not_json_object": f"_parser = 'json' AND {records.is_broken(value, rec)}",
+        "unknown_field": f"_parser = 'json' AND {records.has_unknown_field(value, rec)}",
+        "type_mismatch": f"_parser = 'json' AND {records.has_nested_text(value, rec)}",
+        "bad_timestamp": unread_time,
+        "bad_level": f"_bound.level NOT IN ({quoted_list(LEVELS)})",
+        "bad_attributes": (
+            f"_parser = 'json' AND {records.has_bad_attributes(value, rec)} "
+            f"OR _parser = 'log' AND {attributes} IS NOT NULL AND _bound.attributes IS NULL"
+        ),
+        "oversize": f"octet_length({value}) > {max_bytes}",
+    }
+    return "CASE {} END".format(" ".join(f"WHEN {test} THEN '{reason}'" for reason, test in checks.items()))
+
+
+def _kept_apart(value: str) -> str:
     """`value`, marked so that a filter on it is not moved below the projection that computes it.
 
     A moved filter would carry a copy of the whole expression, and the record would be read twice.
     """
-    return F.when(F.spark_partition_id() >= 0, value)
-
-
-def _later_time(value: Column, rec: Column) -> Column:
-    """Text of whichever of the two time keys comes last in the record."""
-    backwards = F.reverse(F.json_object_keys(value))
-    plain = F.array_position(backwards, "timestamp")
-    ingested = F.array_position(backwards, "ingestionTimestamp")
-    return F.when(
-        (ingested > 0) & ((plain == 0) | (ingested < plain)), rec["ingestionTimestamp"]
-    ).otherwise(rec["timestamp"])
+    return f"CASE WHEN spark_partition_id() >= 0 THEN {value} END"
 
 
 def bind(
@@ -42,69 +100,22 @@ def bind(
     bound in one pass. A record without an ingestion time takes `arrival`, by default the present.
     With `compat_ingestion_alias` both times carry the value of whichever key comes later.
     """
-    parser = F.lit(parser) if isinstance(parser, str) else parser
-    is_json, is_log, is_csv = (parser == p for p in ("json", "log", "csv"))
-    text = F.col(value)
-
-    read = df.withColumn("_read", F.struct(
-        F.when(is_json, records.read_record(text)).alias("json"),
-        F.when(is_log, lines.log_line_captures(text)).alias("log"),
-        F.when(is_csv, lines.csv_line_captures(text)).alias("csv"),
-    ))
-    rec = F.col("_read.json")
-    log = lines.captured_fields(F.col("_read.log"), LOG_LINE_FIELDS)
-    csv = lines.captured_fields(F.col("_read.csv"), CSV_LINE_FIELDS)
-
-    def given(field: str) -> Column:
-        nothing = F.lit(None).cast("string")
-        return F.when(is_json, rec[field]).when(is_log, log.get(field, nothing)).when(is_csv, csv.get(field, nothing))
-
-    stamp, ingested = given("timestamp"), given("ingestionTimestamp")
-    if compat_ingestion_alias:
-        stamp = F.when(is_json, _later_time(text, rec)).otherwise(stamp)
-        ingested = stamp
-
-    def read_time(source: Column, field: str) -> Column:
-        return F.when(is_log, times.parse_log_time(source)).otherwise(
-            times.normalize_timestamp(source, records.exact_number(text, field))
-        )
-
-    attributes = F.when(is_json, attr.from_attribute_maps(rec["attributes"])).when(
-        is_log, attr.parse_attributes(log["attributes"], log["logId"])
+    read = (
+        f"named_struct('json', CASE WHEN _parser = 'json' THEN {records.read_record(value)} END, "
+        f"'log', CASE WHEN _parser = 'log' THEN {lines.log_line_captures(value)} END, "
+        f"'csv', CASE WHEN _parser = 'csv' THEN {lines.csv_line_captures(value)} END)"
     )
-    typed = {
-        **{f: given(f) for f in EVENT_FIELDS if f != "attributes"},
-        "timestamp": read_time(stamp, "timestamp"),
-        "ingestionTimestamp": read_time(ingested, "ingestionTimestamp"),
-        "attributes": attributes,
-    }
-    if compat_ingestion_alias:
-        typed["ingestionTimestamp"] = typed["timestamp"]
-    bound = read.withColumn("_bound", F.struct(*[typed[f].alias(c) for f, c in COLUMN_BY_FIELD.items()]))
-
-    def unreadable(source: Column, column: str) -> Column:
-        return F.coalesce(F.trim(source) != "", F.lit(False)) & F.col(f"_bound.{column}").isNull()
-
-    reason = (
-        F.when(records.is_empty(text), "empty")
-        .when(parser == "raw", "unstructured")
-        .when((is_log & F.col("_read.log").isNull()) | (is_csv & F.col("_read.csv").isNull()), "no_match")
-        .when(is_json & records.is_broken(text, rec), "not_json_object")
-        .when(is_json & records.has_unknown_field(text, rec), "unknown_field")
-        .when(is_json & records.has_nested_text(text, rec), "type_mismatch")
-        .when(unreadable(stamp, "event_time") | unreadable(ingested, "ingestion_time"), "bad_timestamp")
-        .when(~F.col("_bound.level").isin(*LEVELS), "bad_level")
-        .when(is_json & records.has_bad_attributes(text, rec), "bad_attributes")
-        .when(is_log & unreadable(log["attributes"], "attributes"), "bad_attributes")
-        .when(records.is_oversize(text, max_bytes), "oversize")
+    judged = (
+        df.withColumn("_parser", F.lit(parser) if isinstance(parser, str) else parser)
+        .selectExpr("*", f"{read} AS _read")
+        .selectExpr("*", f"{_texts(value, compat_ingestion_alias)} AS _text")
+        .selectExpr("*", f"{_typed(value, compat_ingestion_alias)} AS _bound")
+        .selectExpr("*", f"{_kept_apart(_reason(value, max_bytes))} AS reason")
     )
-    judged = bound.withColumn("reason", _kept_apart(reason))
-    columns = {c: F.col(f"_bound.{c}") for c in EVENT_COLUMNS}
+    event = F.col("_bound")
     if not compat_ingestion_alias:
-        columns["ingestion_time"] = F.coalesce(
-            columns["ingestion_time"], F.current_timestamp() if arrival is None else arrival
-        )
-    event = F.struct(*[column.alias(name) for name, column in columns.items()])
+        arrived = F.coalesce("_bound.ingestion_time", F.current_timestamp() if arrival is None else arrival)
+        event = F.struct(*[(arrived if c == "ingestion_time" else F.col(f"_bound.{c}")).alias(c) for c in EVENT_COLUMNS])
     return judged.select(*df.columns, event.alias("event"), "reason")
 
 

@@ -15,8 +15,9 @@ from cinderlog.schema import INDEX_NAME, MAX_BATCH_BYTES, MAX_BATCH_RECORDS, MAX
 
 def with_documents(events: DataFrame, time_form: str = "epoch") -> DataFrame:
     """Add `document` (JSON text of the event) and `bytes`, its size."""
-    return events.withColumn("document", records.to_document(records.event_document(time_form))).withColumn(
-        "bytes", records.document_size(F.col("document"))
+    document = records.to_document(records.event_document(time_form))
+    return events.selectExpr("*", f"{document} AS document").selectExpr(
+        "*", f"{records.document_size('document')} AS bytes"
     )
 
 

@@ -52,21 +52,21 @@ def union_formats(*frames: DataFrame) -> DataFrame:
 def explode_bodies(df: DataFrame, body: str = "body") -> DataFrame:
     """One row per record of each request body, in `record` (a map), without the forwarder's date key."""
     others = [c for c in df.columns if c != body]
-    return df.select(*others, F.explode(records.read_bodies(F.col(body))).alias("record")).withColumn(
-        "record", records.without_key(F.col("record"), FORWARDER_DATE_KEY)
+    return df.select(*others, F.expr(f"explode({records.read_bodies(body)})").alias("record")).withColumn(
+        "record", F.expr(records.without_key("record", FORWARDER_DATE_KEY))
     )
 
 
 def body_sizes(df: DataFrame, body: str = "body") -> DataFrame:
     """Replace each body by its number of records, `n`."""
     others = [c for c in df.columns if c != body]
-    return df.select(*others, F.size(records.read_bodies(F.col(body))).cast("bigint").alias("n"))
+    return df.select(*others, F.expr(f"CAST(size({records.read_bodies(body)}) AS BIGINT)").alias("n"))
 
 
 def payloads(df: DataFrame, record: str = "record", key: Column | None = None) -> DataFrame:
     """Records to topic rows: JSON text in `value`, and `key` if one is wanted."""
     others = [c for c in df.columns if c != record]
-    columns = [F.to_json(F.col(record), {"ignoreNullFields": "false"}).alias("value")]
+    columns = [F.expr(records.to_document(record)).alias("value")]
     if key is not None:
         columns.append(key.cast("string").alias("key"))
     return df.select(*others, *columns)

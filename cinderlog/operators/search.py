@@ -11,21 +11,21 @@ from cinderlog.schema import LEVELS
 
 
 def search(
-    df: DataFrame, terms: Sequence[str], text: str = "message", mode: str = "all",
+    df: DataFrame, terms: Sequence[str], text: str = "message", mode: str = "all"
 ) -> DataFrame:
     """Rows whose text has all (or any) of the terms, with `score`, the number of hits."""
     matches = {"all": txt.match_all, "any": txt.match_any}[mode]
-    found = df.withColumn("_tokens", txt.tokens(F.col(text)))
+    found = df.selectExpr("*", f"{txt.tokens(text)} AS _tokens")
     return (
-        found.where(matches(F.col("_tokens"), list(terms)))
-        .withColumn("score", txt.match_count(F.col("_tokens"), list(terms)))
+        found.where(matches("_tokens", terms))
+        .selectExpr("*", f"{txt.match_count('_tokens', terms)} AS score")
         .drop("_tokens")
     )
 
 
 def search_phrase(df: DataFrame, phrase: str, text: str = "message") -> DataFrame:
     """Rows whose text holds the phrase, in any letter case."""
-    return df.where(txt.match_phrase(F.col(text), phrase))
+    return df.where(txt.match_phrase(text, phrase))
 
 
 def newest(df: DataFrame, k: int, time: str = "event_time", *ties: str) -> DataFrame:

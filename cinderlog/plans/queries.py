@@ -10,7 +10,6 @@ from cinderlog.operators import (
 )
 from cinderlog.plans import adapter as ad
 from cinderlog.plans.adapter import text
-from cinderlog.schema import CSV_LINE_FIELDS, LOG_LINE_FIELDS
 from cinderlog.session import work_path
 from cinderlog.sinks import bulk as bulk_sink, index as log_index
 from cinderlog.sources import landing, topic
@@ -202,8 +201,8 @@ def csv_line_match(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("event_id") % 10 == i, F.lit("")).otherwise(F.col(column))
         for i, (_, column) in enumerate(ad.TEXT_FIELDS[:-1])
     ], F.col("message"))
-    matched = lines.csv_line_captures(line).isNotNull().alias("matched")
-    return aggregate.count_by(ad.adapted(spark, sf).select(matched), "matched")
+    matched = f"({lines.csv_line_captures('line')}) IS NOT NULL AS matched"
+    return aggregate.count_by(ad.adapted(spark, sf).select(line.alias("line")).selectExpr(matched), "matched")
 
 
 def union_all_formats(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,19 +230,17 @@ def mixed_formats(spark: SparkSession, sf: str) -> DataFrame:
 # ---- parsing
 
 def parse_log_line(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ad.adapted(spark, sf).select(lines.log_line_captures(ad.log_line()).alias("c"))
-    return rows.select(*[v.alias(k) for k, v in lines.captured_fields(F.col("c"), LOG_LINE_FIELDS).items()])
+    rows = ad.adapted(spark, sf).select(ad.log_line().alias("line")).selectExpr(f"{lines.log_line_captures('line')} AS c")
+    return rows.selectExpr(*[f"{sql} AS {name}" for name, sql in lines.log_fields("c").items()])
 
 
 def parse_csv_line(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ad.adapted(spark, sf).select(lines.csv_line_captures(ad.csv_line()).alias("c"))
-    return rows.select(*[v.alias(k) for k, v in lines.captured_fields(F.col("c"), CSV_LINE_FIELDS).items()])
+    rows = ad.adapted(spark, sf).select(ad.csv_line().alias("line")).selectExpr(f"{lines.csv_line_captures('line')} AS c")
+    return rows.selectExpr(*[f"{sql} AS {name}" for name, sql in lines.csv_fields("c").items()])
 
 
 def parse_log_time(spark: SparkSession, sf: str) -> DataFrame:
-    return ad.adapted(spark, sf).select(
-        "log_id", F.unix_micros(times.parse_log_time(F.col("ts_text"))).alias("epoch_us")
-    )
+    return ad.adapted(spark, sf).selectExpr("log_id", f"unix_micros({times.parse_log_time('ts_text')}) AS epoch_us")
 
 
 def normalize_timestamp(spark: SparkSession, sf: str) -> DataFrame:
@@ -254,7 +251,7 @@ def normalize_timestamp(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_id") % 3
     value = F.when(kind == 0, F.col("ts_text")).when(kind == 1, shifted).otherwise(number)
     rows = ad.adapted(spark, sf, "ts").select("log_id", value.alias("value"))
-    return rows.select("log_id", F.unix_micros(times.normalize_timestamp(F.col("value"))).alias("epoch_us"))
+    return rows.selectExpr("log_id", f"unix_micros({times.normalize_timestamp('value')}) AS epoch_us")
 
 
 def parse_attributes(spark: SparkSession, sf: str) -> DataFrame:
@@ -265,7 +262,7 @@ def parse_attributes(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(text("k=", k, ", user=", F.col("user_id").cast("string")))
     )
     rows = ad.adapted(spark, sf).select("log_id", value.alias("value"))
-    parsed = rows.select("log_id", F.explode(attr.parse_attributes(F.col("value"), F.col("log_id"))).alias("a"))
+    parsed = rows.selectExpr("log_id", f"explode({attr.parse_attributes('value', 'log_id')}) AS a")
     return parsed.select("log_id", "a.key", "a.value")
 
 
@@ -273,7 +270,7 @@ def parse_attributes(spark: SparkSession, sf: str) -> DataFrame:
 
 def event_to_json(spark: SparkSession, sf: str) -> DataFrame:
     value = records.to_document(records.event_document("iso"))
-    return ad.json_events(spark, sf).select("log_id", value.alias("value"))
+    return ad.json_events(spark, sf).selectExpr("log_id", f"{value} AS value")
 
 
 def bulk_index_actions(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,9 +282,7 @@ def document_size(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def oversize_filter(spark: SparkSession, sf: str) -> DataFrame:
-    documents = ad.table(spark, sf, "documents").select(
-        F.col("doc_id"), records.document_size(F.col("text")).alias("bytes")
-    )
+    documents = ad.table(spark, sf, "documents").selectExpr("doc_id", f"{records.document_size('text')} AS bytes")
     return bulk.split_oversize(documents, 8192)
 
 
@@ -347,8 +342,8 @@ def bulk_write_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_timestamp_forms(spark: SparkSession, sf: str) -> DataFrame:
-    forms = times.document_forms(F.col("event_time"))
-    return ad.json_events(spark, sf).select("log_id", *[column.alias(name) for name, column in forms.items()])
+    forms = times.document_forms("event_time")
+    return ad.json_events(spark, sf).selectExpr("log_id", *[f"{sql} AS {name}" for name, sql in forms.items()])
 
 
 # ---- attributes, transformation, enrichment
