@@ -31,10 +31,11 @@ def parse_attributes(text: str, log_id: str) -> str:
 
 def attribute_number(text: str) -> str:
     """Attribute id from its JSON text; a fraction is cut off."""
-    return f"try_cast(try_cast(nullif(trim({text}), '') AS DECIMAL(38,9)) AS BIGINT)"
+    whole = f"try_cast({text} AS BIGINT)"
+    return f"coalesce({whole}, try_cast(try_cast(nullif(trim({text}), '') AS DECIMAL(38,9)) AS BIGINT))"
 
 
 def from_attribute_maps(maps: str) -> str:
     """List of JSON objects, read as string maps, to the typed attribute list."""
     member = _attribute(attribute_number("m['id']"), "m['logId']", "m['key']", "m['value']")
-    return f"CAST(transform({maps}, m -> CASE WHEN m IS NOT NULL THEN {member} END) AS {_LIST})"
+    return f"transform({maps}, m -> CASE WHEN m IS NOT NULL THEN {member} END)"

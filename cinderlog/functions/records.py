@@ -48,7 +48,7 @@ def has_unknown_field(value: str, rec: str) -> str:
 
 
 def _opens_nested(text: str) -> str:
-    return f"startswith({text}, '{{') OR startswith({text}, '[')"
+    return f"coalesce(ascii({text}) IN ({ord('{')}, {ord('[')}), false)"
 
 
 def _is_nested(variant: str) -> str:
@@ -61,7 +61,7 @@ def has_nested_text(value: str, rec: str) -> str:
     Reading has turned those into text. Only records with text that starts like one are read again,
     this time keeping the JSON types.
     """
-    looks = " OR ".join(f"coalesce({_opens_nested(f'{rec}.{f}')}, false)" for f in TEXT_FIELDS)
+    looks = " OR ".join(_opens_nested(f"{rec}.{f}") for f in TEXT_FIELDS)
     typed = _typed(value, ", ".join(f"{f} variant" for f in TEXT_FIELDS))
     nested = " OR ".join(_is_nested(f"t.{f}") for f in TEXT_FIELDS)
     return f"(({looks}) AND exists(array({typed}), t -> {nested}))"
@@ -69,7 +69,7 @@ def has_nested_text(value: str, rec: str) -> str:
 
 def has_bad_attributes(value: str, rec: str) -> str:
     """Attributes are no list of objects, an id is no number, or a text field in them is nested."""
-    number = f"coalesce(nullif(trim(m['id']), '') IS NOT NULL AND {attribute_number("m['id']")} IS NULL, false)"
+    number = f"coalesce({attribute_number("m['id']")} IS NULL AND trim(m['id']) <> '', false)"
     looks = f"coalesce(exists(map_values(m), v -> {_opens_nested('v')}), false)"
     nested = f"coalesce(exists(map_values(m), v -> {_is_nested('v')}), false)"
     typed = f"{_typed(value, 'attributes array<map<string,variant>>')}.attributes"

@@ -18,16 +18,19 @@ def parse_log_time(text: str) -> str:
     return f"CASE WHEN {text} RLIKE {quoted(LOG_TIME_RE)} THEN try_cast({text} AS TIMESTAMP) END"
 
 
-def parse_instant(text: str) -> str:
-    """ISO time with a zone. The guard keeps out dates and zoneless times, which the cast would take.
-
-    The cast knows offsets with a colon only.
-    """
+def _cast_instant(text: str) -> str:
+    """The cast knows offsets with a colon only."""
     with_colon = f"regexp_replace({text}, {quoted(r'([+-]\d{2})(\d{2})$')}, '$1:$2')"
-    return (
-        f"CASE WHEN {text} RLIKE {quoted(INSTANT_RE)} THEN try_cast("
-        f"CASE WHEN endswith({text}, 'Z') THEN {text} ELSE {with_colon} END AS TIMESTAMP) END"
-    )
+    return f"try_cast(CASE WHEN endswith({text}, 'Z') THEN {text} ELSE {with_colon} END AS TIMESTAMP)"
+
+
+def _is_instant(text: str) -> str:
+    return f"{text} RLIKE {quoted(INSTANT_RE)}"
+
+
+def parse_instant(text: str) -> str:
+    """ISO time with a zone. The guard keeps out dates and zoneless times, which the cast would take."""
+    return f"CASE WHEN {_is_instant(text)} THEN {_cast_instant(text)} END"
 
 
 def from_epoch_seconds(seconds: str) -> str:
@@ -42,8 +45,12 @@ def normalize_timestamp(text: str, exact_number: str | None = None) -> str:
     """
     number = text
     if exact_number is not None:
-        number = f"CASE WHEN contains(upper({text}), 'E') THEN coalesce({exact_number}, try_cast({text} AS DECIMAL(38,9))) ELSE try_cast({text} AS DECIMAL(38,9)) END"
-    return f"CASE WHEN {text} RLIKE {quoted(EPOCH_RE)} THEN {from_epoch_seconds(number)} ELSE {parse_instant(text)} END"
+        plain = f"try_cast({text} AS DECIMAL(38,9))"
+        number = f"CASE WHEN contains(upper({text}), 'E') THEN coalesce({exact_number}, {plain}) ELSE {plain} END"
+    return (
+        f"CASE WHEN {_is_instant(text)} THEN {_cast_instant(text)} "
+        f"WHEN {text} RLIKE {quoted(EPOCH_RE)} THEN {from_epoch_seconds(number)} END"
+    )
 
 
 def iso_instant(ts: str) -> str:

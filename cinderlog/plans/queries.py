@@ -10,7 +10,7 @@ from cinderlog.operators import (
 )
 from cinderlog.plans import adapter as ad
 from cinderlog.plans.adapter import text
-from cinderlog.session import work_path
+from cinderlog.session import spread, work_path
 from cinderlog.sinks import bulk as bulk_sink, index as log_index
 from cinderlog.sources import landing, topic
 from cinderlog.streaming import jobs
@@ -408,22 +408,26 @@ def metrics_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _metric_rows(spark.read.schema(metrics.schema).parquet(path))
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(ad.table(spark, sf, "documents").select("doc_id", "text"))
+
+
 SEARCH_TERMS = ("the", "and", "for")
 SEARCH_PHRASE = "by the"
 
 
 def search_terms(spark: SparkSession, sf: str) -> DataFrame:
-    found = search.search(ad.table(spark, sf, "documents"), SEARCH_TERMS, "text", "all")
+    found = search.search(_documents(spark, sf), SEARCH_TERMS, "text", "all")
     return found.select("doc_id", "score")
 
 
 def search_any_term(spark: SparkSession, sf: str) -> DataFrame:
-    found = search.search(ad.table(spark, sf, "documents"), ("which", "oder"), "text", "any")
+    found = search.search(_documents(spark, sf), ("which", "oder"), "text", "any")
     return found.select("doc_id", "score")
 
 
 def search_phrase(spark: SparkSession, sf: str) -> DataFrame:
-    return search.search_phrase(ad.table(spark, sf, "documents"), SEARCH_PHRASE, "text").select("doc_id")
+    return search.search_phrase(_documents(spark, sf), SEARCH_PHRASE, "text").select("doc_id")
 
 
 def search_newest(spark: SparkSession, sf: str) -> DataFrame:
