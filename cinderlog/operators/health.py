@@ -23,10 +23,9 @@ def silent(
     One row per member is kept, so no event is joined. `known` may list the members, also those
     never seen; by default they are taken from the events. `now_us` defaults to the newest event.
     """
-    if now_us is None:
-        now_us = events.agg(F.unix_micros(F.max("event_time")).alias("t")).first()["t"] or 0
     seen = events.groupBy(*by).agg(F.unix_micros(F.max("event_time")).alias("last_seen_us"))
+    newest = seen.agg(F.max("last_seen_us")).scalar() if now_us is None else F.lit(now_us)
     if known is not None:
         seen = known.select(*by).distinct().join(seen, by, "left")
-    since = now_us - int(hours * 3_600_000_000)
+    since = newest - F.lit(int(hours * 3_600_000_000))
     return seen.where(F.col("last_seen_us").isNull() | (F.col("last_seen_us") <= since))

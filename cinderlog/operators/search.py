@@ -53,15 +53,13 @@ def filter_events(
 ) -> DataFrame:
     """Events that pass every given facet. `since` is included, `until` is not; both are UTC texts.
 
-    All facets are plain predicates. On the index, time and service also prune folders.
+    All facets are plain predicates. On the index, times also prune folders by date.
     """
     kept = events
     if min_level is not None:
         kept = kept.where(F.col("level").isin(*LEVELS[LEVELS.index(min_level):]))
     if services is not None:
         kept = kept.where(F.col("service").isin(*services))
-        if "service_part" in events.columns:
-            kept = kept.where(F.col("service_part").isin(*services))
     if hosts is not None:
         kept = kept.where(F.col("host").isin(*hosts))
     for bound, after in ((since, True), (until, False)):

@@ -10,7 +10,7 @@ from cinderlog.operators import (
 )
 from cinderlog.plans import adapter as ad
 from cinderlog.plans.adapter import text
-from cinderlog.session import spread, work_path
+from cinderlog.session import freeze, spread, work_path
 from cinderlog.sinks import bulk as bulk_sink, index as log_index
 from cinderlog.sources import landing, topic
 from cinderlog.streaming import jobs
@@ -80,7 +80,7 @@ def landing_path_columns(spark: SparkSession, sf: str) -> DataFrame:
         ".", ad.pick(ad.EXTENSIONS),
     )
     paths = ad.adapted(spark, sf).select("log_id", path.alias("path"))
-    return paths.withColumns(landing.path_columns(F.col("path"))).drop("path")
+    return landing.with_path_columns(paths, "path").drop("path")
 
 
 def _bodies(spark: SparkSession, sf: str) -> DataFrame:
@@ -361,7 +361,7 @@ def attributes_flat(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def attributes_nest(spark: SparkSession, sf: str) -> DataFrame:
-    events = _two_attributes(spark, sf)
+    events = freeze(_two_attributes(spark, sf).select("log_id", "attributes"), "events")
     nested = attribute_rows.nest_attributes(events.select("log_id"), attribute_rows.flatten_attributes(events))
     return nested.select("log_id", _long(F.size("attributes")).alias("n_attrs"))
 
@@ -477,7 +477,8 @@ def level_service_cube(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trace_timeline(spark: SparkSession, sf: str) -> DataFrame:
-    return trace.timeline(ad.log_events(spark, sf).select("trace_id", "log_id", "event_time")).select("log_id", "gap_us")
+    events = freeze(ad.log_events(spark, sf).select("trace_id", "log_id", "event_time"), "events")
+    return trace.timeline(events).select("log_id", "gap_us")
 
 
 def context_around_error(spark: SparkSession, sf: str) -> DataFrame:
@@ -516,7 +517,7 @@ def index_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def archive_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "archive")
     log_index.archive(ad.log_events(spark, sf), path)
-    days = spark.read.schema("level string, event_date date").parquet(path)
+    days = log_index.read_index(spark, path)
     return days.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(_long(F.count("*")).alias("n"))
 
 

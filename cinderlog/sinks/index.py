@@ -1,4 +1,4 @@
-"""The log index: Parquet, in folders by event date and service."""
+"""The log index: Parquet in folders by event date, sorted by service and time within each file."""
 
 from __future__ import annotations
 
@@ -7,63 +7,55 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from cinderlog.schema import EVENT_SCHEMA
 
-NO_SERVICE = "_none"
-_FOLDERS = ("event_date", "service_part")
-INDEX_SCHEMA = T.StructType([
-    *EVENT_SCHEMA.fields,
-    T.StructField("event_date", T.DateType()),
-    T.StructField("service_part", T.StringType()),
-])
+FOLDER = "event_date"
+INDEX_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField(FOLDER, T.DateType())])
 
 
-def with_folders(events: DataFrame) -> DataFrame:
-    """Event columns plus the folder columns. The service itself stays in the rows as it is."""
-    service = F.coalesce(F.nullif(F.col("service"), F.lit("")), F.lit(NO_SERVICE))
-    return events.select(
-        *EVENT_SCHEMA.names, F.to_date("event_time").alias("event_date"), service.alias("service_part")
-    )
+def with_folder(events: DataFrame) -> DataFrame:
+    """Event columns plus the folder column."""
+    return events.select(*EVENT_SCHEMA.names, F.to_date("event_time").alias(FOLDER))
 
 
-def write_index(events: DataFrame, path: str) -> None:
-    """Append a table of events.
+def _gathered(events: DataFrame) -> DataFrame:
+    """Rows gathered per folder, so that a folder gets few files, and sorted for row group statistics.
 
-    Rows are gathered per folder before the write, so that a folder gets few files; adaptive
-    execution splits the folders of a hot date or service over several tasks.
+    Adaptive execution splits the folder of a hot date over several tasks.
     """
-    with_folders(events).hint("rebalance", *_FOLDERS).write.partitionBy(*_FOLDERS).mode("append").parquet(path)
+    return with_folder(events).hint("rebalance", FOLDER).sortWithinPartitions(FOLDER, "service", "event_time")
 
 
-def write_batch_folder(df: DataFrame, path: str, batch_id: int, folders: tuple[str, ...] = ()) -> None:
+def write_index(events: DataFrame, path: str) -> None:
+    """Append a table of events."""
+    _gathered(events).write.partitionBy(FOLDER).mode("append").parquet(path)
+
+
+def write_batch_folder(df: DataFrame, path: str, batch_id: int, *folders: str) -> None:
     """Write one micro-batch in folders of its own; a replay overwrites exactly those."""
-    gathered = df.hint("rebalance", *folders) if folders else df
     (
-        gathered.withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
+        df.withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
         .write.partitionBy(*folders, "ingest_batch").mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").parquet(path)
     )
 
 
 def write_index_batch(events: DataFrame, path: str, batch_id: int) -> None:
-    """Write the events of one micro-batch, gathered per folder as in `write_index`."""
-    write_batch_folder(with_folders(events), path, batch_id, _FOLDERS)
+    """Write the events of one micro-batch."""
+    write_batch_folder(_gathered(events), path, batch_id, FOLDER)
 
 
 def index_writer(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Stream events into the index with the file sink, each record exactly once."""
     return (
-        with_folders(events).writeStream.format("parquet").partitionBy(*_FOLDERS)
+        with_folder(events).writeStream.format("parquet").partitionBy(FOLDER)
         .option("path", path).option("checkpointLocation", checkpoint)
     )
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """The index as a table; filters on event_date and service_part skip folders."""
+    """The index as a table; filters on event_date skip folders, filters on service skip row groups."""
     return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 
 def archive(events: DataFrame, path: str) -> None:
-    """Copy events to long-term storage, in folders by date only and with few files per folder."""
-    (
-        events.select(*EVENT_SCHEMA.names, F.to_date("event_time").alias("event_date"))
-        .hint("rebalance", "event_date").write.partitionBy("event_date").mode("append").parquet(path)
-    )
+    """Copy events to long-term storage as few large files per date, small ones from a stream merged."""
+    _gathered(events).write.partitionBy(FOLDER).mode("append").option("compression", "zstd").parquet(path)

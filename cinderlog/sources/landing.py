@@ -10,46 +10,50 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from cinderlog.functions import quoted
 from cinderlog.operators.collector import route
 from cinderlog.schema import PARSER_BY_EXTENSION
 
-# Fixed value: shape of a landed path below the base folder.
-LANDED_RE = r"([^/]+)/([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})_([^/]*)$"
-PLAIN_RE = r"([^/]+)/([^/]+)$"
+# Fixed value: a landed file name starts with its upload id and an underscore.
+UPLOAD_RE = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}_"
+UPLOAD_LENGTH = 36
 LINES_PER_FILE = 100_000
 _LANDED = "path string, n_lines bigint"
 
 
-def path_columns(path: Column) -> dict[str, Column]:
-    """client_id, upload_id, file_name and ext of a landed path.
+def path_columns(path: str) -> dict[str, str]:
+    """SQL of client_id, upload_id, file_name and ext for the path column of that name.
 
     A file that was put there without an upload id keeps its whole name, and upload_id is NULL.
     """
-    landed = path.rlike(LANDED_RE)
-    name = F.when(landed, F.regexp_extract(path, LANDED_RE, 3)).otherwise(F.regexp_extract(path, PLAIN_RE, 2))
+    name = f"substring_index({path}, '/', -1)"
+    landed = f"{name} RLIKE {quoted(UPLOAD_RE)}"
+    own_name = f"CASE WHEN {landed} THEN substr({name}, {UPLOAD_LENGTH + 2}) ELSE {name} END"
     return {
-        "client_id": F.nullif(F.regexp_extract(path, PLAIN_RE, 1), F.lit("")),
-        "upload_id": F.when(landed, F.regexp_extract(path, LANDED_RE, 2)),
-        "file_name": name,
-        "ext": F.nullif(F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1)), F.lit("")),
+        "client_id": f"nullif(substring_index(substring_index({path}, '/', -2), '/', 1), '')",
+        "upload_id": f"CASE WHEN {landed} THEN left({name}, {UPLOAD_LENGTH}) END",
+        "file_name": own_name,
+        "ext": f"CASE WHEN contains({name}, '.') THEN nullif(lower(substring_index({name}, '.', -1)), '') END",
     }
 
 
+def with_path_columns(df: DataFrame, path: str) -> DataFrame:
+    return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in path_columns(path).items()])
+
+
 def _glob(base: str, extensions: list[str] | None) -> str:
     return f"{base.rstrip('/')}/*/*.{{{','.join(extensions or PARSER_BY_EXTENSION)}}}"
 
 
 def _described(text: DataFrame) -> DataFrame:
     # the path arrives URL-encoded, where a plus sign stands for itself
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    line = F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
-    lines = text.select(
-        line.alias("value"), path.alias("file_path"),
-        F.col("_metadata.file_modification_time").alias("landed_at"),
-    )
-    return route(lines.withColumns(path_columns(F.col("file_path"))))
+    path = "_metadata.file_path"
+    decoded = f"CASE WHEN contains({path}, '%') THEN url_decode(replace({path}, '+', '%2B')) ELSE {path} END"
+    line = "CASE WHEN endswith(value, '\\r') THEN left(value, length(value) - 1) ELSE value END"
+    lines = text.selectExpr(f"{line} AS value", f"{decoded} AS file_path", "_metadata.file_modification_time AS landed_at")
+    return route(with_path_columns(lines, "file_path"))
 
 
 def read_landing(spark: SparkSession, base: str, extensions: list[str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ UPLOAD = "0f8fad5b-d9cb-469f-a165-70867728950e"
 
 def test_path_columns(spark):
     paths = [f"file:/up/logs/acme/{UPLOAD}_a_b.tar.LOG", "/up/logs/acme/plain.json", "/up/logs/acme/noext"]
-    frame = spark.createDataFrame([(p,) for p in paths], "p string").withColumns(landing.path_columns(F.col("p")))
+    frame = landing.with_path_columns(spark.createDataFrame([(p,) for p in paths], "p string"), "p")
     assert [tuple(r)[1:] for r in frame.collect()] == [
         ("acme", UPLOAD, "a_b.tar.LOG", "log"), ("acme", None, "plain.json", "json"), ("acme", None, "noext", None),
     ]
@@ -32,7 +32,7 @@ def test_uploaded_files_are_read_back(spark, tmp_path):
     landed = landing.land_files(files, base).collect()
     assert sorted(r["n_lines"] for r in landed) == [1, 1, 2, 2, 2]
     assert len({r["path"] for r in landed}) == 5
-    assert all(re.search(landing.LANDED_RE, r["path"]) for r in landed)
+    assert all(re.search(landing.UPLOAD_RE, r["path"].rsplit("/", 1)[1]) for r in landed)
 
     lines = landing.read_landing(spark, base)
     counts = {(r["client_id"], r["file_name"], r["tag"], r["parser"]): r["count"] for r in
