@@ -41,6 +41,11 @@ def has_attribute(key: str, value: str | None = None) -> Column:
     return F.exists("attributes", fits)
 
 
+def for_client(df: DataFrame, client_id: str) -> DataFrame:
+    """Rows of one client of the landing folder."""
+    return df.where(F.col("client_id") == client_id)
+
+
 def filter_events(
     events: DataFrame,
     min_level: str | None = None,

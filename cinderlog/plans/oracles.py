@@ -197,4 +197,18 @@ ORACLES = {
     "uppercase_stream": "SELECT event_id, upper(event_type) AS value FROM events",
     "index_roundtrip": _from_a("SELECT level, count(*) AS n", "GROUP BY level"),
     "archive_roundtrip": _from_a("SELECT strftime(ts_sec, '%Y-%m-%d') AS event_date, count(*) AS n", "GROUP BY 1"),
+    "alert_windows": f"WITH {_A} SELECT window_start, service, n, n_error, error_ratio FROM (" + _METRICS.format(
+        bytes="strlen(message)", source="(SELECT *, date_trunc('hour', ts_sec) AS h FROM a)")
+        + ") WHERE n >= 3 AND error_ratio > 0.5",
+    "unusual_counts": f"""WITH {_A}, m AS (
+      SELECT date_trunc('hour', ts_sec) AS h, service, count(*) AS n FROM a GROUP BY 1, 2), s AS (
+      SELECT *, count(*) OVER w AS k, sum(n) OVER w AS t, sum(n * n) OVER w AS q FROM m
+      WINDOW w AS (PARTITION BY service ORDER BY h ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)), z AS (
+      SELECT h, service, n, CAST(n * k - t AS DOUBLE) / sqrt(CAST(k * q - t * t AS DOUBLE)) AS z
+      FROM s WHERE k = 24 AND k * q - t * t > 0)
+      SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS window_start, service, n, round(z, 6) AS z FROM z WHERE abs(z) >= 3""",
+    "route_by_source": _from_a(
+        f"SELECT {_case('ext', TAG_BY_EXTENSION)} AS tag, log_id",
+        ).replace("FROM a", f"FROM (SELECT {_pick((*EXTENSIONS, 'png'))} AS ext, log_id FROM a) WHERE ext <> 'png'"),
+    "client_lines": _from_a("SELECT log_id", "WHERE user_id % 4 = 1"),
 }

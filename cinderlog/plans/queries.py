@@ -493,6 +493,18 @@ def silent_services(spark: SparkSession, sf: str) -> DataFrame:
     return health.silent(ad.log_events(spark, sf), 2, ["service", "host"])
 
 
+def alert_windows(spark: SparkSession, sf: str) -> DataFrame:
+    metrics = aggregate.metrics(ad.log_events(spark, sf))
+    return _metric_rows(health.alerts(metrics, 0.5, min_events=3)).drop("bytes")
+
+
+def unusual_counts(spark: SparkSession, sf: str) -> DataFrame:
+    metrics = aggregate.metrics(ad.log_events(spark, sf))
+    return health.anomalies(metrics, ["service"]).select(
+        F.date_format("window_start", times.DATE_TIME_FORMAT).alias("window_start"), "service", "n", F.round("z", 6).alias("z")
+    )
+
+
 # ---- streams to tables
 
 def uppercase_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -521,6 +533,22 @@ def archive_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return days.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(_long(F.count("*")).alias("n"))
 
 
+def route_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Every source in a folder of its own."""
+    path = work_path(spark, "sources")
+    rows = collector.route(_files(spark, sf)).select("tag", "log_id", ad.log_line().alias("value"))
+    log_index.write_by_source(rows, path)
+    sources = spark.read.schema("log_id string, value string, tag string").parquet(path)
+    return sources.select("tag", "log_id")
+
+
+def client_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of one client, read from its folder."""
+    base = _landed(spark, sf, ad.log_line(), F.lit("app.log"))
+    lines_of_client = search.for_client(landing.read_landing(spark, base), "c-1")
+    return binding.valid_events(binding.bind(lines_of_client, "log")).select("log_id")
+
+
 REGISTERED = (
     src_raw_json, tail_log_lines, tail_json_lines, tail_csv_lines, tail_raw_lines, landing_path_columns,
     explode_request_body, body_record_count, drop_date_key, kafka_payload,
@@ -533,5 +561,6 @@ REGISTERED = (
     metrics_per_hour, metrics_stream, search_terms, search_any_term, search_phrase, search_newest,
     filter_facets, filter_attribute, agg_by_level, top_services, date_histogram, distinct_traces,
     value_percentiles, level_service_cube, trace_timeline, context_around_error, service_health, silent_services,
+    alert_windows, unusual_counts, route_by_source, client_lines,
     uppercase_stream, index_roundtrip, archive_roundtrip,
 )

@@ -59,3 +59,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 def archive(events: DataFrame, path: str) -> None:
     """Copy events to long-term storage as few large files per date, small ones from a stream merged."""
     _gathered(events).write.partitionBy(FOLDER).mode("append").option("compression", "zstd").parquet(path)
+
+
+def write_by_source(df: DataFrame, path: str, tag: str = "tag") -> None:
+    """Append rows in one folder per source tag; a tag with many rows is split over several tasks."""
+    df.hint("rebalance", tag).write.partitionBy(tag).mode("append").parquet(path)
