@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cinderlog.plans.adapter import EXTENSIONS, RAW_EXTENSIONS
-from cinderlog.plans.queries import MAX_TEST_BYTES, SEARCH_PHRASE, SEARCH_TERMS
+from cinderlog.plans.queries import ANY_TERMS, MAX_TEST_BYTES, SEARCH_PHRASE, SEARCH_TERMS
 from cinderlog.schema import PARSER_BY_EXTENSION, TAG_BY_EXTENSION
 
 _A = """a AS (
@@ -158,7 +158,7 @@ ORACLES = {
         bytes="strlen(event_type)", source="(SELECT *, date_trunc('hour', ts) AS h FROM a)").replace(
         "GROUP BY", "WHERE h + INTERVAL 1 HOUR <= (SELECT max(ts) FROM a) - INTERVAL 10 MINUTE GROUP BY"),
     "search_terms": _search(SEARCH_TERMS, "all"),
-    "search_any_term": _search(("which", "oder"), "any"),
+    "search_any_term": _search(ANY_TERMS, "any"),
     "search_phrase": f"SELECT doc_id FROM documents WHERE contains(lower(text), '{SEARCH_PHRASE}')",
     "search_newest": _from_a("SELECT log_id, at_us AS epoch_us", "WHERE level = 'WARN' ORDER BY at_us DESC, log_id LIMIT 20"),
     "filter_facets": _from_a("SELECT log_id", """WHERE level IN ('WARN', 'ERROR') AND service IN ('svc-1', 'svc-3')
@@ -192,14 +192,14 @@ ORACLES = {
       FROM n WHERE abs(at_us - CASE WHEN use_b THEN b_us ELSE a_us END) <= 60000000""",
     "service_health": _from_a("""SELECT service, max(at_us) AS last_seen_us,
       round(count(*) FILTER (WHERE level = 'ERROR') / count(*)::DOUBLE, 6) AS error_share""", "GROUP BY service"),
-    "silent_services": _from_a("SELECT service, host, max(at_us) AS last_seen_us", """GROUP BY service, host
-      HAVING max(at_us) <= (SELECT max(at_us) FROM a) - 2 * 3600000000"""),
+    "silent_services": _from_a("SELECT service, trace_id, max(at_us) AS last_seen_us", """GROUP BY service, trace_id
+      HAVING max(at_us) <= (SELECT max(at_us) FROM a) - 24 * 3600000000"""),
     "uppercase_stream": "SELECT event_id, upper(event_type) AS value FROM events",
     "index_roundtrip": _from_a("SELECT level, count(*) AS n", "GROUP BY level"),
     "archive_roundtrip": _from_a("SELECT strftime(ts_sec, '%Y-%m-%d') AS event_date, count(*) AS n", "GROUP BY 1"),
     "alert_windows": f"WITH {_A} SELECT window_start, service, n, n_error, error_ratio FROM (" + _METRICS.format(
         bytes="strlen(message)", source="(SELECT *, date_trunc('hour', ts_sec) AS h FROM a)")
-        + ") WHERE n >= 3 AND error_ratio > 0.5",
+        + ") WHERE n >= 3 AND error_ratio > 0.4",
     "unusual_counts": f"""WITH {_A}, m AS (
       SELECT date_trunc('hour', ts_sec) AS h, service, count(*) AS n FROM a GROUP BY 1, 2), s AS (
       SELECT *, count(*) OVER w AS k, sum(n) OVER w AS t, sum(n * n) OVER w AS q FROM m

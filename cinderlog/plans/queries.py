@@ -413,6 +413,7 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SEARCH_TERMS = ("the", "and", "for")
+ANY_TERMS = ("from", "than")
 SEARCH_PHRASE = "by the"
 
 
@@ -422,7 +423,7 @@ def search_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_any_term(spark: SparkSession, sf: str) -> DataFrame:
-    found = search.search(_documents(spark, sf), ("which", "oder"), "text", "any")
+    found = search.search(_documents(spark, sf), ANY_TERMS, "text", "any")
     return found.select("doc_id", "score")
 
 
@@ -490,12 +491,12 @@ def service_health(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silent_services(spark: SparkSession, sf: str) -> DataFrame:
-    return health.silent(ad.log_events(spark, sf), 2, ["service", "host"])
+    return health.silent(ad.log_events(spark, sf), 24, ["service", "trace_id"])
 
 
 def alert_windows(spark: SparkSession, sf: str) -> DataFrame:
     metrics = aggregate.metrics(ad.log_events(spark, sf))
-    return _metric_rows(health.alerts(metrics, 0.5, min_events=3)).drop("bytes")
+    return _metric_rows(health.alerts(metrics, 0.4, min_events=3)).drop("bytes")
 
 
 def unusual_counts(spark: SparkSession, sf: str) -> DataFrame:
