@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cinderlog.operators.ordered import range_layout
+from cinderlog.session import freeze
 
 ERROR = "ERROR"
 
@@ -71,7 +72,7 @@ def percentiles(df: DataFrame, by: str, value: str, points: Sequence[float]) ->
     first, the counts are sorted into ranges, and each percentile is picked by its rank.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("_n"))
-    laid = range_layout(counted, [by, value])
+    laid = range_layout(freeze(counted, "counts"), [by, value])
     upto = Window.partitionBy("_part", by).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shares = laid.groupBy("_part", by).agg(F.sum("_n").alias("_share")).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cinderlog.operators.enrich import join_dimension
-from cinderlog.operators.ordered import largest_group
+from cinderlog.operators.ordered import groups_above
 from cinderlog.session import freeze
 
 MAX_LIST = 10_000
@@ -23,14 +23,14 @@ def nest_attributes(events: DataFrame, attributes: DataFrame, max_list: int = MA
     Once some id has more than `max_list` attributes, such ids get several rows, numbered by
     `chunk`, each with a share of the list; no list grows without bound and no attribute is left out.
     """
-    if largest_group(attributes, ["log_id"]) <= max_list:
+    large = freeze(groups_above(attributes, ["log_id"], max_list), "large")
+    if large.isEmpty():
         chunked = attributes.withColumn("chunk", F.lit(0))
     else:
         # the row ids that spread a large list must stay the same when a task runs again
         fixed = freeze(attributes.withColumn("_row", F.monotonically_increasing_id()), "attributes")
-        sizes = fixed.groupBy("log_id").agg(F.count("*").alias("_n")).where(F.col("_n") > max_list)
-        share = F.pmod(F.xxhash64("_row"), F.ceil(F.col("_n") / max_list)).cast("int")
-        chunked = join_dimension(fixed, sizes, ["log_id"]).withColumn("chunk", F.coalesce(share, F.lit(0)))
+        share = F.pmod(F.xxhash64("_row"), F.ceil(F.col("n") / max_list)).cast("int")
+        chunked = join_dimension(fixed, large, ["log_id"]).withColumn("chunk", F.coalesce(share, F.lit(0)))
     lists = (
         chunked.groupBy("log_id", "chunk")
         .agg(F.array_sort(F.collect_list(F.struct("id", F.col("log_id").alias("logId"), "key", "value"))).alias("attributes"))

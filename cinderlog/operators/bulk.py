@@ -46,7 +46,7 @@ def split_oversize(documents: DataFrame, limit: int = MAX_RECORD_BYTES) -> DataF
 def batches_by_count(df: DataFrame, order: list[str], size: int = MAX_BATCH_RECORDS) -> DataFrame:
     """Add `batch_no`: every `size` rows in the given order, over the whole table."""
     numbered = row_numbers(range_layout(df, order), "_row")
-    return numbered.withColumn("batch_no", F.floor((F.col("_row") - 1) / size).cast("bigint")).drop("_row")
+    return numbered.selectExpr("*", f"(_row - 1) div {size} AS batch_no").drop("_row")
 
 
 def cut_batches(sizes: np.ndarray, count: int, used: int, max_count: int, max_bytes: int) -> tuple[np.ndarray, int, int]:

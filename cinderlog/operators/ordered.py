@@ -20,6 +20,7 @@ def range_layout(df: DataFrame, order: Sequence[str], ranges: int | None = None)
 
     The last sort key is the row's place in the input, so that even equal rows spread over ranges.
     The result is written out: range bounds come from a sample and must not change between uses.
+    Sampling reads `df` once more, so give it a table rather than a costly computation.
     """
     count = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*order, "_tie"]
@@ -68,11 +69,13 @@ def carry(
     source = laid.withColumn("_value", value)
     near = source.withColumn("_near", F.last("_value", ignorenulls=True).over(frame))
 
-    pick = F.min_by if backward else F.max_by
-    edge = F.struct(key.alias("key"), F.col("_value").alias("value"))
-    parts = source.groupBy("_part").agg(
-        pick(edge, F.when(F.col("_value").isNotNull(), F.col("_pos"))).alias("_edge")
+    # the last value of each range (the first, if backward), found by its position
+    held = F.when(F.col("_value").isNotNull(), F.col("_pos"))
+    spots = source.groupBy("_part").agg((F.min(held) if backward else F.max(held)).alias("_pos"))
+    edges = source.join(F.broadcast(spots), ["_part", "_pos"]).select(
+        "_part", F.struct(key.alias("key"), F.col("_value").alias("value")).alias("_edge")
     )
+    parts = spots.select("_part").join(F.broadcast(edges), "_part", "left")
     ranges = Window.orderBy(F.col("_part").desc() if backward else F.col("_part"))
     passed = parts.select(
         "_part", F.last("_edge", ignorenulls=True).over(ranges.rowsBetween(Window.unboundedPreceding, -1)).alias("_edge")
@@ -82,7 +85,6 @@ def carry(
     ).drop("_value", "_near", "_edge")
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group: one narrow, pre-aggregated pass."""
-    row = df.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()
-    return row["n"] or 0
+def groups_above(df: DataFrame, group: Sequence[str], rows: int) -> DataFrame:
+    """Groups with more than `rows` rows, and their size in `n`: one narrow, pre-aggregated pass."""
+    return df.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > rows)

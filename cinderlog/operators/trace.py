@@ -4,24 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cinderlog.operators.ordered import carry, largest_group, range_layout
+from cinderlog.operators.ordered import carry, groups_above, range_layout
+from cinderlog.session import freeze
 
-MAX_WINDOW_ROWS = 1_000_000
+MAX_WINDOW_ROWS = 5_000_000
+
+
+def _plain_gaps(stamped: DataFrame) -> DataFrame:
+    previous = F.lag("_at").over(Window.partitionBy("trace_id").orderBy("_at", "log_id"))
+    return stamped.withColumn("gap_us", F.col("_at") - previous).drop("_at")
+
+
+def _range_gaps(stamped: DataFrame) -> DataFrame:
+    laid = range_layout(stamped, ["trace_id", "_at", "log_id"])
+    linked = carry(laid, ["trace_id"], F.struct("_at"), "_previous", strict=True)
+    return linked.withColumn("gap_us", F.col("_at") - F.col("_previous._at")).drop("_at", "_previous", "_part", "_pos")
 
 
 def timeline(events: DataFrame, max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
     """Add `gap_us`, the time since the previous event of the same trace.
 
-    A plain window serves while every trace is small. If one is larger than `max_window_rows`, all
-    rows are sorted into ranges instead, which no single trace can overload.
+    Traces of up to `max_window_rows` events go through a plain window. Larger ones, which are few,
+    are sorted into ranges, so that no trace fills one task.
     """
     stamped = events.withColumn("_at", F.unix_micros("event_time"))
-    if largest_group(events, ["trace_id"]) <= max_window_rows:
-        previous = F.lag("_at").over(Window.partitionBy("trace_id").orderBy("_at", "log_id"))
-        return stamped.withColumn("gap_us", F.col("_at") - previous).drop("_at")
-    laid = range_layout(stamped, ["trace_id", "_at", "log_id"])
-    linked = carry(laid, ["trace_id"], F.struct("_at"), "_previous", strict=True)
-    return linked.withColumn("gap_us", F.col("_at") - F.col("_previous._at")).drop("_at", "_previous", "_part", "_pos")
+    large = freeze(groups_above(events, ["trace_id"], max_window_rows).select(F.col("trace_id").alias("_large")), "large")
+    if large.isEmpty():
+        return _plain_gaps(stamped)
+    # at most one large trace per `max_window_rows` events
+    is_large = F.col("trace_id").eqNullSafe(F.col("_large"))
+    small = stamped.join(F.broadcast(large), is_large, "left_anti")
+    return _plain_gaps(small).unionByName(_range_gaps(stamped.join(F.broadcast(large), is_large, "left_semi")))
 
 
 def trace_events(events: DataFrame, trace_id: str) -> DataFrame:

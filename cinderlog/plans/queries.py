@@ -287,7 +287,7 @@ def oversize_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _batched(spark: SparkSession, sf: str) -> DataFrame:
-    return bulk.batches_by_count(ad.log_events(spark, sf).select("log_id"), ["log_id"])
+    return bulk.batches_by_count(freeze(ad.log_events(spark, sf).select("log_id"), "events"), ["log_id"])
 
 
 def bulk_batches_by_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -483,7 +483,8 @@ def trace_timeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def context_around_error(spark: SparkSession, sf: str) -> DataFrame:
-    return trace.around_errors(ad.log_events(spark, sf), 60).select("error_id", "log_id", "gap_us")
+    events = freeze(ad.log_events(spark, sf).select("service", "event_time", "log_id", "level"), "events")
+    return trace.around_errors(events, 60).select("error_id", "log_id", "gap_us")
 
 
 def service_health(spark: SparkSession, sf: str) -> DataFrame:

@@ -48,7 +48,7 @@ def _gaps(rows):
     return sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("limit", [10, 1_000_000])
+@pytest.mark.parametrize("limit", [0, 10, 500, 1_000_000])
 def test_timeline_of_small_and_large_traces(events, limit):
     rows, frame = events
     got = trace.timeline(frame, max_window_rows=limit).select("log_id", "gap_us").collect()
@@ -96,7 +96,15 @@ def test_percentiles_match_the_built_in(spark):
         assert got[g] == pytest.approx(expected[g])
 
 
-def test_largest_group(events):
+def test_groups_above(events):
     rows, frame = events
-    assert ordered.largest_group(frame, ["trace_id"]) == sum(r[1] == "t-hot" for r in rows)
-    assert ordered.largest_group(frame.limit(0), ["trace_id"]) == 0
+    hot = sum(r[1] == "t-hot" for r in rows)
+    assert [(r["trace_id"], r["n"]) for r in ordered.groups_above(frame, ["trace_id"], 500).collect()] == [("t-hot", hot)]
+
+
+def test_rows_without_a_trace_are_one_group(spark):
+    rows = [(f"{i:03d}", None if i % 2 else "t", i) for i in range(100)]
+    frame = spark.createDataFrame(rows, "log_id string, trace_id string, at int").withColumn("event_time", F.timestamp_seconds("at"))
+    for limit in (10, 49, 1000):
+        gaps = sorted((r["log_id"], r["gap_us"]) for r in trace.timeline(frame, limit).collect())
+        assert gaps == [(f"{i:03d}", None if i < 2 else 2_000_000) for i in range(100)]
