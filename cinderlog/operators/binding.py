@@ -17,9 +17,11 @@ def _later_time(value: str, rec: str) -> str:
     )
 
 
-def _texts(value: str, alias_times: bool) -> str:
+def _texts(value: str, alias_times: bool, drop_log_time: bool) -> str:
     """Struct of the text fields, from whichever format the row has."""
     log, csv = lines.log_fields("_read.log"), lines.csv_fields("_read.csv")
+    if drop_log_time:
+        del log["timestamp"]
     parts = []
     for field in records.TEXT_FIELDS:
         json = f"_read.json.{field}"
@@ -93,12 +95,14 @@ def bind(
     arrival: Column | None = None,
     max_bytes: int = MAX_RECORD_BYTES,
     compat_ingestion_alias: bool = False,
+    compat_drop_log_time: bool = False,
 ) -> DataFrame:
     """Add `event` (struct of the event columns) and `reason` (NULL when the record is valid).
 
     `parser` names the format of each row: json, log, csv or raw. All formats of a mixed input are
     bound in one pass. A record without an ingestion time takes `arrival`, by default the present.
-    With `compat_ingestion_alias` both times carry the value of whichever key comes later.
+    With `compat_ingestion_alias` both times carry the value of whichever key comes later; with
+    `compat_drop_log_time` log lines lose their time, as they do when it is taken as the line's key.
     """
     read = (
         f"named_struct('json', CASE WHEN _parser = 'json' THEN {records.read_record(value)} END, "
@@ -108,7 +112,7 @@ def bind(
     judged = (
         df.withColumn("_parser", F.lit(parser) if isinstance(parser, str) else parser)
         .selectExpr("*", f"{read} AS _read")
-        .selectExpr("*", f"{_texts(value, compat_ingestion_alias)} AS _text")
+        .selectExpr("*", f"{_texts(value, compat_ingestion_alias, compat_drop_log_time)} AS _text")
         .selectExpr("*", f"{_typed(value, compat_ingestion_alias)} AS _bound")
         .selectExpr("*", f"{_kept_apart(_reason(value, max_bytes))} AS reason")
     )

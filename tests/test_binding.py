@@ -93,6 +93,11 @@ def test_alias_of_the_two_times(spark):
     assert times[0] == times[2] and times[1] < times[0] and times[3] == (None, None)
 
 
+def test_dropped_log_time(spark):
+    row = _bind(spark, [LOG.format("m | ")], "log", compat_drop_log_time=True)[0]
+    assert row["reason"] is None and row["event"]["event_time"] is None and row["event"]["log_id"] == "1"
+
+
 def test_oversize(spark):
     rows = _bind(spark, ['{"message":"ééééé"}', '{"message":"eeeee"}'], max_bytes=20)
     assert (rows[0]["reason"], rows[1]["reason"]) == ("oversize", None)
