@@ -12,3 +12,11 @@ def quoted(text: str) -> str:
 
 def quoted_list(texts) -> str:
     return ", ".join(quoted(t) for t in texts)
+
+
+def kept_apart(sql: str) -> str:
+    """`sql`, marked so that a filter on it is not moved below the projection that computes it.
+
+    A moved filter would carry a copy of the whole expression, and it would be worked out twice.
+    """
+    return f"CASE WHEN spark_partition_id() >= 0 THEN {sql} END"

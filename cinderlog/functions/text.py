@@ -13,10 +13,13 @@ def tokens(text: str) -> str:
 
 
 def _terms(terms: Sequence[str]) -> str:
-    wanted = sorted({t.lower() for t in terms})
-    if not wanted:
-        raise ValueError("no search terms given")
-    return quoted_list(wanted)
+    return quoted_list(sorted({t.lower() for t in terms}))
+
+
+def may_match(text: str, terms: Sequence[str], every: bool) -> str:
+    """Whether the terms (every one, or any) occur as parts of the text, which tokens must do too."""
+    held = [f"contains(lower({text}), {quoted(t)})" for t in sorted({t.lower() for t in terms})]
+    return "({})".format((" AND " if every else " OR ").join(held))
 
 
 def match_any(token_list: str, terms: Sequence[str]) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cinderlog.functions import attributes as attr, lines, quoted_list, records, times
+from cinderlog.functions import attributes as attr, kept_apart, lines, quoted_list, records, times
 from cinderlog.schema import COLUMN_BY_FIELD, EVENT_COLUMNS, LEVELS, MAX_RECORD_BYTES
 
 
@@ -80,14 +80,6 @@ def _reason(value: str, max_bytes: int) -> str:
     return "CASE {} END".format(" ".join(f"WHEN {test} THEN '{reason}'" for reason, test in checks.items()))
 
 
-def _kept_apart(value: str) -> str:
-    """`value`, marked so that a filter on it is not moved below the projection that computes it.
-
-    A moved filter would carry a copy of the whole expression, and the record would be read twice.
-    """
-    return f"CASE WHEN spark_partition_id() >= 0 THEN {value} END"
-
-
 def bind(
     df: DataFrame,
     parser: Column | str = "json",
@@ -114,7 +106,7 @@ def bind(
         .selectExpr("*", f"{read} AS _read")
         .selectExpr("*", f"{_texts(value, compat_ingestion_alias, compat_drop_log_time)} AS _text")
         .selectExpr("*", f"{_typed(value, compat_ingestion_alias)} AS _bound")
-        .selectExpr("*", f"{_kept_apart(_reason(value, max_bytes))} AS reason")
+        .selectExpr("*", f"{kept_apart(_reason(value, max_bytes))} AS reason")
     )
     event = F.col("_bound")
     if not compat_ingestion_alias:

@@ -6,18 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cinderlog.functions import text as txt
+from cinderlog.functions import kept_apart, text as txt
 from cinderlog.schema import LEVELS
 
 
 def search(
     df: DataFrame, terms: Sequence[str], text: str = "message", mode: str = "all"
 ) -> DataFrame:
-    """Rows whose text has all (or any) of the terms, with `score`, the number of hits."""
+    """Rows whose text has all (or any) of the terms, with `score`, the number of hits.
+
+    Only texts that hold the terms at all, if only as parts of words, are cut into words.
+    """
+    if not terms:
+        raise ValueError("no search terms given")
     matches = {"all": txt.match_all, "any": txt.match_any}[mode]
-    found = df.selectExpr("*", f"{txt.tokens(text)} AS _tokens")
     return (
-        found.where(matches("_tokens", terms))
+        df.where(txt.may_match(text, terms, mode == "all"))
+        .selectExpr("*", f"{kept_apart(txt.tokens(text))} AS _tokens")
+        .where(matches("_tokens", terms))
         .selectExpr("*", f"{txt.match_count('_tokens', terms)} AS score")
         .drop("_tokens")
     )
