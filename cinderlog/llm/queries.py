@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinderlog.llm import quality
+from cinderlog.llm import quality, simhash
 from cinderlog.llm.common import table
 
 
+def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -15,6 +20,6 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, forest)
 
 
-REGISTERED = (op3_quality_rules,)
+REGISTERED = (op1_simhash_groups, op3_quality_rules)
 
 ORACLES: dict[str, str] = {}
