@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinderlog.llm import quality, simhash
+from cinderlog.llm import packing, quality, simhash
 from cinderlog.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, forest)
 
 
-REGISTERED = (op1_simhash_groups, op3_quality_rules)
+def op6_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document."""
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+REGISTERED = (op1_simhash_groups, op3_quality_rules, op6_packed_sequences)
 
 ORACLES: dict[str, str] = {}
