@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinderlog.llm import packing, quality, simhash
+from cinderlog.llm import decontaminate, packing, quality, simhash
 from cinderlog.llm.common import table
 
 
@@ -25,6 +25,12 @@ def op6_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-REGISTERED = (op1_simhash_groups, op3_quality_rules, op6_packed_sequences)
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark hits and verdict of every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+REGISTERED = (op1_simhash_groups, op3_quality_rules, op6_packed_sequences, op9_contamination)
 
 ORACLES: dict[str, str] = {}
