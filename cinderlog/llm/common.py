@@ -63,3 +63,11 @@ def labelled_sample(labels: DataFrame, key: str, columns: list[str], bound: int)
         F.min(F.struct(*columns)).alias("_label")
     ).select(key, *[F.col(f"_label.{c}").alias(c) for c in columns])
     return known.orderBy(F.xxhash64(key), key).limit(bound)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name

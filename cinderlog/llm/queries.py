@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinderlog.llm import decontaminate, packing, quality, simhash
+from cinderlog.llm import decontaminate, packing, quality, secrets, simhash
 from cinderlog.llm.common import table
+from cinderlog.session import work_path
 
 
 def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,12 +26,19 @@ def op6_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by way of a new ledger of their contents."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    ledger = secrets.update_ledger(docs, work_path(spark, "secret-ledger"))
+    return secrets.report(secrets.findings(docs, ledger))
+
+
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark hits and verdict of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
-REGISTERED = (op1_simhash_groups, op3_quality_rules, op6_packed_sequences, op9_contamination)
+REGISTERED = (op1_simhash_groups, op3_quality_rules, op6_packed_sequences, op7_secret_ledger, op9_contamination)
 
 ORACLES: dict[str, str] = {}

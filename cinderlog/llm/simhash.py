@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from cinderlog.llm.common import Batches, mapped, raw
+from cinderlog.llm.common import Batches, mapped, raw, unused
 from cinderlog.llm.graph import connected_components
 from cinderlog.session import freeze
 
@@ -301,7 +301,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", distance:
 
     The documents are written once with a number for each row, so that the choice holds for repeated rows too.
     """
-    row = _unused(docs, "row")
+    row = unused(docs, "row")
     numbered = freeze(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     kept = [F.col(row).alias("id"), F.col(key).alias("key")]
     prints = freeze(fingerprints(numbered, kept, text), "fingerprints")
@@ -312,11 +312,3 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", distance:
         .select(F.col("first.id").alias(row))
     )
     return numbered.join(chosen, row, "left_semi").drop(row)
-
-
-def _unused(df: DataFrame, name: str) -> str:
-    """A column name that `df` does not have."""
-    taken = {c.lower() for c in df.columns}
-    while name in taken:
-        name = f"_{name}"
-    return name
