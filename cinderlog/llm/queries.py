@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinderlog.llm import decontaminate, packing, quality, secrets, simhash
+from cinderlog.llm import decontaminate, fixity, licenses, packing, quality, secrets, simhash
 from cinderlog.llm.common import table
 from cinderlog.session import work_path
 
@@ -21,6 +21,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, forest)
 
 
+def op5_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every piece of every document."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -39,6 +44,85 @@ def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
-REGISTERED = (op1_simhash_groups, op3_quality_rules, op6_packed_sequences, op7_secret_ledger, op9_contamination)
-
-ORACLES: dict[str, str] = {}
+#: The damage done to the second replica, on a column `record`: every fiftieth page has its middle character replaced,
+#: every hundredth or so is lost.
+_CHANGED, _LOST = "record_id % 50 = 7", "record_id % 101 = 13"
+_DAMAGED = (
+    "concat(substring(record, 1, length(record) DIV 2), "
+    "CASE WHEN substring(record, length(record) DIV 2 + 1, 1) = '~' THEN '-' ELSE '~' END, "
+    "substring(record, length(record) DIV 2 + 2))"
+)
+
+
+def op10_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records, against a replica in which some are changed or lost: the records that the audit finds."""
+    pages = table(spark, sf_dir, "pages")
+    stored = fixity.archive(pages, "page_id", F.expr(fixity.warc_record("url", "html")))
+    replica = stored.where(f"coalesce(NOT ({_LOST}), true)").withColumn(
+        "record", F.expr(f"CASE WHEN {_CHANGED} THEN {_DAMAGED} ELSE record END")
+    )
+    found = fixity.audit(fixity.build_tree(stored), fixity.build_tree(replica))
+    return found.select(
+        F.col("record_id").alias("page_id"), "status", F.col("length_a").alias("length"),
+        F.col("digest_a").alias("stored_sha256"), F.col("digest_b").alias("found_sha256"),
+    )
+
+
+REGISTERED = (
+    op1_simhash_groups, op3_quality_rules, op5_license_sentences, op6_packed_sequences, op7_secret_ledger, op9_contamination,
+    op10_merkle_fixity,
+)
+
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    """The licence scan with the functions of the oracle's own engine."""
+    known = licenses.known_sentences()
+    keys, values = (f"[{', '.join(map(_sql_text, x))}]" for x in (known, known.values()))
+    normal = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+    state = "list_aggregate(list_transform(ids, lambda i: ',' || i || ','), 'string_agg', '')"
+    for name, sentences in licenses.RULES:
+        put = f",<{name}>," + "".join(f"\\{i}" for i in range(1, len(sentences)))
+        state = f"regexp_replace({state}, {_sql_text(licenses.rule_pattern(sentences))}, {_sql_text(put)}, 'g')"
+    return f"""
+WITH known AS (SELECT map({keys}, {values}) AS m),
+parts AS (
+  SELECT doc_id, unnest(regexp_split_to_array(text, {_sql_text(licenses.SENTENCE_END)})) AS s,
+         generate_subscripts(regexp_split_to_array(text, {_sql_text(licenses.SENTENCE_END)}), 1) AS i
+  FROM documents WHERE regexp_matches(text, {_sql_text(licenses.HINT)})
+), lines AS (
+  SELECT doc_id, i, CASE WHEN m[{normal.format('s')}] IS NOT NULL THEN [m[{normal.format('s')}]]
+    ELSE list_filter(list_transform(string_split(s, chr(10)), lambda l: m[{normal.format('l')}]), lambda x: x IS NOT NULL)
+    END AS found
+  FROM parts, known
+), named AS (
+  SELECT doc_id, flatten(list(found ORDER BY i)) AS ids FROM lines GROUP BY doc_id
+), judged AS (
+  SELECT doc_id, coalesce(ids, []) AS ids, coalesce(CASE WHEN len(ids) > 0 THEN {state} END, '') AS state
+  FROM documents LEFT JOIN named USING (doc_id)
+)
+SELECT doc_id, coalesce(list_aggregate(ids, 'string_agg', ','), '') AS sentence_ids,
+  coalesce(list_aggregate(list_sort(list_distinct(regexp_extract_all(state, '<([^>]+)>', 1))), 'string_agg', ','), '') AS licenses,
+  CAST(len(regexp_extract_all(state, ',([a-z0-9_]+),', 1)) AS BIGINT) AS n_unmatched
+FROM judged"""
+
+
+_FIXITY_SQL = """
+WITH records AS (
+  SELECT page_id, concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10), 'WARC-Target-URI: ',
+    coalesce(url, ''), chr(13), chr(10), 'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ',
+    octet_length(encode(coalesce(html, ''))), chr(13), chr(10), chr(13), chr(10), coalesce(html, ''), chr(13), chr(10),
+    chr(13), chr(10)) AS r
+  FROM pages WHERE page_id % 50 = 7 OR page_id % 101 = 13
+)
+SELECT page_id, CASE WHEN page_id % 101 = 13 THEN 'missing' ELSE 'changed' END AS status,
+  octet_length(encode(r)) AS length, sha256(r) AS stored_sha256,
+  CASE WHEN page_id % 101 <> 13 THEN sha256(concat(substring(r, 1, length(r) // 2),
+    CASE WHEN substring(r, length(r) // 2 + 1, 1) = '~' THEN '-' ELSE '~' END, substring(r, length(r) // 2 + 2))) END AS found_sha256
+FROM records"""
+
+ORACLES = {"op5_license_sentences": _license_sql(), "op10_merkle_fixity": _FIXITY_SQL}
