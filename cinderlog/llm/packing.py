@@ -185,7 +185,7 @@ def pack(
         above = F.lit(0).cast("bigint")
         if len(nodes) > FAN_IN:
             ranks = docs.sparkSession.createDataFrame([(n, i // FAN_IN) for i, n in enumerate(nodes)], "node bigint, above bigint")
-            grouped = waiting.join(F.broadcast(ranks), "node").withColumn("node", F.col("above")).drop("above")
+            grouped = waiting.join(ranks, "node").withColumn("node", F.col("above")).drop("above")
         else:
             grouped = waiting.withColumn("node", above)
         step = _next_round(len(rounds), capacity, slack, len(nodes) <= FAN_IN)

@@ -201,16 +201,21 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_DOCUMENTS) -
     """Fit on at most `bound` labelled documents; labels has doc_id and quality (0 or 1)."""
     sample = labelled_sample(labels, "doc_id", ["quality"], bound)
 
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
     def task(batches: Batches) -> Batches:
         for batch in batches:
-            rows = [measure(t)[1] for t in batch.column("text").to_pylist()]
+            rows = [measure(t)[1] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.list_(pa.float64())), batch.column("quality").cast(pa.int32())],
-                names=["features", "quality"],
+                [batch.column(0), pa.array(rows, pa.list_(pa.float64())), batch.column(2).cast(pa.int32())],
+                names=["doc_id", "features", "quality"],
             )
 
-    known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    found = mapped(known.select("text", "quality"), task, "features array<double>, quality int").toArrow()
+    known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality")
+    # of rows with one doc_id one counts, so that no more than the bound come to the driver
+    found = mapped(known, task, f"doc_id {kind}, features array<double>, quality int").groupBy("doc_id").agg(
+        F.min(F.struct("features", "quality")).alias("row")
+    ).select("row.*").toArrow()
     rows = np.array(found.column("features").to_pylist(), float).reshape(-1, len(FEATURES))
     good = (found.column("quality").to_numpy() > 0).astype(float)
     order = np.lexsort((good, *rows.T))  # the same trees in whatever order the rows come

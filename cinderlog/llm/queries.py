@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinderlog.llm import decontaminate, fixity, licenses, packing, quality, secrets, simhash
+from cinderlog.llm import decontaminate, fixity, language, licenses, packing, quality, secrets, simhash, toxicity
 from cinderlog.llm.common import table
 from cinderlog.session import work_path
 
@@ -21,6 +21,17 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, forest)
 
 
+#: The chain: junk first, then toxic documents, then those that are both.
+_CATEGORIES = {"junk": "quality = 0", "toxic": "toxic = 1", "toxic_junk": "toxic = 1 AND quality = 0"}
+
+
+def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of every document, and whether it is toxic."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), _CATEGORIES)
+    return toxicity.score(docs, chain).withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
 def op5_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence sentences and licences of every document."""
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -38,6 +49,12 @@ def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.findings(docs, ledger))
 
 
+def op8_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return language.identify(docs, language.train(docs, language.held_out()))
+
+
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark hits and verdict of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -69,7 +86,7 @@ def op10_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = (
-    op1_simhash_groups, op3_quality_rules, op5_license_sentences, op6_packed_sequences, op7_secret_ledger, op9_contamination,
+    op1_simhash_groups, op3_quality_rules, op4_toxicity_chain, op5_license_sentences, op6_packed_sequences, op7_secret_ledger, op8_language_bayes, op9_contamination,
     op10_merkle_fixity,
 )
 
