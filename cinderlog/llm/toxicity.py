@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -30,13 +31,40 @@ ROUNDS = 250
 #: Weight of the sum of absolute weights in the loss.
 SPARSITY = 2e-4
 
+#: Words count by their beginnings too, of these lengths, and by whether a beginning comes once, twice or more.
+PREFIXES = (4, 5, 6, 7)
+REPEATS = 3
+#: Words whose features a task remembers.
+MEMORY = 300_000
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _bucket(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+def _counted(text: str | None) -> Counter:
+    """Words of letters, lower case, with how often they come."""
+    return Counter(_WORD.findall((text or "").lower()))
+
+
+def _repeats(prefix: str) -> list[int]:
+    """The buckets of a beginning that comes at least once, twice, and so on."""
+    return [_bucket(f"{prefix} {k}") for k in range(1, REPEATS + 1)]
+
+
 def buckets_of(text: str | None) -> list[int]:
-    """Buckets of the different words of a text, letters only, lower case."""
-    words = set(_WORD.findall((text or "").lower()))
-    return sorted({zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in words})
+    """Buckets of the different words of a text and of their beginnings."""
+    counts, starts = _counted(text), Counter()
+    for word, n in counts.items():
+        for size in PREFIXES:
+            if len(word) > size:
+                starts[word[:size]] += n
+    found = {_bucket(word) for word in counts}
+    for prefix, n in starts.items():
+        found.update(_repeats(prefix)[:n])
+    return sorted(found)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -108,9 +136,33 @@ class Chain:
     earlier: tuple[np.ndarray, ...]
     bias: np.ndarray
 
-    def predict(self, texts: list[str | None]) -> np.ndarray:
+    def _known(self, word: str) -> tuple[int | None, tuple[str, ...]]:
+        """The column of a word, and those of its beginnings that have one."""
+        starts = (word[:size] for size in PREFIXES if len(word) > size)
+        return self.columns.get(_bucket(word)), tuple(p for p in starts if any(b in self.columns for b in _repeats(p)))
+
+    def read(self, text: str | None, memory: dict) -> list[int]:
+        """The columns of a text, as `buckets_of` has them; few words have any, which `memory` knows."""
+        found, starts = set(), Counter()
+        for word, n in _counted(text).items():
+            known = memory.get(word)
+            if known is None:
+                if len(memory) >= MEMORY:
+                    memory.clear()
+                known = memory[word] = self._known(word)
+            column, prefixes = known
+            if column is not None:
+                found.add(column)
+            for prefix in prefixes:
+                starts[prefix] += n
+        for prefix, n in starts.items():
+            found.update(self.columns[b] for b in _repeats(prefix)[:n] if b in self.columns)
+        return sorted(found)
+
+    def predict(self, texts: list[str | None], memory: dict | None = None) -> np.ndarray:
         """The probability of each category for each text."""
-        columns = [[self.columns[b] for b in buckets_of(t) if b in self.columns] for t in texts]
+        memory = {} if memory is None else memory
+        columns = [self.read(t, memory) for t in texts]
         rows = Rows(columns, len(self.columns))
         found = np.zeros((len(texts), 0))
         for k in range(len(self.categories)):
@@ -203,8 +255,9 @@ def score(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text"
     names = [key, *[f"p_{c}" for c in chain.categories]]
 
     def task(batches: Batches) -> Batches:
+        memory: dict = {}
         for batch in batches:
-            found = held.value.predict(batch.column(1).to_pylist())
+            found = held.value.predict(batch.column(1).to_pylist(), memory)
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found.T.copy())], names=names)
 
     return mapped(rows, task, ", ".join([f"`{key}` {kind}", *[f"`{n}` double" for n in names[1:]]]))
