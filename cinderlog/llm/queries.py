@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinderlog.llm import decontaminate, fixity, language, licenses, packing, quality, secrets, simhash, toxicity
+from cinderlog.llm import (
+    decontaminate, extraction, fixity, language, licenses, packing, quality, secrets, simhash, toxicity,
+)
 from cinderlog.llm.common import table
 from cinderlog.session import work_path
 
@@ -14,6 +16,12 @@ def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train(pages))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -86,8 +94,8 @@ def op10_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = (
-    op1_simhash_groups, op3_quality_rules, op4_toxicity_chain, op5_license_sentences, op6_packed_sequences, op7_secret_ledger, op8_language_bayes, op9_contamination,
-    op10_merkle_fixity,
+    op1_simhash_groups, op2_main_text, op3_quality_rules, op4_toxicity_chain, op5_license_sentences,
+    op6_packed_sequences, op7_secret_ledger, op8_language_bayes, op9_contamination, op10_merkle_fixity,
 )
 
 
