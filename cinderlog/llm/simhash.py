@@ -145,7 +145,7 @@ def allocate(costs: list[list[float]], distance: int) -> tuple[float, tuple[int,
 def _costs(total: int, width: int, pairs: np.ndarray, distance: int) -> list[float]:
     """Of each threshold from -1: the probes to send and the pairs to compare."""
     probes = np.cumsum([math.comb(width, r) for r in range(distance + 1)])
-    return [0.0, *(PROBE_COST * total * probes + pairs)]
+    return [0.0, *(PROBE_COST * max(1, total) * probes + pairs)]
 
 
 def make_plan(nodes: DataFrame, distance: int = DISTANCE) -> Plan:
