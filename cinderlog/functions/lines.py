@@ -11,16 +11,17 @@ _MARK = "\\u0001"
 def _captures(line: str, pattern: str, count: int) -> str:
     """Array of the pattern's groups, NULL where the line does not match.
 
-    One replacement writes all groups with a mark between them. A line that holds the mark itself
-    is cut group by group instead.
+    One replacement writes all groups with a mark between them; a line that does not match stays as it is and
+    has no marks. A line that holds the mark itself is cut group by group instead.
     """
     pattern = quoted(pattern)
     groups = range(1, count + 1)
     joined = _MARK.join(f"${i}" for i in groups)
     slow = ", ".join(f"regexp_extract({line}, {pattern}, {i})" for i in groups)
+    cut = f"split(regexp_replace({line}, {pattern}, '{joined}'), '{_MARK}', -1)"
     return (
-        f"CASE WHEN NOT {line} RLIKE {pattern} THEN NULL WHEN contains({line}, '{_MARK}') THEN array({slow}) "
-        f"ELSE split(regexp_replace({line}, {pattern}, '{joined}'), '{_MARK}', -1) END"
+        f"CASE WHEN contains({line}, '{_MARK}') THEN CASE WHEN {line} RLIKE {pattern} THEN array({slow}) END "
+        f"ELSE try_element_at(filter(array({cut}), c -> size(c) = {count}), 1) END"
     )
 
 

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cinderlog.operators.ordered import range_layout
-from cinderlog.session import freeze
 
 ERROR = "ERROR"
 
@@ -31,14 +31,29 @@ def metric_columns() -> list[Column]:
     ]
 
 
-def metrics(events: DataFrame, width: str = "1 hour", by: Sequence[str] = ("service",)) -> DataFrame:
-    """Metrics per time window and group; works on tables and, with a watermark, on streams."""
+def metrics(
+    events: DataFrame, width: str = "1 hour", by: Sequence[str] = ("service",), slide: str | None = None
+) -> DataFrame:
+    """Metrics per time window and group; works on tables and, with a watermark, on streams.
+
+    With `slide` a window starts every so often, and an event counts in every window it falls into.
+    """
     return (
-        events.groupBy(F.window("event_time", width), *by).agg(*metric_columns())
+        events.groupBy(F.window("event_time", width, slide), *by).agg(*metric_columns())
         .select(F.col("window.start").alias("window_start"), *by, "n", "n_error", "error_ratio", "bytes")
     )
 
 
+def session_metrics(events: DataFrame, gap: str = "30 minutes", by: Sequence[str] = ("trace_id",)) -> DataFrame:
+    """Metrics per session: a run of events of a group without a longer gap between them; `session_end` is the last
+    event's time plus the gap."""
+    return (
+        events.groupBy(F.session_window("event_time", gap).alias("session"), *by).agg(*metric_columns())
+        .select(F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"), *by,
+                "n", "n_error", "error_ratio", "bytes")
+    )
+
+
 def count_by(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(_long(F.count("*")).alias("n"))
 
@@ -65,14 +80,29 @@ def cube_counts(events: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def percentile_name(point: float) -> str:
+    """The column of a percentile: p50 for 0.5, p99_9 for 0.999."""
+    return "p" + format((Decimal(str(point)) * 100).normalize(), "f").replace(".", "_")
+
+
+def percentiles_approx(
+    df: DataFrame, by: str, value: str, points: Sequence[float], accuracy: int = 10_000
+) -> DataFrame:
+    """Percentiles per group from a sketch, one column per point; the rank is off by at most 1 / accuracy.
+
+    A sketch is built in each task and merged, so a group of any size takes one small row a task.
+    """
+    return df.groupBy(by).agg(*[F.percentile_approx(value, q, accuracy).alias(percentile_name(q)) for q in points])
+
+
 def percentiles(df: DataFrame, by: str, value: str, points: Sequence[float]) -> DataFrame:
-    """Exact interpolated percentiles per group, one column `p<percent>` per point.
+    """Exact interpolated percentiles per group, one column per point, see `percentile_name`.
 
     The built-in function holds all values of a group in one buffer. Here equal values are counted
     first, the counts are sorted into ranges, and each percentile is picked by its rank.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("_n"))
-    laid = range_layout(freeze(counted, "counts"), [by, value])
+    laid = range_layout(counted, [by, value])
     upto = Window.partitionBy("_part", by).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shares = laid.groupBy("_part", by).agg(F.sum("_n").alias("_share")).select(
@@ -99,4 +129,4 @@ def percentiles(df: DataFrame, by: str, value: str, points: Sequence[float]) ->
     # only the rows at a wanted rank go on to the last shuffle
     wanted = [edge((F.col("_total") - 1) * F.lit(q)) for q in points for edge in (F.floor, F.ceil)]
     hit = reduce(lambda a, b: a | b, [(F.col("_start") <= r) & (r < F.col("_end")) for r in wanted])
-    return ranked.where(hit).groupBy(by).agg(*[point(q).alias(f"p{round(q * 100)}") for q in points])
+    return ranked.where(hit).groupBy(by).agg(*[point(q).alias(percentile_name(q)) for q in points])

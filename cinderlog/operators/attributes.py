@@ -4,35 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cinderlog.operators.enrich import join_dimension
-from cinderlog.operators.ordered import groups_above
-from cinderlog.session import freeze
+KEY = "record_id"
 
-MAX_LIST = 10_000
 
+def flatten_attributes(events: DataFrame, keep_empty: bool = False, key: str = "log_id") -> DataFrame:
+    """One row per attribute: key, id, key, value. `keep_empty` keeps events without any.
 
-def flatten_attributes(events: DataFrame, keep_empty: bool = False) -> DataFrame:
-    """One row per attribute: log_id, id, key, value. `keep_empty` keeps events without any."""
+    `key` names the event in the rows. A log id may be missing or come twice; to re-attach the rows, take a key that
+    every event has once, such as `enrich.document_id` over the record's source.
+    """
     rows = F.explode_outer if keep_empty else F.explode
-    return events.select("log_id", rows("attributes").alias("a")).select("log_id", "a.id", "a.key", "a.value")
+    return events.select(F.col(key), rows("attributes").alias("a")).select(key, "a.id", "a.logId", "a.key", "a.value").select(
+        key, "id", *([] if key == "log_id" else ["logId"]), "key", "value"
+    )
 
 
-def nest_attributes(events: DataFrame, attributes: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
-    """Re-attach attribute rows to events on log_id, as a list sorted by id, key and value.
+def nest_attributes(events: DataFrame, attributes: DataFrame, key: str = "log_id") -> DataFrame:
+    """Re-attach attribute rows to events, as a list sorted by id, key and value; one row per event at any size.
 
-    Once some id has more than `max_list` attributes, such ids get several rows, numbered by
-    `chunk`, each with a share of the list; no list grows without bound and no attribute is left out.
+    A list is as long as the event has attributes, which the size limit of a record bounds. Rows whose key no event
+    has are left out, as are rows without a key; an event without rows has a NULL list.
     """
-    large = freeze(groups_above(attributes, ["log_id"], max_list), "large")
-    if large.isEmpty():
-        chunked = attributes.withColumn("chunk", F.lit(0))
-    else:
-        # the row ids that spread a large list must stay the same when a task runs again
-        fixed = freeze(attributes.withColumn("_row", F.monotonically_increasing_id()), "attributes")
-        share = F.pmod(F.xxhash64("_row"), F.ceil(F.col("n") / max_list)).cast("int")
-        chunked = join_dimension(fixed, large, ["log_id"]).withColumn("chunk", F.coalesce(share, F.lit(0)))
-    lists = (
-        chunked.groupBy("log_id", "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct("id", F.col("log_id").alias("logId"), "key", "value"))).alias("attributes"))
+    log_id = F.col("logId") if "logId" in attributes.columns else F.col(key).cast("string")
+    lists = attributes.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("id", log_id.alias("logId"), "key", "value"))).alias("attributes")
     )
-    return events.drop("attributes").join(lists, "log_id", "left").withColumn("chunk", F.coalesce("chunk", F.lit(0)))
+    return events.drop("attributes").join(lists, key, "left")

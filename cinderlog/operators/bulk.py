@@ -1,15 +1,14 @@
-"""Bulk index requests: actions, batches, outcomes, retries and counters."""
+"""Bulk index requests: actions, batches and counters."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cinderlog.functions import records
-from cinderlog.operators.ordered import range_layout, row_numbers
 from cinderlog.schema import INDEX_NAME, MAX_BATCH_BYTES, MAX_BATCH_RECORDS, MAX_RECORD_BYTES
 
 
@@ -43,10 +42,12 @@ def split_oversize(documents: DataFrame, limit: int = MAX_RECORD_BYTES) -> DataF
     return documents.withColumn("is_oversize", F.col("bytes") > limit)
 
 
-def batches_by_count(df: DataFrame, order: list[str], size: int = MAX_BATCH_RECORDS) -> DataFrame:
-    """Add `batch_no`: every `size` rows in the given order, over the whole table."""
-    numbered = row_numbers(range_layout(df, order), "_row")
-    return numbered.selectExpr("*", f"(_row - 1) div {size} AS batch_no").drop("_row")
+def batches_by_count(df: DataFrame, size: int = MAX_BATCH_RECORDS) -> DataFrame:
+    """Add `lane` and `batch_no`: every `size` rows of a partition in arrival order, as each writer task has them."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the low bits count within a partition
+    return df.withColumns({"lane": F.spark_partition_id(), "_place": place}).selectExpr(
+        "*", f"_place div {size} AS batch_no"
+    ).drop("_place")
 
 
 def cut_batches(sizes: np.ndarray, count: int, used: int, max_count: int, max_bytes: int) -> tuple[np.ndarray, int, int]:
@@ -98,29 +99,6 @@ def batches_by_size(
     return laned.mapInArrow(assign, schema)
 
 
-def outcomes(batched: DataFrame, error: Callable[[int], Column], attempts: int = 2) -> DataFrame:
-    """One row per item and attempt, with `attempt` and `error` (NULL when the item went through).
-
-    Every attempt after the first sends again only the items that failed before. `error` gives the
-    outcome of an attempt as a column.
-    """
-    current = batched.withColumns({"attempt": F.lit(1).cast("bigint"), "error": error(1)})
-    sent = current
-    for attempt in range(2, attempts + 1):
-        current = current.where(F.col("error").isNotNull()).withColumns(
-            {"attempt": F.lit(attempt).cast("bigint"), "error": error(attempt)}
-        )
-        sent = sent.unionByName(current)
-    return sent
-
-
-def requests(sent: DataFrame, *lane: str) -> DataFrame:
-    """One row per request: `records` sent and `failed` among them."""
-    return sent.groupBy(*lane, "batch_no", "attempt").agg(
-        F.count("*").alias("records"), F.count("error").alias("failed")
-    ).withColumn("whole_request", F.lit(False))
-
-
 def sink_counters(sent_requests: DataFrame) -> DataFrame:
     """Requests submitted, records with errors, and records the index refused one by one.
 

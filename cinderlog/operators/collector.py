@@ -50,13 +50,34 @@ def union_formats(*frames: DataFrame) -> DataFrame:
 
 
 def explode_bodies(df: DataFrame, body: str = "body") -> DataFrame:
-    """One row per record of each request body, in `record` (a map), without the forwarder's date key."""
+    """One row per record of each request body, in `record` (a map), without the forwarder's date key.
+
+    A body that is not an array of objects has no records here; `body_quarantine` gives it with its reason.
+    """
     others = [c for c in df.columns if c != body]
     return df.select(*others, F.expr(f"explode({records.read_bodies(body)})").alias("record")).withColumn(
         "record", F.expr(records.without_key("record", FORWARDER_DATE_KEY))
     )
 
 
+def body_reason(body: str = "body") -> str:
+    """SQL: why a body is not an array of objects; NULL for one that is."""
+    return (
+        f"CASE WHEN {records.read_bodies(body)} IS NOT NULL THEN NULL WHEN {body} IS NULL OR trim({body}) = '' THEN 'empty' "
+        f"WHEN try_parse_json({body}) IS NULL THEN 'not_json' ELSE 'not_array_of_objects' END"
+    )
+
+
+def body_quarantine(df: DataFrame, body: str = "body") -> DataFrame:
+    """The bodies that `explode_bodies` gives no records for, whole, with the reason.
+
+    An array with one wrong element is kept out as a whole, as the collector takes a body as a whole or not at all.
+    An empty array is a body without records and is not kept out.
+    """
+    others = [c for c in df.columns if c != body]
+    return df.selectExpr(*[f"`{c}`" for c in others], f"`{body}` AS raw", f"{body_reason(f'`{body}`')} AS reason").where("reason IS NOT NULL")
+
+
 def body_sizes(df: DataFrame, body: str = "body") -> DataFrame:
     """Replace each body by its number of records, `n`."""
     others = [c for c in df.columns if c != body]

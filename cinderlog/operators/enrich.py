@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cinderlog.schema import LEVELS
 
-BROADCAST_ROWS = 100_000
-
-
 def level_rank(level: Column) -> Column:
     """0 for TRACE up to 4 for ERROR."""
     rank = F.array_position(F.array(*[F.lit(name) for name in LEVELS]), level) - 1
@@ -30,17 +27,7 @@ def document_id(*source: str) -> Column:
     return F.coalesce(F.col("log_id"), F.sha2(F.concat_ws("\u0001", *parts), 256))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `max_rows` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(
-    events: DataFrame, dimension: DataFrame, on: list[str], max_rows: int = BROADCAST_ROWS, how: str = "left"
-) -> DataFrame:
-    """Join a lookup table: broadcast when its size has been checked, else a shuffle join.
-
-    The shuffle join relies on adaptive execution to split hot keys.
-    """
-    side = F.broadcast(dimension) if fits_broadcast(dimension, max_rows) else dimension.hint("merge")
-    return events.join(side, on, how)
+def join_dimension(events: DataFrame, dimension: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join a lookup table. Spark broadcasts it if it is small by its size in bytes, as read or as measured at run time;
+    otherwise it is a shuffle join whose hot keys adaptive execution splits."""
+    return events.join(dimension, on, how)

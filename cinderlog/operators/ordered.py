@@ -12,21 +12,33 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cinderlog.session import freeze
 
+#: Bytes of a range, and most ranges: their edges meet in one task, one row each.
+RANGE_BYTES = 256 << 20
+MAX_RANGES = 200_000
+#: From here on a size is only a stand-in for one that Spark does not know.
+UNKNOWN_SIZE = 1 << 60
 _POSITION_BITS = 33  # the low bits of monotonically_increasing_id count within a partition
 
 
+def range_count(df: DataFrame) -> int:
+    """Ranges of about RANGE_BYTES each by the bytes of what `df` is read from, but no fewer than a shuffle has."""
+    inputs = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(inputs.apply(i).stats().sizeInBytes())) for i in range(inputs.size())]
+    known = sum(size for size in sizes if size < UNKNOWN_SIZE)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MAX_RANGES, -(-known // RANGE_BYTES)))
+
+
 def range_layout(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Sort `df` into ranges by `order` and add `_part` (range) and `_pos` (position in the range).
 
     The last sort key is the row's place in the input, so that even equal rows spread over ranges.
     The result is written out: range bounds come from a sample and must not change between uses.
-    Sampling reads `df` once more, so give it a table rather than a costly computation.
+    Sampling reads `df` once more, so give it a table or something cheap to compute.
     """
-    count = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*order, "_tie"]
     placed = (
         df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(count, *keys)
+        .repartitionByRange(ranges or range_count(df), *keys)
         .sortWithinPartitions(*keys)
         .drop("_tie")
         .withColumns({
@@ -48,11 +60,48 @@ def row_numbers(laid: DataFrame, name: str = "row_number") -> DataFrame:
     starts = laid.groupBy("_part").agg(F.count("*").alias("_n")).select(
         "_part", F.coalesce(before, F.lit(0)).alias("_start")
     )
-    return laid.join(F.broadcast(starts), "_part").withColumn(
+    return laid.join(starts, "_part").withColumn(
         name, (F.col("_start") + F.col("_pos") + 1).cast("bigint")
     ).drop("_part", "_pos", "_start")
 
 
+def _edges(laid: DataFrame, key: Column, held: Column) -> DataFrame:
+    """For each range its first and last row that holds a value: position, group and value. One aggregation."""
+    edge = F.when(held.isNotNull(), F.struct("_pos", key.alias("key"), held.alias("value")))
+    # the position comes first and is unique within a range, so that it alone decides
+    return laid.groupBy("_part").agg(F.min_by(edge, F.when(held.isNotNull(), F.col("_pos"))).alias("_first"),
+                                     F.max_by(edge, F.when(held.isNotNull(), F.col("_pos"))).alias("_last"))
+
+
+def _passed(edges: DataFrame) -> DataFrame:
+    """For each range the last edge of the ranges before it and the first one of those after it."""
+    before = _range_order().rowsBetween(Window.unboundedPreceding, -1)
+    after = _range_order().rowsBetween(1, Window.unboundedFollowing)
+    return edges.select(
+        "_part", F.last("_last", ignorenulls=True).over(before).alias("_from_before"),
+        F.first("_first", ignorenulls=True).over(after).alias("_from_after"),
+    )
+
+
+def _carried(laid: DataFrame, group: Sequence[str], value: Column, frames: dict[str, tuple[bool, int, int]]) -> DataFrame:
+    """Add for each name the nearest value in a frame (backward, from, to); all frames share one sort of a range."""
+    key = F.struct(*group)
+    source = laid.withColumn("_value", value)
+    own = Window.partitionBy("_part", *group).orderBy("_pos")
+    pick = {True: F.first, False: F.last}
+    near = source.withColumns({
+        f"_near_{name}": pick[backward]("_value", ignorenulls=True).over(own.rowsBetween(start, end))
+        for name, (backward, start, end) in frames.items()
+    })
+    passed = _passed(_edges(source, key, F.col("_value")))
+    joined = near.join(passed, "_part", "left")
+    edge = {True: F.col("_from_after"), False: F.col("_from_before")}
+    return joined.withColumns({
+        name: F.coalesce(f"_near_{name}", F.when(edge[backward]["key"].eqNullSafe(key), edge[backward]["value"]))
+        for name, (backward, _, _) in frames.items()
+    }).drop("_value", "_from_before", "_from_after", *[f"_near_{name}" for name in frames])
+
+
 def carry(
     laid: DataFrame, group: Sequence[str], value: Column, name: str, backward: bool = False, strict: bool = False
 ) -> DataFrame:
@@ -60,31 +109,12 @@ def carry(
 
     `laid` must be laid out by the group columns first. `strict` leaves out the row itself.
     """
-    key = F.struct(*group)
-    step = F.col("_pos").desc() if backward else F.col("_pos")
-    frame = (
-        Window.partitionBy("_part", *group).orderBy(step)
-        .rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-    )
-    source = laid.withColumn("_value", value)
-    near = source.withColumn("_near", F.last("_value", ignorenulls=True).over(frame))
-
-    # the last value of each range (the first, if backward), found by its position
-    held = F.when(F.col("_value").isNotNull(), F.col("_pos"))
-    spots = source.groupBy("_part").agg((F.min(held) if backward else F.max(held)).alias("_pos"))
-    edges = source.join(F.broadcast(spots), ["_part", "_pos"]).select(
-        "_part", F.struct(key.alias("key"), F.col("_value").alias("value")).alias("_edge")
-    )
-    parts = spots.select("_part").join(F.broadcast(edges), "_part", "left")
-    ranges = Window.orderBy(F.col("_part").desc() if backward else F.col("_part"))
-    passed = parts.select(
-        "_part", F.last("_edge", ignorenulls=True).over(ranges.rowsBetween(Window.unboundedPreceding, -1)).alias("_edge")
-    )
-    return near.join(F.broadcast(passed), "_part", "left").withColumn(
-        name, F.coalesce("_near", F.when(F.col("_edge.key").eqNullSafe(key), F.col("_edge.value")))
-    ).drop("_value", "_near", "_edge")
+    frame = (True, int(strict), Window.unboundedFollowing) if backward else (False, Window.unboundedPreceding, -int(strict))
+    return _carried(laid, group, value, {name: frame})
 
 
-def groups_above(df: DataFrame, group: Sequence[str], rows: int) -> DataFrame:
-    """Groups with more than `rows` rows, and their size in `n`: one narrow, pre-aggregated pass."""
-    return df.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > rows)
+def carry_both(laid: DataFrame, group: Sequence[str], value: Column, before: str, after: str) -> DataFrame:
+    """Add the nearest non-NULL `value` at or before each row and the one at or after it, in one pass."""
+    return _carried(laid, group, value, {
+        before: (False, Window.unboundedPreceding, 0), after: (True, 0, Window.unboundedFollowing)
+    })

@@ -30,8 +30,13 @@ def search(
 
 
 def search_phrase(df: DataFrame, phrase: str, text: str = "message") -> DataFrame:
-    """Rows whose text holds the phrase, in any letter case."""
-    return df.where(txt.match_phrase(text, phrase))
+    """Rows whose text holds the words of the phrase one after another, in any letter case."""
+    return (
+        df.where(txt.may_match(text, [phrase], True))
+        .selectExpr("*", f"{kept_apart(txt.tokens(text))} AS _tokens")
+        .where(txt.match_phrase("_tokens", phrase))
+        .drop("_tokens")
+    )
 
 
 def newest(df: DataFrame, k: int, time: str = "event_time", *ties: str) -> DataFrame:
@@ -48,7 +53,7 @@ def has_attribute(key: str, value: str | None = None) -> Column:
 
 
 def for_client(df: DataFrame, client_id: str) -> DataFrame:
-    """Rows of one client of the landing folder."""
+    """Rows of one client; on the landing folder, give the client to `read_landing` to list its folder alone."""
     return df.where(F.col("client_id") == client_id)
 
 

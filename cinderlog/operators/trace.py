@@ -2,39 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from cinderlog.operators.ordered import carry, groups_above, range_layout
-from cinderlog.session import freeze
+from cinderlog.operators.ordered import carry, carry_both, range_layout
 
-MAX_WINDOW_ROWS = 5_000_000
-
-
-def _plain_gaps(stamped: DataFrame) -> DataFrame:
-    previous = F.lag("_at").over(Window.partitionBy("trace_id").orderBy("_at", "log_id"))
-    return stamped.withColumn("gap_us", F.col("_at") - previous).drop("_at")
-
-
-def _range_gaps(stamped: DataFrame) -> DataFrame:
-    laid = range_layout(stamped, ["trace_id", "_at", "log_id"])
-    linked = carry(laid, ["trace_id"], F.struct("_at"), "_previous", strict=True)
-    return linked.withColumn("gap_us", F.col("_at") - F.col("_previous._at")).drop("_at", "_previous", "_part", "_pos")
-
-
-def timeline(events: DataFrame, max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
+def timeline(events: DataFrame) -> DataFrame:
     """Add `gap_us`, the time since the previous event of the same trace.
 
-    Traces of up to `max_window_rows` events go through a plain window. Larger ones, which are few,
-    are sorted into ranges, so that no trace fills one task.
+    Events are sorted into ranges, so that no trace fills one task, however many events it has.
     """
     stamped = events.withColumn("_at", F.unix_micros("event_time"))
-    large = freeze(groups_above(events, ["trace_id"], max_window_rows).select(F.col("trace_id").alias("_large")), "large")
-    if large.isEmpty():
-        return _plain_gaps(stamped)
-    # at most one large trace per `max_window_rows` events
-    is_large = F.col("trace_id").eqNullSafe(F.col("_large"))
-    small = stamped.join(F.broadcast(large), is_large, "left_anti")
-    return _plain_gaps(small).unionByName(_range_gaps(stamped.join(F.broadcast(large), is_large, "left_semi")))
+    laid = range_layout(stamped, ["trace_id", "_at", "log_id"])
+    linked = carry(laid, ["trace_id"], F.struct("_at"), "_previous", strict=True)
+    return linked.withColumn("gap_us", F.col("_at") - F.col("_previous._at")).drop("_at", "_previous", "_part", "_pos")
 
 
 def trace_events(events: DataFrame, trace_id: str) -> DataFrame:
@@ -53,8 +33,7 @@ def around_errors(events: DataFrame, seconds: int = 60, by: str = "service") ->
         events.select(by, at.alias("_at"), "log_id", "level").where(F.col("_at").isNotNull()), [by, "_at", "log_id"]
     )
     error = F.when(F.col("level") == "ERROR", F.struct("_at", "log_id"))
-    before = carry(laid, [by], error, "_before")
-    both = carry(before, [by], error, "_after", backward=True)
+    both = carry_both(laid, [by], error, "_before", "_after")
     since = F.col("_at") - F.col("_before._at")
     until = F.col("_after._at") - F.col("_at")
     limit = F.lit(seconds * 1_000_000)

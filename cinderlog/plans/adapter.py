@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cinderlog.operators.binding import bind, valid_events
 from cinderlog.schema import PARSER_BY_EXTENSION
-from cinderlog.session import prepare, spread
+from cinderlog.session import prepare
 
 _TEXT_COLUMNS = {
     "log_id": "CAST(event_id AS STRING)",
@@ -40,7 +40,7 @@ def adapted(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """The text columns, event_id, user_id and any further columns of `events`."""
     needed = dict.fromkeys(["event_id", "user_id", "ts", "event_type", "props", *keep])
     source = table(spark, sf_dir, "events").select(*needed)
-    return spread(source).selectExpr(
+    return source.selectExpr(
         "event_id", "user_id", *keep, *[f"{sql} AS {name}" for name, sql in _TEXT_COLUMNS.items()]
     )
 

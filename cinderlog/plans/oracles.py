@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cinderlog.plans.adapter import EXTENSIONS, RAW_EXTENSIONS
-from cinderlog.plans.queries import ANY_TERMS, MAX_TEST_BYTES, SEARCH_PHRASE, SEARCH_TERMS
+from cinderlog.plans.queries import ANY_TERMS, COMPACT_DATES, SEARCH_NON_ASCII, SEARCH_NUMBERS, SEARCH_PHRASE, SEARCH_TERMS
 from cinderlog.schema import PARSER_BY_EXTENSION, TAG_BY_EXTENSION
 
 _A = """a AS (
@@ -57,13 +57,18 @@ _REASON = """CASE event_id % 10 WHEN 0 THEN 'empty' WHEN 1 THEN 'not_json_object
 _RECORDS = f"""{_A}, r AS (SELECT event_id AS body_id, level, i, concat(log_id, '-', i) AS log_id
   FROM a, unnest(range(0, event_id % 3 + 1)) AS u(i))"""
 
-_RANKED = f"{_A}, b AS (SELECT log_id, event_id, (row_number() OVER (ORDER BY log_id) - 1) // 1000 AS batch_no FROM a)"
+_LOG_LINE = """concat('[', ts_text, '] [', level, '] [', service, '] [', host, '] logId=', log_id, ' instanceId=', instance_id,
+  ' namespace=', namespace, ' podName=', pod_name, ' traceId=', trace_id, ' - ', message, ' | k=', attr_k)"""
 
-_SENT = f"""{_RANKED}, s AS (
-  SELECT batch_no, 1 AS attempt, event_id % 17 = 0 AS failed FROM b
-  UNION ALL SELECT batch_no, 2, false FROM b WHERE event_id % 17 = 0)"""
+_NO_WORD = r"[^\p{L}\p{N}_]"
 
-_TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '')"
+
+def _holds(text: str, phrase: str) -> str:
+    """Whether the words of the phrase stand in the text, parted by anything that is no word."""
+    return f"regexp_matches(lower({text}), '(^|{_NO_WORD}){f'{_NO_WORD}+'.join(phrase.split())}($|{_NO_WORD})')"
+
+
+_TOKENS = rf"list_filter(regexp_split_to_array(lower(text), '{_NO_WORD}+'), lambda w: w <> '')"
 _LEVELS_TAILED = _from_a("SELECT log_id, level, message")
 
 
@@ -73,7 +78,7 @@ def _score(terms: tuple[str, ...]) -> str:
 
 
 def _search(terms: tuple[str, ...], mode: str) -> str:
-    joined = f" {'AND' if mode == 'all' else 'OR'} ".join(f"list_contains({_TOKENS}, '{t}')" for t in terms)
+    joined = f" {'AND' if mode == 'all' else 'OR'} ".join(_holds("text", t) for t in terms)
     return f"SELECT doc_id, {_score(terms)} AS score FROM documents WHERE {joined}"
 
 
@@ -87,12 +92,19 @@ ORACLES = {
     "tail_log_lines": _LEVELS_TAILED,
     "tail_json_lines": _LEVELS_TAILED,
     "tail_csv_lines": _LEVELS_TAILED,
-    "tail_raw_lines": _from_a(f"SELECT concat('logs.', {_pick(RAW_EXTENSIONS)}) AS tag, count(*) AS n_lines", "GROUP BY 1"),
+    "tail_raw_lines": _from_a(f"""SELECT concat('logs.', {_pick(RAW_EXTENSIONS)}) AS tag, concat('c-', user_id % 4) AS client_id,
+      {_LOG_LINE} AS value"""),
     "landing_path_columns": _from_a(f"""SELECT log_id, concat('c-', user_id % 4) AS client_id,
       concat_ws('-', substr(md5(log_id), 1, 8), substr(md5(log_id), 9, 4), substr(md5(log_id), 13, 4),
                 substr(md5(log_id), 17, 4), substr(md5(log_id), 21, 12)) AS upload_id,
       concat('app_', log_id, '.', {_pick(EXTENSIONS)}) AS file_name, {_pick(EXTENSIONS)} AS ext"""),
     "explode_request_body": f"WITH {_RECORDS} SELECT body_id, log_id, level FROM r",
+    "body_quarantine": f"""WITH {_A}, b AS (SELECT event_id AS body_id, concat('[', array_to_string(list_transform(
+        range(0, event_id % 3 + 1), lambda i: concat('{{"date":1.5,"logId":"', log_id, '-', i, '","level":"', level,
+        '","n":1.10,"x":{{"b":', i, '}}}}')), ','), ']') AS body FROM a)
+      SELECT body_id, CASE body_id % 4 WHEN 1 THEN left(body, 20) WHEN 2 THEN concat(left(body, length(body) - 1), ',5]')
+        ELSE '{{"a":1}}' END AS raw, CASE body_id % 4 WHEN 1 THEN 'not_json' ELSE 'not_array_of_objects' END AS reason
+      FROM b WHERE body_id % 4 > 0""",
     "body_record_count": "SELECT event_id AS body_id, event_id % 3 + 1 AS n FROM events",
     "drop_date_key": f"WITH {_RECORDS} SELECT log_id, CAST(4 AS BIGINT) AS n_keys, false AS has_date FROM r",
     "kafka_payload": f"""WITH {_RECORDS} SELECT log_id,
@@ -130,23 +142,16 @@ ORACLES = {
         + f" UNION ALL SELECT log_id, 1, {_EPOCH_DOC} FROM a",
     "document_size": _from_a(f"SELECT log_id, CAST(strlen({_EPOCH_DOC}) AS BIGINT) AS bytes"),
     "oversize_filter": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes, strlen(text) > 8192 AS is_oversize FROM documents",
-    "bulk_batches_by_count": f"""WITH {_RANKED}
-      SELECT batch_no, count(*) AS n, min(log_id) AS first_id FROM b GROUP BY batch_no""",
+    "bulk_batches_by_count": _from_a("""SELECT count(*) AS docs, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(0 AS BIGINT) AS over,
+      CAST(0 AS BIGINT) AS not_full"""),
     "bulk_batches_by_bytes": _from_a(f"""SELECT count(*) AS docs, CAST(sum(strlen({_EPOCH_DOC})) AS BIGINT) AS bytes,
       CAST(0 AS BIGINT) AS over_count, CAST(0 AS BIGINT) AS over_bytes, CAST(0 AS BIGINT) AS closed_early"""),
-    "bulk_partial_retry": f"""WITH {_SENT}
-      SELECT batch_no, CAST(attempt AS BIGINT) AS attempt, count(*) AS n FROM s GROUP BY batch_no, attempt""",
-    "bulk_sink_counters": f"""WITH {_SENT}
-      SELECT count(DISTINCT (batch_no, attempt)) AS submitted, count(*) FILTER (WHERE failed) AS out_errors,
-        count(*) FILTER (WHERE failed) AS partial_failures FROM s""",
-    "bulk_write_outcomes": f"""WITH {_SENT}
-      SELECT CAST(attempt AS BIGINT) AS attempt, count(*) AS records, count(*) FILTER (WHERE failed) AS failed
-      FROM s GROUP BY attempt""",
     "doc_timestamp_forms": _from_a("""SELECT log_id, strftime(ts_sec, '%Y-%m-%d %H:%M:%S') AS dt,
       strftime(ts_sec, '%Y-%m-%d') AS d, strftime(ts_sec, '%H:%M:%S') AS t"""),
     "attributes_flat": _from_a("SELECT log_id, 'k' AS key, attr_k AS value")
         + " UNION ALL SELECT log_id, 'user', CAST(user_id AS VARCHAR) FROM a",
-    "attributes_nest": _from_a("SELECT log_id, CAST(2 AS BIGINT) AS n_attrs"),
+    "attributes_nest": _from_a("""SELECT event_id, CASE WHEN event_id % 10 > 0 THEN log_id END AS log_id,
+      concat(event_id * 2, ':', log_id, ':user:', user_id, ',', event_id * 2 + 1, ':', log_id, ':k:', attr_k) AS attributes"""),
     "transform_event": _from_a("""SELECT log_id,
       CAST(list_position(['TRACE', 'DEBUG', 'INFO', 'WARN', 'ERROR'], level) - 1 AS BIGINT) AS level_rank,
       strftime(ts_sec, '%Y-%m-%d') AS event_date, CAST(hour(ts_sec) AS BIGINT) AS event_hour"""),
@@ -155,11 +160,21 @@ ORACLES = {
     "metrics_per_hour": f"WITH {_A} " + _METRICS.format(
         bytes="strlen(message)", source="(SELECT *, date_trunc('hour', ts_sec) AS h FROM a)"),
     "metrics_stream": f"WITH {_A} " + _METRICS.format(
-        bytes="strlen(event_type)", source="(SELECT *, date_trunc('hour', ts) AS h FROM a)").replace(
-        "GROUP BY", "WHERE h + INTERVAL 1 HOUR <= (SELECT max(ts) FROM a) - INTERVAL 10 MINUTE GROUP BY"),
+        bytes="strlen(event_type)", source="(SELECT *, date_trunc('hour', ts) AS h FROM a)"),
+    "metrics_sliding": f"WITH {_A} " + _METRICS.format(
+        bytes="strlen(message)", source="""(SELECT *, time_bucket(INTERVAL 30 MINUTE, ts_sec) - INTERVAL (30 * back) MINUTE AS h
+          FROM a, (VALUES (0), (1)) AS s(back))"""),
+    "metrics_session": f"""WITH {_A}, g AS (
+      SELECT *, CASE WHEN at_us - lag(at_us) OVER w <= 600000000 THEN 0 ELSE 1 END AS opens FROM a
+      WINDOW w AS (PARTITION BY service ORDER BY at_us)), s AS (
+      SELECT *, sum(opens) OVER (PARTITION BY service ORDER BY at_us) AS session FROM g)
+      SELECT min(at_us) AS start_us, max(at_us) + 600000000 AS end_us, service, count(*) AS n,
+        count(*) FILTER (WHERE level = 'ERROR') AS n_error FROM s GROUP BY service, session""",
     "search_terms": _search(SEARCH_TERMS, "all"),
     "search_any_term": _search(ANY_TERMS, "any"),
-    "search_phrase": f"SELECT doc_id FROM documents WHERE contains(lower(text), '{SEARCH_PHRASE}')",
+    "search_phrase": f"SELECT doc_id FROM documents WHERE {_holds('text', SEARCH_PHRASE)}",
+    "search_number": f"WITH {_A} " + _search(SEARCH_NUMBERS, "any").replace("text", "message").replace("documents", "a").replace("doc_id", "log_id"),
+    "search_non_ascii": _search(tuple(t.lower() for t in SEARCH_NON_ASCII), "any"),
     "search_newest": _from_a("SELECT log_id, at_us AS epoch_us", "WHERE level = 'WARN' ORDER BY at_us DESC, log_id LIMIT 20"),
     "filter_facets": _from_a("SELECT log_id", """WHERE level IN ('WARN', 'ERROR') AND service IN ('svc-1', 'svc-3')
       AND host IN ('host-1', 'host-2', 'host-3') AND ts_sec >= TIMESTAMP '2024-01-05 00:00:00'
@@ -170,7 +185,9 @@ ORACLES = {
     "date_histogram": _from_a("SELECT strftime(ts_sec, '%Y-%m-%d') AS bucket, level, count(*) AS n", "GROUP BY 1, 2"),
     "distinct_traces": _from_a("SELECT service, count(DISTINCT trace_id) AS n_distinct", "GROUP BY service"),
     "value_percentiles": _from_a("""SELECT level, round(quantile_cont(value, 0.5), 6) AS p50,
-      round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99""", "GROUP BY level"),
+      round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99,
+      round(quantile_cont(value, 0.999), 6) AS p99_9""", "GROUP BY level"),
+    "percentiles_approx": _from_a("SELECT level, true AS p50, true AS p95, true AS p99_9", "GROUP BY level"),
     "level_service_cube": _from_a("""SELECT coalesce(level, '*') AS level, coalesce(service, '*') AS service,
       CAST(grouping(level, service) AS BIGINT) AS subtotal, count(*) AS n""").replace(
         "FROM a ", "FROM a GROUP BY CUBE (a.level, a.service)").replace("grouping(level, service)", "grouping(a.level, a.service)"),
@@ -211,4 +228,13 @@ ORACLES = {
         f"SELECT {_case('ext', TAG_BY_EXTENSION)} AS tag, log_id",
         ).replace("FROM a", f"FROM (SELECT {_pick((*EXTENSIONS, 'png'))} AS ext, log_id FROM a) WHERE ext <> 'png'"),
     "client_lines": _from_a("SELECT log_id", "WHERE user_id % 4 = 1"),
+    "index_with_source": _from_a("""SELECT log_id, 'c-2' AS client_id, 'logs.app' AS tag, true AS in_own_folder""",
+                                 "WHERE user_id % 4 = 2"),
+    "compact_index": _from_a(f"""SELECT strftime(ts_sec, '%Y-%m-%d') AS event_date,
+      strftime(ts_sec, '%Y-%m-%d') NOT IN {COMPACT_DATES} AS as_streamed, count(*) AS n""", "GROUP BY ALL"),
+    "archive_twice": _from_a("SELECT log_id, level"),
+    "bind_by_version": _from_a("""SELECT CAST(event_id % 2 + 1 AS VARCHAR) AS v, log_id, at_us AS epoch_us, service, level,
+      message, CASE WHEN event_id % 2 = 1 THEN host END AS host"""),
+    "otel_to_events": _from_a("""SELECT log_id, host, at_us AS epoch_us, service, pod_name, trace_id, level, message,
+      'k' AS attr_key, attr_k AS attr_value, CAST(1 AS BIGINT) AS n_attrs"""),
 }

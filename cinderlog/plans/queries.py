@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cinderlog.functions import attributes as attr, lines, records, times
 from cinderlog.operators import (
-    aggregate, attributes as attribute_rows, binding, bulk, collector, enrich, health, search, trace,
+    aggregate, attributes as attribute_rows, binding, bulk, collector, enrich, health, otel, search, trace, versions,
 )
 from cinderlog.plans import adapter as ad
 from cinderlog.plans.adapter import text
-from cinderlog.session import freeze, spread, work_path
-from cinderlog.sinks import bulk as bulk_sink, index as log_index
+from cinderlog.session import work_path
+from cinderlog.sinks import index as log_index
 from cinderlog.sources import landing, topic
 from cinderlog.streaming import jobs
 
@@ -35,7 +35,7 @@ def _landed(spark: SparkSession, sf: str, line: Column, names: Column) -> str:
     uploads = ad.adapted(spark, sf).select(
         text("c-", (F.col("user_id") % 4).cast("string")).alias("client_id"), names.alias("file_name"), line.alias("line")
     )
-    landing.land_lines(uploads, base).write.parquet(work_path(spark, "landed-files"))
+    landing.land_lines(uploads, base)
     return base
 
 
@@ -67,9 +67,7 @@ def tail_raw_lines(spark: SparkSession, sf: str) -> DataFrame:
     stream = landing.stream_landing(spark, _landed(spark, sf, ad.log_line(), names))
     path = work_path(spark, "raw")
     jobs.drain(jobs.file_writer(stream.select("tag", "client_id", "value"), path, work_path(spark, "stream")))
-    return spark.read.schema("tag string, client_id string, value string").parquet(path).groupBy("tag").agg(
-        _long(F.count("*")).alias("n_lines")
-    )
+    return spark.read.schema("tag string, client_id string, value string").parquet(path)
 
 
 def landing_path_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,6 +98,15 @@ def explode_request_body(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def body_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Four kinds of bodies in turn: clean, cut, with a wrong element, an object."""
+    bodies = _bodies(spark, sf).withColumn("body", F.expr(
+        "CASE body_id % 4 WHEN 0 THEN body WHEN 1 THEN left(body, 20) WHEN 2 THEN concat(left(body, length(body) - 1), ',5]') "
+        "ELSE '{\"a\":1}' END"
+    ))
+    return collector.body_quarantine(bodies)
+
+
 def body_record_count(spark: SparkSession, sf: str) -> DataFrame:
     return collector.body_sizes(_bodies(spark, sf))
 
@@ -286,13 +293,16 @@ def oversize_filter(spark: SparkSession, sf: str) -> DataFrame:
     return bulk.split_oversize(documents, 8192)
 
 
-def _batched(spark: SparkSession, sf: str) -> DataFrame:
-    return bulk.batches_by_count(freeze(ad.log_events(spark, sf).select("log_id"), "events"), ["log_id"])
-
-
 def bulk_batches_by_count(spark: SparkSession, sf: str) -> DataFrame:
-    return _batched(spark, sf).groupBy("batch_no").agg(
-        _long(F.count("*")).alias("n"), F.min("log_id").alias("first_id")
+    """Batches of 1,000 records: what is in them, and how many break the limit or are not full before a lane's end."""
+    size = 1_000
+    batches = bulk.batches_by_count(ad.log_events(spark, sf).select("log_id"), size).groupBy("lane", "batch_no").agg(
+        F.count("*").alias("n"), F.sum(F.col("log_id").cast("bigint")).alias("ids")
+    )
+    last = F.max("batch_no").over(Window.partitionBy("lane"))
+    return batches.withColumn("last", last).agg(
+        _long(F.sum("n")).alias("docs"), _long(F.sum("ids")).alias("id_sum"), _long(F.count_if(F.col("n") > size)).alias("over"),
+        _long(F.count_if((F.col("n") < size) & (F.col("batch_no") < F.col("last")))).alias("not_full"),
     )
 
 
@@ -314,33 +324,6 @@ def bulk_batches_by_bytes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _refused(attempt: int) -> Column:
-    failed = F.lit(attempt == 1) & (F.col("log_id").cast("bigint") % 17 == 0)
-    return F.when(failed, F.lit("rejected"))
-
-
-def bulk_partial_retry(spark: SparkSession, sf: str) -> DataFrame:
-    sent = bulk.outcomes(_batched(spark, sf), _refused)
-    return bulk.requests(sent).select("batch_no", "attempt", _long(F.col("records")).alias("n"))
-
-
-def bulk_sink_counters(spark: SparkSession, sf: str) -> DataFrame:
-    return bulk.sink_counters(bulk.requests(bulk.outcomes(_batched(spark, sf), _refused)))
-
-
-def _refuse_first_time(entries: list[str], attempt: int) -> list[str | None]:
-    """A transport that refuses every document whose id divides by 17, once."""
-    start = '"_id":"'
-    ids = [int(e[e.index(start) + len(start):].split('"', 1)[0]) for e in entries]
-    return ["rejected" if attempt == 1 and i % 17 == 0 else None for i in ids]
-
-
-def bulk_write_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    documents = bulk.with_documents(ad.json_events(spark, sf))
-    sent = bulk_sink.send_bulk(documents, _refuse_first_time, doc_id=F.col("log_id"))
-    return sent.groupBy("attempt").agg(_long(F.sum("records")).alias("records"), _long(F.sum("failed")).alias("failed"))
-
-
 def doc_timestamp_forms(spark: SparkSession, sf: str) -> DataFrame:
     forms = times.document_forms("event_time")
     return ad.json_events(spark, sf).selectExpr("log_id", *[f"{sql} AS {name}" for name, sql in forms.items()])
@@ -361,9 +344,18 @@ def attributes_flat(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def attributes_nest(spark: SparkSession, sf: str) -> DataFrame:
-    events = freeze(_two_attributes(spark, sf).select("log_id", "attributes"), "events")
-    nested = attribute_rows.nest_attributes(events.select("log_id"), attribute_rows.flatten_attributes(events))
-    return nested.select("log_id", _long(F.size("attributes")).alias("n_attrs"))
+    """Attributes taken off and put back, on the event's number: a tenth of the records have no log id."""
+    both = text(
+        "[", ad.attribute_json("k", F.col("attr_k"), F.col("event_id") * 2 + 1), ",",
+        ad.attribute_json("user", F.col("user_id").cast("string"), F.col("event_id") * 2), "]",
+    )
+    log_id = F.when(F.col("event_id") % 10 == 0, F.lit("null")).otherwise(text('"', F.col("log_id"), '"'))
+    rows = ad.adapted(spark, sf).select("event_id", ad.json_line(attributes=both, log_id=log_id).alias("value"))
+    events = binding.valid_events(binding.bind(rows, "json", arrival=ad.no_time()), "event_id")
+    flat = attribute_rows.flatten_attributes(events, key="event_id")
+    nested = attribute_rows.nest_attributes(events.select("event_id", "log_id"), flat, key="event_id")
+    listed = F.array_join(F.transform("attributes", lambda a: F.concat_ws(":", a["id"].cast("string"), a["logId"], a["key"], a["value"])), ",")
+    return nested.select("event_id", "log_id", listed.alias("attributes"))
 
 
 def transform_event(spark: SparkSession, sf: str) -> DataFrame:
@@ -395,7 +387,7 @@ def _metric_rows(df: DataFrame) -> DataFrame:
 
 
 def metrics_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Windows that have closed when the stream of events ends."""
+    """Metrics of a stream that ends, all windows included."""
     source = spark.readStream.schema(ad.table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
     events = source.select(
         F.col("ts").cast("timestamp").alias("event_time"), text("svc-", (F.col("user_id") % 5).cast("string")).alias("service"),
@@ -403,18 +395,19 @@ def metrics_stream(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_type").alias("message"),
     )
     path = work_path(spark, "metrics")
-    metrics = jobs.metrics_stream(events)
-    jobs.drain(jobs.file_writer(metrics, path, work_path(spark, "stream")))
-    return _metric_rows(spark.read.schema(metrics.schema).parquet(path))
+    jobs.drain(jobs.whole_metrics_writer(events, path, work_path(spark, "stream")))
+    return _metric_rows(spark.read.parquet(path))
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(ad.table(spark, sf, "documents").select("doc_id", "text"))
+    return ad.table(spark, sf, "documents").select("doc_id", "text")
 
 
 SEARCH_TERMS = ("the", "and", "for")
 ANY_TERMS = ("from", "than")
 SEARCH_PHRASE = "by the"
+SEARCH_NUMBERS = ("1", "42")
+SEARCH_NON_ASCII = ("für", "Été", "ciónes")
 
 
 def search_terms(spark: SparkSession, sf: str) -> DataFrame:
@@ -431,6 +424,15 @@ def search_phrase(spark: SparkSession, sf: str) -> DataFrame:
     return search.search_phrase(_documents(spark, sf), SEARCH_PHRASE, "text").select("doc_id")
 
 
+def search_number(spark: SparkSession, sf: str) -> DataFrame:
+    found = search.search(ad.log_events(spark, sf), SEARCH_NUMBERS, mode="any")
+    return found.select("log_id", "score")
+
+
+def search_non_ascii(spark: SparkSession, sf: str) -> DataFrame:
+    return search.search(_documents(spark, sf), SEARCH_NON_ASCII, "text", "any").select("doc_id", "score")
+
+
 def search_newest(spark: SparkSession, sf: str) -> DataFrame:
     found = search.search(ad.log_events(spark, sf), ("purchase", "user"))
     return search.newest(found, 20, "event_time", "log_id").select("log_id", F.unix_micros("event_time").alias("epoch_us"))
@@ -466,8 +468,35 @@ def distinct_traces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def value_percentiles(spark: SparkSession, sf: str) -> DataFrame:
-    result = aggregate.percentiles(ad.adapted(spark, sf, "value"), "level", "value", [0.5, 0.95, 0.99])
-    return result.select("level", *[F.round(p, 6).alias(p) for p in ("p50", "p95", "p99")])
+    result = aggregate.percentiles(ad.adapted(spark, sf, "value"), "level", "value", [0.5, 0.95, 0.99, 0.999])
+    return result.select("level", *[F.round(p, 6).alias(p) for p in ("p50", "p95", "p99", "p99_9")])
+
+
+def percentiles_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """For each level and point, whether the rank of the sketch's answer is within a thousandth of the wanted one."""
+    rows = ad.adapted(spark, sf, "value").select("level", "value")
+    points = {aggregate.percentile_name(q): q for q in (0.5, 0.95, 0.999)}
+    found = aggregate.percentiles_approx(rows, "level", "value", list(points.values()))
+    ranks = rows.join(found, "level").groupBy("level").agg(F.count("*").alias("n"), *[
+        F.struct(F.count_if(F.col("value") < F.col(p)).alias("below"), F.count_if(F.col("value") <= F.col(p)).alias("upto")).alias(p)
+        for p in points
+    ])
+    near = [
+        ((F.col(p)["below"] <= (q + 0.001) * F.col("n") + 1) & (F.col(p)["upto"] >= (q - 0.001) * F.col("n") - 1)).alias(p)
+        for p, q in points.items()
+    ]
+    return ranks.select("level", *near)
+
+
+def metrics_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    return _metric_rows(aggregate.metrics(ad.log_events(spark, sf), "1 hour", slide="30 minutes"))
+
+
+def metrics_session(spark: SparkSession, sf: str) -> DataFrame:
+    sessions = aggregate.session_metrics(ad.log_events(spark, sf), "10 minutes", ["service"])
+    return sessions.select(
+        F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "service", "n", "n_error"
+    )
 
 
 def level_service_cube(spark: SparkSession, sf: str) -> DataFrame:
@@ -478,12 +507,12 @@ def level_service_cube(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trace_timeline(spark: SparkSession, sf: str) -> DataFrame:
-    events = freeze(ad.log_events(spark, sf).select("trace_id", "log_id", "event_time"), "events")
+    events = ad.log_events(spark, sf).select("trace_id", "log_id", "event_time")
     return trace.timeline(events).select("log_id", "gap_us")
 
 
 def context_around_error(spark: SparkSession, sf: str) -> DataFrame:
-    events = freeze(ad.log_events(spark, sf).select("service", "event_time", "log_id", "level"), "events")
+    events = ad.log_events(spark, sf).select("service", "event_time", "log_id", "level")
     return trace.around_errors(events, 60).select("error_id", "log_id", "gap_us")
 
 
@@ -547,22 +576,102 @@ def route_by_source(spark: SparkSession, sf: str) -> DataFrame:
 def client_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lines of one client, read from its folder."""
     base = _landed(spark, sf, ad.log_line(), F.lit("app.log"))
-    lines_of_client = search.for_client(landing.read_landing(spark, base), "c-1")
-    return binding.valid_events(binding.bind(lines_of_client, "log")).select("log_id")
+    return binding.valid_events(binding.bind(landing.read_landing(spark, base, client="c-1"), "log")).select("log_id")
+
+
+# ---- index with its source, versions, other formats
+
+def _indexed(spark: SparkSession, sf: str) -> str:
+    """The events as log lines of four clients, streamed into an index with their source."""
+    base, path = _landed(spark, sf, ad.log_line(), F.lit("app.log")), work_path(spark, "index")
+    jobs.run_log_stream(
+        landing.stream_landing(spark, base, max_files_per_trigger=4), path, work_path(spark, "quarantine"),
+        work_path(spark, "stream"), parser=F.col("parser"), keep=["client_id", "file_path", "tag"],
+        arrival=F.col("landed_at"), trigger=None,
+    ).awaitTermination()
+    return path
+
+
+def index_with_source(spark: SparkSession, sf: str) -> DataFrame:
+    """What one client sees of the index, with where it came from."""
+    seen = log_index.read_tenant(spark, _indexed(spark, sf), "c-2")
+    return seen.select("log_id", "client_id", "tag", F.col("file_path").contains("client_id=c-2/").alias("in_own_folder"))
+
+
+COMPACT_DATES = ("2024-01-01", "2024-01-02", "2024-01-03")
+
+
+def compact_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The index after some of its dates were put together: the same events, and one file or so for each such date."""
+    path = _indexed(spark, sf)
+    log_index.compact_index(spark, path, *COMPACT_DATES)
+    files = F.regexp_replace(F.input_file_name(), "/part-[^/]*$", "")
+    rows = log_index.read_index(spark, path).select(
+        F.col("event_date").cast("string").alias("event_date"), (~files.endswith(f"ingest_batch={log_index.COMPACTED}")).alias("as_streamed")
+    )
+    return aggregate.count_by(rows, "event_date", "as_streamed")
+
+
+def archive_twice(spark: SparkSession, sf: str) -> DataFrame:
+    path = work_path(spark, "archive")
+    for _ in range(2):
+        log_index.archive(ad.log_events(spark, sf), path)
+    return log_index.read_index(spark, path).select("log_id", "level")
+
+
+OLD_NAMES = {"1": {"id": "logId", "ts": "timestamp", "svc": "service", "lvl": "level", "msg": "message"}}
+
+
+def bind_by_version(spark: SparkSession, sf: str) -> DataFrame:
+    """Every other record has the field names of version 1."""
+    old = text('{"id":"', F.col("log_id"), '","ts":"', F.col("ts_text"), '","svc":"', F.col("service"), '","lvl":"',
+               F.col("level"), '","msg":"', F.col("message"), '"}')
+    version = (F.col("event_id") % 2 + 1).cast("string")
+    rows = ad.adapted(spark, sf).select(version.alias("v"), F.when(version == "1", old).otherwise(ad.json_line()).alias("value"))
+    bound = versions.bind_by_version(rows, F.col("v"), OLD_NAMES, arrival=ad.no_time())
+    return binding.valid_events(bound, "v").select(
+        "v", "log_id", F.unix_micros("event_time").alias("epoch_us"), "service", "level", "message", "host"
+    )
+
+
+def otel_to_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event as an export of its own, with its resource, a severity name or number, and two attributes."""
+    def attribute(key: str, value: Column) -> list:
+        return ['{"key":"', key, '","value":{"stringValue":"', value, '"}}']
+
+    c = F.col
+    severity = F.when(c("event_id") % 2 == 0, text('"severityText":"', c("level"), '"')).otherwise(
+        text('"severityNumber":', (enrich.level_rank(c("level")) * 4 + 1).cast("string"))
+    )
+    nanos = (F.unix_micros(F.to_timestamp("ts_text")) * 1000).cast("string")
+    value = text(
+        '{"resourceLogs":[{"resource":{"attributes":[', *attribute("service.name", c("service")), ",",
+        *attribute("host.name", c("host")), ",", *attribute("k8s.pod.name", c("pod_name")), ']},"scopeLogs":[{"logRecords":[{"timeUnixNano":"',
+        nanos, '",', severity, ',"body":{"stringValue":"', c("message"), '"},"traceId":"', c("trace_id"), '","attributes":[',
+        *attribute("log.record.uid", c("log_id")), ",", *attribute("k", c("attr_k")), "]}]}]}]}",
+    )
+    events = otel.otel_events(ad.adapted(spark, sf).select(value.alias("value")))
+    first = F.element_at("attributes", 1)
+    return events.select(
+        "log_id", "host", F.unix_micros("event_time").alias("epoch_us"), "service", "pod_name", "trace_id", "level", "message",
+        first["key"].alias("attr_key"), first["value"].alias("attr_value"), _long(F.size("attributes")).alias("n_attrs"),
+    )
 
 
 REGISTERED = (
     src_raw_json, tail_log_lines, tail_json_lines, tail_csv_lines, tail_raw_lines, landing_path_columns,
-    explode_request_body, body_record_count, drop_date_key, kafka_payload,
+    explode_request_body, body_quarantine, body_record_count, drop_date_key, kafka_payload,
     bind_log_event, validate_split, quarantine_counts, filter_valid_level, replay_quarantine,
     route_by_extension, filter_by_tag, csv_line_match, union_all_formats, mixed_formats,
     parse_log_line, parse_csv_line, parse_log_time, normalize_timestamp, parse_attributes,
     event_to_json, bulk_index_actions, document_size, oversize_filter, bulk_batches_by_count,
-    bulk_batches_by_bytes, bulk_partial_retry, bulk_sink_counters, bulk_write_outcomes, doc_timestamp_forms,
+    bulk_batches_by_bytes, doc_timestamp_forms,
     attributes_flat, attributes_nest, transform_event, enrich_service_dim,
-    metrics_per_hour, metrics_stream, search_terms, search_any_term, search_phrase, search_newest,
+    metrics_per_hour, metrics_stream, metrics_sliding, metrics_session, search_terms, search_any_term, search_phrase, search_number,
+    search_non_ascii, search_newest,
     filter_facets, filter_attribute, agg_by_level, top_services, date_histogram, distinct_traces,
-    value_percentiles, level_service_cube, trace_timeline, context_around_error, service_health, silent_services,
+    value_percentiles, percentiles_approx, level_service_cube, trace_timeline, context_around_error, service_health, silent_services,
     alert_windows, unusual_counts, route_by_source, client_lines,
-    uppercase_stream, index_roundtrip, archive_roundtrip,
+    uppercase_stream, index_roundtrip, archive_roundtrip, index_with_source, compact_index, archive_twice,
+    bind_by_version, otel_to_events,
 )

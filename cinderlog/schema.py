@@ -27,7 +27,8 @@ CSV_LINE_FIELDS = (
 LOG_LINE_RE = (
     r"(?s)^\[([^\]]+)\]\s+\[([^\]]+)\]\s+\[([^\]]+)\]\s+\[([^\]]+)\]"
     r"\s+logId=(\S+)\s+instanceId=(\S+)\s+namespace=(\S+)\s+podName=(\S+)\s+traceId=(\S+)"
-    r"\s+-\s+(.*?)\s+\|\s+(.*)$"
+    # up to the first bar between blanks; a run of blanks is read once, so that a long one costs no more than its length
+    r"\s+-\s+(\S*(?:\s++(?!\|\s)\S+)*+)\s+\|\s+(.*)$"
 )
 CSV_LINE_RE = r"(?s)^([^,]+),([^,]+),([^,]+),([^,]+),([^,]+),([^,]+),([^,]+),([^,]+),([^,]+),(.*)$"
 

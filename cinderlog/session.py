@@ -19,16 +19,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over the cores before costly work on each of them.
-
-    Only an input with fewer splits than cores is moved, such as one unsplittable file; an input
-    that already keeps all cores busy is left where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in `spark.checkpoint.dir`.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cinderlog.operators.bulk import action_text
+from cinderlog.operators.bulk import action_text, cut_batches
 from cinderlog.schema import INDEX_NAME, MAX_BATCH_BYTES, MAX_BATCH_RECORDS, MAX_RECORD_BYTES
 
 # Takes the entries (action and document, two lines each) and the attempt number; gives one error
@@ -16,6 +18,7 @@ Transport = Callable[[list[str], int], list[str | None]]
 
 REQUESTS_SCHEMA = "lane int, batch_no bigint, attempt bigint, records bigint, failed bigint, whole_request boolean"
 MAX_ATTEMPTS = 5
+WAIT_SECONDS = 0.5
 
 
 class IndexUnreachable(Exception):
@@ -37,10 +40,17 @@ def is_fatal(error: BaseException) -> bool:
     )
 
 
-def send_batch(entries: list[str], transport: Transport, max_attempts: int) -> Iterator[tuple[int, int, int, bool]]:
-    """Send one batch; gives (attempt, records, failed, whole request failed) for each request."""
+def send_batch(
+    entries: list[str], transport: Transport, max_attempts: int, wait_seconds: float = WAIT_SECONDS
+) -> Iterator[tuple[int, int, int, bool]]:
+    """Send one batch; gives (attempt, records, failed, whole request failed) for each request.
+
+    Before another attempt it waits, twice as long each time.
+    """
     pending = entries
     for attempt in range(1, max_attempts + 1):
+        if attempt > 1:
+            time.sleep(wait_seconds * 2 ** (attempt - 2))
         try:
             errors = transport(pending, attempt)
         except Exception as error:
@@ -65,6 +75,7 @@ def send_bulk(
     max_bytes: int = MAX_BATCH_BYTES,
     max_record_bytes: int = MAX_RECORD_BYTES,
     max_attempts: int = MAX_ATTEMPTS,
+    wait_seconds: float = WAIT_SECONDS,
 ) -> DataFrame:
     """Send `document` of every row; gives one row per request.
 
@@ -81,7 +92,7 @@ def send_bulk(
         batch, used, number, lane = [], 0, 0, None
 
         def flush() -> pa.RecordBatch:
-            rows = list(send_batch(batch, transport, max_attempts))
+            rows = list(send_batch(batch, transport, max_attempts, wait_seconds))
             attempt, records, failed, whole = zip(*rows)
             return pa.RecordBatch.from_arrays(
                 [
@@ -93,14 +104,18 @@ def send_bulk(
             )
 
         for part in parts:
-            for lane, size, entry in zip(*(part.column(c).to_pylist() for c in ("lane", "bytes", "entry"))):
-                if size > max_record_bytes:
-                    raise RecordTooLarge(f"{size} bytes, limit {max_record_bytes}")
-                if batch and (len(batch) >= max_records or used + size > max_bytes):
+            if not part.num_rows:
+                continue
+            lane, sizes = part.column("lane")[0].as_py(), part.column("bytes").to_numpy().astype(np.int64)
+            if sizes.max() > max_record_bytes:
+                raise RecordTooLarge(f"{sizes.max()} bytes, limit {max_record_bytes}")
+            steps, _, used = cut_batches(sizes, len(batch), used, max_records, max_bytes)
+            for step in range(int(steps[-1]) + 1):
+                if step:
                     yield flush()
-                    batch, used, number = [], 0, number + 1
-                batch.append(entry)
-                used += size
+                    batch, number = [], number + 1
+                first, last = np.searchsorted(steps, [step, step + 1]).tolist()
+                batch += part.column("entry").slice(first, last - first).to_pylist()
         if batch:
             yield flush()
 

@@ -6,14 +6,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from cinderlog.schema import EVENT_SCHEMA
+from cinderlog.session import freeze
 
 FOLDER = "event_date"
-INDEX_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField(FOLDER, T.DateType())])
+# Where a record came from; columns that a source lacks are NULL.
+SOURCE_SCHEMA = T.StructType([
+    T.StructField("client_id", T.StringType()), T.StructField("file_path", T.StringType()), T.StructField("tag", T.StringType()),
+    T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
+])
+INDEX_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, *SOURCE_SCHEMA.fields, T.StructField(FOLDER, T.DateType())])
 
 
 def with_folder(events: DataFrame) -> DataFrame:
-    """Event columns plus the folder column."""
-    return events.select(*EVENT_SCHEMA.names, F.to_date("event_time").alias(FOLDER))
+    """Event columns, source columns and the folder column."""
+    source = [
+        (F.col(f.name) if f.name in events.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SOURCE_SCHEMA.fields
+    ]
+    return events.select(*EVENT_SCHEMA.names, *source, F.to_date("event_time").alias(FOLDER))
 
 
 def _gathered(events: DataFrame) -> DataFrame:
@@ -21,7 +30,7 @@ def _gathered(events: DataFrame) -> DataFrame:
 
     Adaptive execution splits the folder of a hot date over several tasks.
     """
-    return with_folder(events).hint("rebalance", FOLDER).sortWithinPartitions(FOLDER, "service", "event_time")
+    return with_folder(events).hint("rebalance", FOLDER).sortWithinPartitions(FOLDER, "client_id", "service", "event_time")
 
 
 def write_index(events: DataFrame, path: str) -> None:
@@ -52,13 +61,42 @@ def index_writer(events: DataFrame, path: str, checkpoint: str) -> DataStreamWri
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """The index as a table; filters on event_date skip folders, filters on service skip row groups."""
+    """The index as a table; filters on event_date skip folders, filters on client or service skip row groups."""
     return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 
+def read_tenant(spark: SparkSession, path: str, client_id: str) -> DataFrame:
+    """The index as one client sees it; files are sorted by client, so that the rest is mostly not read."""
+    if not client_id:
+        raise ValueError("a tenant's view needs its client id")
+    return read_index(spark, path).where(F.col("client_id") == client_id)
+
+
+COMPACTED = -1
+
+
+def compact_index(spark: SparkSession, path: str, *dates: str) -> None:
+    """Put the small files of closed dates, as a stream leaves them, together into few sorted ones.
+
+    The rows are copied to the shared folder first and then written as a batch of their own, and the folders of the
+    batches they came from are removed. Neither the stream nor readers should use these dates meanwhile.
+    """
+    folders = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folders.getFileSystem(spark._jsc.hadoopConfiguration())
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{FOLDER}={{{','.join(dates)}}}/ingest_batch=*")
+    old = [s.getPath() for s in files.globStatus(pattern) if s.getPath().getName() != f"ingest_batch={COMPACTED}"]
+    staged = freeze(read_index(spark, path).where(F.col(FOLDER).cast("string").isin(*dates)), "compact")
+    write_batch_folder(_gathered(staged), path, COMPACTED, FOLDER)
+    for folder in old:
+        files.delete(folder, True)
+
+
 def archive(events: DataFrame, path: str) -> None:
-    """Copy events to long-term storage as few large files per date, small ones from a stream merged."""
-    _gathered(events).write.partitionBy(FOLDER).mode("append").option("compression", "zstd").parquet(path)
+    """Copy whole dates of events to long-term storage as few large files; running again replaces those dates."""
+    (
+        _gathered(events).write.partitionBy(FOLDER).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd").parquet(path)
+    )
 
 
 def write_by_source(df: DataFrame, path: str, tag: str = "tag") -> None:

@@ -1,16 +1,10 @@
-"""Landing folder: `<base>/<client>/<upload id>_<file name>`, one level of client folders."""
+"""Landing folder: uploads below `<base>`, one level of client folders."""
 
 from __future__ import annotations
 
-import hashlib
-import posixpath
-import uuid
-from collections.abc import Iterator
+import re
 
-import pyarrow as pa
-from pyarrow import fs
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinderlog.functions import quoted
 from cinderlog.operators.collector import route
@@ -19,32 +13,57 @@ from cinderlog.schema import PARSER_BY_EXTENSION
 # Fixed value: a landed file name starts with its upload id and an underscore.
 UPLOAD_RE = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}_"
 UPLOAD_LENGTH = 36
+# Names of the folders and files that a partitioned write makes.
+CLIENT_FOLDER, NAME_FOLDER = "client_id=", "file_name="
+PART_RE = r"^part-\d+-([0-9a-f-]{36})"
+# A name is one step of a path: no separator, no pattern, and neither `.`, `..` nor hidden.
+NAME_RE = r"[^/\\{}\[\]*?,._\x00-\x1f][^/\\{}\[\]*?,\x00-\x1f]*"
 LINES_PER_FILE = 100_000
-_LANDED = "path string, n_lines bigint"
+FILES_PER_TRIGGER = 1_000
 
 
 def path_columns(path: str) -> dict[str, str]:
     """SQL of client_id, upload_id, file_name and ext for the path column of that name.
 
-    A file that was put there without an upload id keeps its whole name, and upload_id is NULL.
+    Two layouts are read: `<client>/<upload id>_<file name>`, as other tools put files there, and folders that Spark
+    writes, `client_id=<client>/file_name=<file name>/part-<n>-<upload id>...`. A file without an upload id keeps
+    its whole name, and upload_id is NULL.
     """
-    name = f"substring_index({path}, '/', -1)"
-    landed = f"{name} RLIKE {quoted(UPLOAD_RE)}"
-    own_name = f"CASE WHEN {landed} THEN substr({name}, {UPLOAD_LENGTH + 2}) ELSE {name} END"
+    last, folder, above = (f"substring_index(substring_index({path}, '/', -{n}), '/', 1)" for n in (1, 2, 3))
+    written = f"startswith({folder}, {quoted(NAME_FOLDER)}) AND startswith({above}, {quoted(CLIENT_FOLDER)})"
+    landed = f"{last} RLIKE {quoted(UPLOAD_RE)}"
+    own_name = f"CASE WHEN {landed} THEN substr({last}, {UPLOAD_LENGTH + 2}) ELSE {last} END"
+    name = f"CASE WHEN {written} THEN {_unescaped(f'substr({folder}, {len(NAME_FOLDER) + 1})')} ELSE {own_name} END"
+    client = f"CASE WHEN {written} THEN {_unescaped(f'substr({above}, {len(CLIENT_FOLDER) + 1})')} ELSE nullif({folder}, '') END"
+    part_id = f"nullif(regexp_extract({last}, {quoted(PART_RE)}, 1), '')"
     return {
-        "client_id": f"nullif(substring_index(substring_index({path}, '/', -2), '/', 1), '')",
-        "upload_id": f"CASE WHEN {landed} THEN left({name}, {UPLOAD_LENGTH}) END",
-        "file_name": own_name,
+        "client_id": client,
+        "upload_id": f"CASE WHEN {written} THEN {part_id} WHEN {landed} THEN left({last}, {UPLOAD_LENGTH}) END",
+        "file_name": name,
         "ext": f"CASE WHEN contains({name}, '.') THEN nullif(lower(substring_index({name}, '.', -1)), '') END",
     }
 
 
+def _unescaped(name: str) -> str:
+    """SQL: a folder value without the escapes that Spark writes; a plus sign stands for itself."""
+    return f"CASE WHEN contains({name}, '%') THEN url_decode(replace({name}, '+', '%2B')) ELSE {name} END"
+
+
 def with_path_columns(df: DataFrame, path: str) -> DataFrame:
     return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in path_columns(path).items()])
 
 
-def _glob(base: str, extensions: list[str] | None) -> str:
-    return f"{base.rstrip('/')}/*/*.{{{','.join(extensions or PARSER_BY_EXTENSION)}}}"
+def _glob(base: str, extensions: list[str] | None, client: str | None = None) -> str:
+    names = f"*.{{{','.join(extensions or PARSER_BY_EXTENSION)}}}"
+    folders = "*" if client is None else f"{{{_name(client)},{CLIENT_FOLDER}{client}}}"
+    return f"{base.rstrip('/')}/{folders}/{names}"
+
+
+def _name(value: str) -> str:
+    """A client or file name that cannot lead out of its folder, nor stand for others in a pattern."""
+    if not re.fullmatch(NAME_RE, value):
+        raise ValueError(f"not a name: {value!r}")
+    return value
 
 
 def _described(text: DataFrame) -> DataFrame:
@@ -56,101 +75,42 @@ def _described(text: DataFrame) -> DataFrame:
     return route(with_path_columns(lines, "file_path"))
 
 
-def read_landing(spark: SparkSession, base: str, extensions: list[str] | None = None) -> DataFrame:
-    """All lines below `base` with path columns, parser and tag."""
-    return _described(spark.read.option("lineSep", "\n").text(_glob(base, extensions)))
+def read_landing(
+    spark: SparkSession, base: str, extensions: list[str] | None = None, client: str | None = None
+) -> DataFrame:
+    """All lines below `base` with path columns, parser and tag; with `client` only its folder is listed."""
+    return _described(spark.read.option("lineSep", "\n").text(_glob(base, extensions, client)))
 
 
 def stream_landing(
-    spark: SparkSession, base: str, extensions: list[str] | None = None, max_files_per_trigger: int | None = None
+    spark: SparkSession, base: str, extensions: list[str] | None = None, max_files_per_trigger: int | None = FILES_PER_TRIGGER
 ) -> DataFrame:
-    """The same as a stream. Files already there come first; files must appear whole."""
+    """The same as a stream. Files already there come first, a bounded number at a time; files must appear whole."""
     reader = spark.readStream.option("lineSep", "\n")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return _described(reader.text(_glob(base, extensions)))
 
 
-def _upload_id(*parts: object) -> str:
-    digest = hashlib.sha256("\u0001".join(map(str, parts)).encode()).digest()
-    return str(uuid.UUID(bytes=digest[:16], version=4))
-
-
-def _open(base: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(base) if "://" in base or base.startswith("file:") else (fs.LocalFileSystem(), base)
-
+def land_lines(lines: DataFrame, base: str, lines_per_file: int = LINES_PER_FILE) -> None:
+    """Write rows of (client_id, file_name, line), in folders by client and file name.
 
-class _Landing:
-    """Writes one file at a time under a hidden name and renames it when it is whole."""
-
-    def __init__(self, base: str):
-        self.files, self.root = _open(base)
-
-    def open(self, client: str, upload: str, name: str) -> None:
-        folder = posixpath.join(self.root, client)
-        self.files.create_dir(folder, recursive=True)
-        self.final = posixpath.join(folder, f"{upload}_{name}")
-        self.hidden = posixpath.join(folder, f".{upload}_{name}.part")
-        self.out = self.files.open_output_stream(self.hidden)
-
-    def close(self) -> str:
-        self.out.close()
-        self.files.move(self.hidden, self.final)
-        return self.final
-
-
-def land_files(files: DataFrame, base: str) -> DataFrame:
-    """Write each row of (client_id, file_name, content) as one file; gives path and line count.
-
-    The upload id follows from the row's place in the input, so a task that runs again writes the
-    same file. The write happens when the result is used.
-    """
-    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        landing, task = _Landing(base), TaskContext.get().partitionId()
-        row = 0
-        for part in parts:
-            paths, counts = [], []
-            for client, name, content in zip(*(part.column(c).to_pylist() for c in ("client_id", "file_name", "content"))):
-                landing.open(client, _upload_id(base, client, name, task, row), name)
-                landing.out.write(content.encode())
-                paths.append(landing.close())
-                counts.append(content.count("\n") + (not content.endswith("\n") and content != ""))
-                row += 1
-            yield pa.RecordBatch.from_pydict({"path": paths, "n_lines": pa.array(counts, pa.int64())})
-
-    return files.select("client_id", "file_name", "content").mapInArrow(write, _LANDED)
-
-
-def land_lines(lines: DataFrame, base: str, lines_per_file: int = LINES_PER_FILE) -> DataFrame:
-    """Write rows of (client_id, file_name, line) as files; gives path and line count.
-
-    Every task writes its own rows, sorted by file, and starts a new file after `lines_per_file`
-    lines. Nothing is shuffled, so one large client is spread over all tasks.
+    Spark's commit makes the files appear whole, and only those of one attempt of each task. A part is one upload:
+    its name carries the id of the write. Nothing is shuffled, so one large client is spread over all tasks. A name
+    that could lead out of its folder fails the write.
     """
-    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        landing, task = _Landing(base), TaskContext.get().partitionId()
-        current, count, serial = None, 0, 0
-        for part in parts:
-            paths, counts = [], []
-            clients, names = part.column("client_id").to_pylist(), part.column("file_name").to_pylist()
-            texts = part.column("line").to_pylist()
-            start = 0
-            while start < part.num_rows:
-                target = (clients[start], names[start])
-                if current != target or count >= lines_per_file:
-                    if current is not None:
-                        paths.append(landing.close())
-                        counts.append(count)
-                    landing.open(target[0], _upload_id(base, *target, task, serial), target[1])
-                    current, count, serial = target, 0, serial + 1
-                stop = start
-                while stop < part.num_rows and (clients[stop], names[stop]) == target and count + stop - start < lines_per_file:
-                    stop += 1
-                landing.out.write("".join(f"{t}\n" for t in texts[start:stop]).encode())
-                count, start = count + stop - start, stop
-            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "n_lines": pa.array(counts, pa.int64())})
-        if current is not None:
-            yield pa.RecordBatch.from_pydict({"path": [landing.close()], "n_lines": pa.array([count], pa.int64())})
-
-    ordered = lines.select("client_id", "file_name", "line").sortWithinPartitions("client_id", "file_name")
-    return ordered.mapInArrow(write, _LANDED)
+    wrong = F.lit(False)
+    for column in ("client_id", "file_name"):
+        wrong = wrong | ~F.coalesce(F.col(column).rlike(f"^{NAME_RE}$"), F.lit(False))
+    message = F.concat(F.lit("not a client and file name: "), F.to_json(F.struct("client_id", "file_name")))
+    client = F.when(wrong, F.raise_error(message).cast("string")).otherwise(F.col("client_id"))
+    (
+        lines.select(client.alias("client_id"), "file_name", F.col("line").alias("value"))
+        .write.partitionBy("client_id", "file_name").mode("append").option("maxRecordsPerFile", lines_per_file).text(base)
+    )
+
+
+def land_files(files: DataFrame, base: str) -> None:
+    """Write rows of (client_id, file_name, content); the lines of a content stay together and in order."""
+    content = F.regexp_replace("content", r"\n$", "")
+    land_lines(files.where("content <> ''").select("client_id", "file_name", content.alias("line")), base)

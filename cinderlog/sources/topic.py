@@ -6,20 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinderlog.schema import RAW_TOPIC
 
-# Fixed value: consumer group of the log stream.
-GROUP_ID = "log-processing-group"
-
 
 def read_options(
     servers: str,
     topic: str = RAW_TOPIC,
-    group_id: str | None = GROUP_ID,
+    group_id: str | None = None,
     min_partitions: int | None = None,
     max_offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source: one topic, from the earliest offset on a new checkpoint.
 
-    `min_partitions` splits large topic partitions over more tasks; `max_offsets_per_trigger`
+    Queries that share a consumer group can each see only part of the data, so each gets its own unless `group_id` is
+    given. `min_partitions` splits large topic partitions over more tasks; `max_offsets_per_trigger`
     bounds what one micro-batch takes in.
     """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}

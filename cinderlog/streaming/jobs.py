@@ -69,7 +69,7 @@ def run_log_stream(
                 first = rejected.select("reason", "raw").first()
                 if first is not None:
                     raise ValueError(f"invalid record ({first['reason']}): {first['raw']}")
-            write_index_batch(valid_events(batch), index_path, batch_id)
+            write_index_batch(valid_events(batch, *keep), index_path, batch_id)
             write_batch_folder(rejected, quarantine_path, batch_id)
             for sink in sinks:
                 sink(valid_events(batch, *keep), batch_id)
@@ -93,7 +93,14 @@ def bulk_sink(
     batch may add copies. Documents above the record limit are kept under `rejected_path`.
     """
     def sink(events: DataFrame, batch_id: int) -> None:
-        judged = split_oversize(with_documents(events), max_record_bytes)
+        # the documents go to the sink and to the rejected ones, and are made once for both
+        judged = split_oversize(with_documents(events), max_record_bytes).persist()
+        try:
+            send(judged, batch_id)
+        finally:
+            judged.unpersist()
+
+    def send(judged: DataFrame, batch_id: int) -> None:
         doc_id = document_id(*source) if source else F.col("log_id")
         sent = send_bulk(
             judged.where(~F.col("is_oversize")), transport, doc_id=doc_id, max_record_bytes=max_record_bytes, **options
@@ -125,13 +132,27 @@ def file_writer(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
 def metrics_stream(
     events: DataFrame, width: str = "1 hour", delay: str = "10 minutes", by: Sequence[str] = ("service",)
 ) -> DataFrame:
-    """Metrics of closed windows. A window closes when the newest event is `delay` past its end.
+    """Metrics of closed windows. A window closes when the newest event is `delay` past its end; one that is still open
+    is not given out. For a table that ends, take `aggregate.metrics` over the table.
 
     Events later than that are left out of the metrics, but they still reach the index.
     """
     return metrics(events.withWatermark("event_time", delay), width, by)
 
 
+def whole_metrics_writer(
+    events: DataFrame, path: str, checkpoint: str, width: str = "1 hour", by: Sequence[str] = ("service",)
+) -> DataStreamWriter:
+    """Write the metrics of all windows, open ones too, anew after each micro-batch: for a source that ends.
+
+    The state has one row for each window and group, and none is ever dropped, so late events count as well.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return metrics(events, width, by).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
 class Counts(StreamingQueryListener):
     """Adds up the record counts that `run_log_stream` observes."""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from cinderlog.operators.binding import bind, quarantine, valid_events
@@ -29,10 +30,9 @@ def test_uploaded_files_are_read_back(spark, tmp_path):
         ("zeta", "x.yaml", "a: 1\nb: 2"),
         ("zeta", "skip.png", "??"),
     ], "client_id string, file_name string, content string")
-    landed = landing.land_files(files, base).collect()
-    assert sorted(r["n_lines"] for r in landed) == [1, 1, 2, 2, 2]
-    assert len({r["path"] for r in landed}) == 5
-    assert all(re.search(landing.UPLOAD_RE, r["path"].rsplit("/", 1)[1]) for r in landed)
+    landing.land_files(files, base)
+    uploads = landing.read_landing(spark, base).select("upload_id").distinct().collect()
+    assert all(re.fullmatch(landing.UPLOAD_RE, f"{r[0]}_") for r in uploads)
 
     lines = landing.read_landing(spark, base)
     counts = {(r["client_id"], r["file_name"], r["tag"], r["parser"]): r["count"] for r in
@@ -46,12 +46,24 @@ def test_uploaded_files_are_read_back(spark, tmp_path):
     assert [r["reason"] for r in quarantine(bound).collect()] == ["unstructured"] * 2
 
 
-def test_running_again_writes_the_same_files(spark, tmp_path):
-    base = str(tmp_path / "logs")
-    files = spark.createDataFrame([("a", "x.log", "1\n"), ("b", "y.log", "2\n")], "client_id string, file_name string, content string")
-    first = {r["path"] for r in landing.land_files(files, base).collect()}
-    assert {r["path"] for r in landing.land_files(files, base).collect()} == first
-    assert landing.read_landing(spark, base).count() == 2
+def test_both_layouts_and_one_client(spark, tmp_path):
+    base = tmp_path / "logs"
+    (base / "acme").mkdir(parents=True)
+    (base / "acme" / f"{UPLOAD}_x.log").write_text("put there\n")
+    files = spark.createDataFrame([("acme", "x.log", "a\n"), ("zeta", "x.log", "b\n")], "client_id string, file_name string, content string")
+    landing.land_files(files, str(base))
+    assert sorted(r["value"] for r in landing.read_landing(spark, str(base)).collect()) == ["a", "b", "put there"]
+    own = landing.read_landing(spark, str(base), client="acme")
+    assert sorted((r["value"], r["client_id"], r["file_name"]) for r in own.collect()) == [("a", "acme", "x.log"), ("put there", "acme", "x.log")]
+    assert all("/acme/" in f or "client_id=acme/" in f for f in own.inputFiles())
+
+
+@pytest.mark.parametrize("client, name", [("../x", "a.log"), ("/abs", "a.log"), ("c", "../a.log"), ("..", "a.log"), ("c", ""), (None, "a.log")])
+def test_names_cannot_leave_their_folder(spark, tmp_path, client, name):
+    files = spark.createDataFrame([(client, name, "1\n")], "client_id string, file_name string, content string")
+    with pytest.raises(Exception, match="not a client and file name"):
+        landing.land_files(files, str(tmp_path / "logs"))
+    assert not list(tmp_path.rglob("*.log"))
 
 
 def test_lines_roll_over_to_new_files(spark, tmp_path):
@@ -60,8 +72,7 @@ def test_lines_roll_over_to_new_files(spark, tmp_path):
         F.when(F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("c"), F.col("id") % 4)).alias("client_id"),
         F.lit("app.log").alias("file_name"), F.concat(F.lit("line "), "id").alias("line"),
     )
-    landed = landing.land_lines(rows, base, lines_per_file=50).collect()
-    assert sum(r["n_lines"] for r in landed) == 1000 and max(r["n_lines"] for r in landed) <= 50
+    landing.land_lines(rows, base, lines_per_file=50)
     back = landing.read_landing(spark, base)
+    assert max(r["count"] for r in back.groupBy("file_path").count().collect()) <= 50
     assert sorted(r["value"] for r in back.collect()) == sorted(f"line {i}" for i in range(1000))
-    assert not list((tmp_path / "logs").glob("*/.*"))

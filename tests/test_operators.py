@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cinderlog.operators import attributes, binding, collector, enrich, health, search
+from cinderlog.operators import aggregate, attributes, binding, collector, enrich, health, otel, search, versions
 from cinderlog.session import shared_dir, work_path
 from cinderlog.sinks import index as log_index, topic as topic_sink
 from cinderlog.sources import topic as topic_source
@@ -25,24 +25,28 @@ def events(spark):
 
 
 def test_nest_is_the_inverse_of_flatten(events):
-    nested = attributes.nest_attributes(events, attributes.flatten_attributes(events))
+    keyed = events.withColumn("record_id", F.coalesce("log_id", F.lit("none")))
+    nested = attributes.nest_attributes(keyed, attributes.flatten_attributes(keyed, key="record_id"), key="record_id")
     assert Counter(str(r) for r in nested.select("log_id", "attributes").collect()) == Counter(
         str(r) for r in events.select("log_id", "attributes").collect()
     )
-    assert {r["chunk"] for r in nested.collect()} == {0}
 
 
-def test_large_lists_are_spread_whole(spark):
-    events = spark.createDataFrame([("hot",), ("cold",), ("none",)], "log_id string")
-    rows = spark.range(1000).select(
+def test_events_without_a_log_id_keep_their_attributes(spark):
+    rows = [(i, None if i % 2 else f"l{i}", [(1, None, "k", str(i)), (0, None, "j", "x")]) for i in range(50)]
+    events = spark.createDataFrame(
+        rows, "record_id long, log_id string, attributes array<struct<id:long,logId:string,key:string,value:string>>")
+    nested = attributes.nest_attributes(events.drop("attributes"), attributes.flatten_attributes(events, key="record_id"), key="record_id")
+    assert {r["record_id"]: [a["value"] for a in r["attributes"]] for r in nested.collect()} == {i: ["x", str(i)] for i in range(50)}
+
+
+def test_a_list_of_any_length_is_one_row(spark):
+    events = spark.createDataFrame([("hot",), ("cold",), ("none",), (None,)], "log_id string")
+    rows = spark.range(100_000).select(
         F.lit("hot").alias("log_id"), F.lit(1).cast("bigint").alias("id"), F.lit("k").alias("key"), F.lit("copy").alias("value")
-    ).union(spark.sql("SELECT 'cold', 1L, 'k', 'v'"))
-    nested = attributes.nest_attributes(events, rows, max_list=100).collect()
-    hot = [r for r in nested if r["log_id"] == "hot"]
-    assert len(hot) == 10 and sum(len(r["attributes"]) for r in hot) == 1000
-    assert max(len(r["attributes"]) for r in hot) < 200
-    assert [len(r["attributes"]) for r in nested if r["log_id"] == "cold"] == [1]
-    assert [r["attributes"] for r in nested if r["log_id"] == "none"] == [None]
+    ).union(spark.sql("SELECT 'cold', 1L, 'k', 'v'")).union(spark.sql("SELECT NULL, 1L, 'k', 'v'"))
+    nested = attributes.nest_attributes(events, rows).select("log_id", F.size("attributes").alias("n")).collect()
+    assert {r["log_id"]: r["n"] for r in nested} == {"hot": 100_000, "cold": 1, "none": None, None: None} and len(nested) == 4
 
 
 def test_flatten_keeps_empty_on_request(events):
@@ -50,14 +54,11 @@ def test_flatten_keeps_empty_on_request(events):
     assert attributes.flatten_attributes(events, keep_empty=True).count() == 61
 
 
-def test_dimension_join_with_and_without_broadcast(spark, events):
+def test_dimension_join_leaves_the_choice_to_spark(spark, events):
     owners = spark.createDataFrame([("s0", "a"), ("s1", "b")], "service string, owner string")
-    small = enrich.join_dimension(events, owners, ["service"])
-    large = enrich.join_dimension(events, owners, ["service"], max_rows=1)
-    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (small, large)]
-    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
-    pairs = [Counter((r["log_id"], r["owner"]) for r in df.collect()) for df in (small, large)]
-    assert pairs[0] == pairs[1] and sum(pairs[0].values()) == 61
+    joined = enrich.join_dimension(events, owners, ["service"])
+    assert "Hint" not in joined._jdf.queryExecution().analyzed().toString()
+    assert Counter(r["owner"] for r in joined.collect()) == Counter({"a": 20, "b": 20, None: 21})
 
 
 def test_document_id_is_stable(spark):
@@ -78,8 +79,19 @@ def test_search(events):
     assert search.search(events, ["order", "service"]).count() == 0
     assert search.search_phrase(events, "PAID by").count() == 60
     assert search.search_phrase(events, "it's").count() == 0
-    with pytest.raises(ValueError):
-        search.search(events, [])
+    for none in ([], ["..."]):
+        with pytest.raises(ValueError):
+            search.search(events, none)
+
+
+def test_search_over_letters_and_digits_of_any_script(spark):
+    texts = ["code 404, payment2 done", "Die Größe ÄNDERT sich", "standby theme", "by  the\nway", "日本 語", "naïve_name"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, message string")
+    for terms, found in ((["404"], [0]), (["PAYMENT2"], [0]), (["payment"], []), (["größe", "ändert"], [1]), (["語"], [4]),
+                         (["naïve_name"], [5]), (["the"], [3])):
+        assert sorted(r["i"] for r in search.search(rows, terms).collect()) == found
+    for phrase, found in (("by the", [3]), ("Größe, ändert!", [1]), ("404 done", []), ("404 payment2", [0])):
+        assert sorted(r["i"] for r in search.search_phrase(rows, phrase).collect()) == found
 
 
 @pytest.mark.parametrize("facets, keep", [
@@ -136,11 +148,56 @@ def test_payload_key_and_nested_values(spark):
     assert [(r["value"], r["key"]) for r in out.collect()] == [('{"b":1.1,"a":{"c":null,"z":1},"n":null,"s":"x"}', "5"), ("{}", "5")]
 
 
+def test_bodies_are_records_or_kept_out_with_a_reason(spark):
+    bodies = spark.createDataFrame([(1, '[{"a":1},{}]'), (2, '[{"a":1},5]'), (3, "broken"), (4, '{"a":1}'), (5, None), (6, " "), (7, "[]")],
+                                   "body_id int, body string")
+    assert sorted(r["body_id"] for r in collector.explode_bodies(bodies).collect()) == [1, 1]
+    found = {r["body_id"]: (r["raw"], r["reason"]) for r in collector.body_quarantine(bodies).collect()}
+    assert found == {2: ('[{"a":1},5]', "not_array_of_objects"), 3: ("broken", "not_json"), 4: ('{"a":1}', "not_array_of_objects"),
+                     5: (None, "empty"), 6: (" ", "empty")}
+
+
+def test_percentile_names():
+    assert [aggregate.percentile_name(q) for q in (0.5, 0.95, 0.995, 0.999, 0.9999, 1.0, 0.1)] == [
+        "p50", "p95", "p99_5", "p99_9", "p99_99", "p100", "p10"]
+
+
+def test_archive_and_compaction_can_run_again(spark, events):
+    path, index_path = work_path(spark, "test-archive"), work_path(spark, "test-index")
+    for _ in range(2):
+        log_index.archive(events, path)
+    assert log_index.read_index(spark, path).count() == 61
+    for batch in range(3):
+        log_index.write_index_batch(events.withColumn("client_id", F.lit(f"c{batch}")), index_path, batch)
+    for _ in range(2):
+        log_index.compact_index(spark, index_path, "2026-07-01", "2026-07-02")
+    assert log_index.read_index(spark, index_path).count() == 183
+    assert log_index.read_tenant(spark, index_path, "c1").count() == 61
+    with pytest.raises(ValueError):
+        log_index.read_tenant(spark, index_path, "")
+
+
+def test_versions_and_unknown_keys(spark):
+    rows = spark.createDataFrame([("1", '{"id":"a","msg":"x \\"y\\""}'), ("1", '{"id":"b","zz":1}'), ("1", "broken"), ("2", '{"logId":"c"}'),
+                                  (None, '{"logId":"d"}')], "v string, value string")
+    bound = versions.bind_by_version(rows, F.col("v"), {"1": {"id": "logId", "msg": "message"}}).collect()
+    assert sorted((r["event"]["log_id"], r["event"]["message"], r["reason"]) for r in bound if r["reason"] is None) == [
+        ("a", 'x "y"', None), ("c", None, None), ("d", None, None)]
+    assert sorted(r["reason"] for r in bound if r["reason"]) == ["not_json_object", "unknown_field"]
+
+
+def test_otel_levels_and_missing_parts(spark):
+    record = '{"resourceLogs":[{"scopeLogs":[{"logRecords":[%s]}]}]}'
+    rows = [(record % '{"severityNumber":21,"body":{"stringValue":"m"}},{"severityText":"warn"},{"timeUnixNano":"0"}',), ("broken",), ("{}",), (None,)]
+    found = otel.otel_events(spark.createDataFrame(rows, "value string")).collect()
+    assert [(r["level"], r["message"], r["event_time"]) for r in found] == [("ERROR", "m", None), ("WARN", None, None), (None, None, None)]
+
+
 def test_topic_options():
     read = topic_source.read_options("k:9092", min_partitions=64, max_offsets_per_trigger=1000)
     assert read == {
         "kafka.bootstrap.servers": "k:9092", "subscribe": "logs.raw", "startingOffsets": "earliest",
-        "kafka.group.id": "log-processing-group", "minPartitions": "64", "maxOffsetsPerTrigger": "1000",
+        "minPartitions": "64", "maxOffsetsPerTrigger": "1000",
     }
     write = topic_sink.write_options("k:9092", "out", linger_ms="50")
     assert write["kafka.linger.ms"] == "50" and write["kafka.acks"] == "all" and write["topic"] == "out"

@@ -48,10 +48,9 @@ def _gaps(rows):
     return sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("limit", [0, 10, 500, 1_000_000])
-def test_timeline_of_small_and_large_traces(events, limit):
+def test_timeline_of_small_and_large_traces(events):
     rows, frame = events
-    got = trace.timeline(frame, max_window_rows=limit).select("log_id", "gap_us").collect()
+    got = trace.timeline(frame).select("log_id", "gap_us").collect()
     assert sorted(((r[0], r[1]) for r in got), key=str) == _gaps(rows)
 
 
@@ -96,15 +95,23 @@ def test_percentiles_match_the_built_in(spark):
         assert got[g] == pytest.approx(expected[g])
 
 
-def test_groups_above(events):
-    rows, frame = events
-    hot = sum(r[1] == "t-hot" for r in rows)
-    assert [(r["trace_id"], r["n"]) for r in ordered.groups_above(frame, ["trace_id"], 500).collect()] == [("t-hot", hot)]
-
-
 def test_rows_without_a_trace_are_one_group(spark):
     rows = [(f"{i:03d}", None if i % 2 else "t", i) for i in range(100)]
     frame = spark.createDataFrame(rows, "log_id string, trace_id string, at int").withColumn("event_time", F.timestamp_seconds("at"))
-    for limit in (10, 49, 1000):
-        gaps = sorted((r["log_id"], r["gap_us"]) for r in trace.timeline(frame, limit).collect())
-        assert gaps == [(f"{i:03d}", None if i < 2 else 2_000_000) for i in range(100)]
+    gaps = sorted((r["log_id"], r["gap_us"]) for r in trace.timeline(frame).collect())
+    assert gaps == [(f"{i:03d}", None if i < 2 else 2_000_000) for i in range(100)]
+
+
+def test_ranges_follow_the_size(spark, monkeypatch):
+    frame = spark.range(1000)
+    assert ordered.range_count(frame) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(ordered, "RANGE_BYTES", 100)
+    assert ordered.range_count(frame) == 80
+
+
+def test_both_directions_share_one_sort(spark, events):
+    _, frame = events
+    laid = ordered.range_layout(frame.select("service", "log_id"), ["service", "log_id"])
+    both = ordered.carry_both(laid, ["service"], F.struct("log_id"), "_a", "_b")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") + plan.count("Window(") <= 3 and plan.count("hashpartitioning(_part") <= 4
