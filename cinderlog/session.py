@@ -36,8 +36,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/cinderlog/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below this application's folder in the shared folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/cinderlog/{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove all working tables of this application; frames that read them can't be used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def freeze(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from datetime import datetime
 
 import pytest
@@ -162,3 +164,14 @@ def test_record_is_read_once(spark):
     plan = binding.valid_events(binding.bind(rows))._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert filters and not any("from_json" in line for line in filters)
+
+
+def test_long_runs_of_blanks_cost_no_more_than_their_length(spark):
+    head = "[2026-07-17T10:25:30Z] [INFO] [s] [h] logId=1 instanceId=i namespace=n podName=p traceId=t - "
+    lines = [head + "a" + " " * 1_000_000, head + " " * 1_000_000 + "| k=v", head + "a |b |  | k=v", head + "a" + " " * 500_000 + "| k=v"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
+    binding.bind(rows.where("i = 2"), "log").collect()  # compiled before it is timed
+    start = time.perf_counter()
+    found = {r["i"]: (r["event"]["message"], r["reason"]) for r in binding.bind(rows, "log", max_bytes=1 << 21).select("i", "event", "reason").collect()}
+    assert time.perf_counter() - start < 10
+    assert found[0][1] == "no_match" and found[2] == ("a |b", None) and found[3] == ("a", None)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinderlog.operators import aggregate, attributes, binding, collector, enrich, health, otel, search, versions
-from cinderlog.session import shared_dir, work_path
+from cinderlog.session import clean, freeze, shared_dir, work_path
 from cinderlog.sinks import index as log_index, topic as topic_sink
 from cinderlog.sources import topic as topic_source
 
@@ -203,6 +203,16 @@ def test_topic_options():
     assert write["kafka.linger.ms"] == "50" and write["kafka.acks"] == "all" and write["topic"] == "out"
 
 
+def test_working_tables_can_be_removed(spark):
+    from pathlib import Path
+
+    frame = freeze(spark.range(3), "x")
+    folder = Path(frame.inputFiles()[0].removeprefix("file:").removeprefix("//")).parent
+    assert folder.is_dir() and folder.parent.name == spark.sparkContext.applicationId
+    clean(spark)
+    assert not folder.parent.exists()
+
+
 def test_work_path_is_below_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == named
