@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cinderlog.functions import attributes as attr, kept_apart, lines, quoted_list, records, times
-from cinderlog.schema import COLUMN_BY_FIELD, EVENT_COLUMNS, LEVELS, MAX_RECORD_BYTES
+from cinderlog.schema import COLUMN_BY_FIELD, EVENT_COLUMNS, LEVELS, MAX_RECORD_BYTES, REASONS
 
 
 def _later_time(value: str, rec: str) -> str:
@@ -77,7 +77,7 @@ def _reason(value: str, max_bytes: int) -> str:
         ),
         "oversize": f"octet_length({value}) > {max_bytes}",
     }
-    return "CASE {} END".format(" ".join(f"WHEN {test} THEN '{reason}'" for reason, test in checks.items()))
+    return "CASE {} END".format(" ".join(f"WHEN {checks[reason]} THEN '{reason}'" for reason in REASONS))
 
 
 def bind(
