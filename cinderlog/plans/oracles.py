@@ -144,7 +144,7 @@ ORACLES = {
     "oversize_filter": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes, strlen(text) > 8192 AS is_oversize FROM documents",
     "bulk_batches_by_count": _from_a("""SELECT count(*) AS docs, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(0 AS BIGINT) AS over,
       CAST(0 AS BIGINT) AS not_full"""),
-    "bulk_batches_by_bytes": _from_a(f"""SELECT count(*) AS docs, CAST(sum(strlen({_EPOCH_DOC})) AS BIGINT) AS bytes,
+    "bulk_batches_by_bytes": _from_a(f"""SELECT count(*) AS docs, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(sum(strlen({_EPOCH_DOC})) AS BIGINT) AS bytes,
       CAST(0 AS BIGINT) AS over_count, CAST(0 AS BIGINT) AS over_bytes, CAST(0 AS BIGINT) AS closed_early"""),
     "doc_timestamp_forms": _from_a("""SELECT log_id, strftime(ts_sec, '%Y-%m-%d %H:%M:%S') AS dt,
       strftime(ts_sec, '%Y-%m-%d') AS d, strftime(ts_sec, '%H:%M:%S') AS t"""),

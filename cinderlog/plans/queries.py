@@ -312,12 +312,13 @@ def bulk_batches_by_bytes(spark: SparkSession, sf: str) -> DataFrame:
     documents = bulk.with_documents(ad.json_events(spark, sf)).select("log_id", "bytes")
     ordered = documents.withColumn("arrival", F.monotonically_increasing_id())
     batches = bulk.batches_by_size(ordered, records_limit, bytes_limit).groupBy("lane", "batch_no").agg(
-        F.count("*").alias("n"), F.sum("bytes").alias("size"), F.min_by("bytes", "arrival").alias("first")
+        F.count("*").alias("n"), F.sum("bytes").alias("size"), F.min_by("bytes", "arrival").alias("first"),
+        F.sum(F.col("log_id").cast("bigint")).alias("ids"),
     )
     after = F.lead("first").over(Window.partitionBy("lane").orderBy("batch_no"))
     early = (F.col("n") < records_limit) & (F.col("size") + F.col("after") <= bytes_limit)
     return batches.withColumn("after", after).agg(
-        _long(F.sum("n")).alias("docs"), _long(F.sum("size")).alias("bytes"),
+        _long(F.sum("n")).alias("docs"), _long(F.sum("ids")).alias("id_sum"), _long(F.sum("size")).alias("bytes"),
         _long(F.count_if(F.col("n") > records_limit)).alias("over_count"),
         _long(F.count_if(F.col("size") > bytes_limit)).alias("over_bytes"),
         _long(F.count_if(early)).alias("closed_early"),

@@ -15,7 +15,7 @@ LOG = "[2026-07-17T10:25:30Z] [INFO] [svc] [h] logId=1 instanceId=i namespace=n
 
 JSON_CASES = [
     ("{}", None),
-    ('{"timestamp":"2026-07-17T10:25:30Z","service":"payment-service","level":"INFO","message":"Payment completed","traceId":"abc123"}', None),
+    ('{"traceId":"q-17","timestamp":"2026-03-02T08:00:01Z","level":"DEBUG","service":"mailer","message":"Queue drained"}', None),
     ("", "empty"), ("  \t", "empty"),
     ("null", "not_json_object"), ("[{}]", "not_json_object"), ("5", "not_json_object"), ('{"logId":5', "not_json_object"),
     ("{'host':'x'}", "not_json_object"), ("{host:1}", "not_json_object"),
