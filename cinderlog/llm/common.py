@@ -54,6 +54,17 @@ def per_worker(name: str, make: Callable):
     return getattr(kept, name)
 
 
+def least_hashed(df: DataFrame, hashed: str, bound: int) -> DataFrame:
+    """Rows whose `hashed` (a bigint column, different in each row) is low: about twice `bound` of them, or all of fewer.
+
+    Taking the least `bound` of these instead of all rows keeps what each task hands on small.
+    """
+    n = df.count()
+    if n <= 2 * bound:
+        return df
+    return df.where(F.col(hashed) < F.lit(int(2 * bound / n * 2.0**64) - 2**63))
+
+
 def labelled_sample(labels: DataFrame, key: str, columns: list[str], bound: int) -> DataFrame:
     """At most `bound` labelled rows, those with the least hash of the key; small enough to broadcast.
 

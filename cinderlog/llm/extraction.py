@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cinderlog.llm.common import Batches, mapped
+from cinderlog.llm.common import Batches, least_hashed, mapped
 
 #: Pages that training uses at most.
 TRAINING_PAGES = 300
@@ -345,8 +345,11 @@ def variant(blocks: list[Block], labels: list[int], rng: np.random.Generator) ->
 
 def train(pages: DataFrame, key: str = "page_id", page: str = "html", bound: int = TRAINING_PAGES) -> Network:
     """Fit on at most `bound` pages, those with the least hash of key and page, and variants of them."""
-    sample = pages.where(F.col(page).isNotNull()).select(F.xxhash64(key, page).alias("order"), F.col(page).alias("page"))
-    texts = [r["page"] for r in sample.orderBy("order", "page").limit(bound).collect()]
+    hashed = pages.where(F.col(page).isNotNull()).select(F.xxhash64(key, page).alias("order"), F.col(page).alias("page"))
+    orders = least_hashed(hashed.select("order").distinct(), "order", bound).orderBy("order").limit(bound)
+    # of equal pages one counts, so that no more than the bound come to the driver
+    sample = hashed.join(F.broadcast(orders), "order").groupBy("order").agg(F.min("page").alias("page"))
+    texts = [r["page"] for r in sample.orderBy("order").collect()]
     rng, vectors, rows, labels = np.random.default_rng(11), Vectors(), [], []
     for text in texts:
         blocks = blocks_of(text)
