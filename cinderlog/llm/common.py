@@ -72,8 +72,8 @@ def labelled_sample(labels: DataFrame, key: str, columns: list[str], bound: int)
     """
     known = labels.select(key, *columns).na.drop().groupBy(key).agg(
         F.min(F.struct(*columns)).alias("_label")
-    ).select(key, *[F.col(f"_label.{c}").alias(c) for c in columns])
-    return known.orderBy(F.xxhash64(key), key).limit(bound)
+    ).select(key, *[F.col(f"_label.{c}").alias(c) for c in columns], F.xxhash64(key).alias("_hash"))
+    return least_hashed(known, "_hash", bound).orderBy("_hash", key).limit(bound).drop("_hash")
 
 
 def unused(df: DataFrame, name: str) -> str:
