@@ -56,16 +56,19 @@ def counts(text):
 
 def contamination(text, items: dict):
     """(n_words, n_hit, n_items, items_sha256, contaminated) for items by id."""
-    words = TERM.findall(lowered(text))
-    hit, found = set(), set()
+    windows = {}
     for name, item in items.items():
         own = TERM.findall(lowered(item))
         for i in range(max(1, len(own) - 12) if own else 0):
-            window = own[i:i + 13]
-            for j in range(len(words) - len(window) + 1):
-                if words[j:j + len(window)] == window:
-                    hit.update(range(j, j + len(window)))
-                    found.add(str(name))
+            windows.setdefault(tuple(own[i:i + 13]), set()).add(str(name))
+    words = TERM.findall(lowered(text))
+    hit, found = set(), set()
+    for size in {len(w) for w in windows}:
+        for j in range(len(words) - size + 1):
+            names = windows.get(tuple(words[j:j + size]))
+            if names:
+                hit.update(range(j, j + size))
+                found |= names
     digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
     return len(words), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(words)
 
