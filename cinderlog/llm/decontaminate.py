@@ -200,8 +200,8 @@ def _columns(row: dict) -> dict[str, np.ndarray]:
 
 
 def benchmark_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[list[tuple]]:
-    """The items in blocks of about BLOCK_WORDS words, one block on the driver at a time."""
-    named = benchmark.select(F.col(item).cast("string").alias("name"), F.col(text).alias("text"))
+    """The different items in blocks of about BLOCK_WORDS words, one block on the driver at a time."""
+    named = benchmark.select(F.col(item).cast("string").alias("name"), F.col(text).alias("text")).distinct()
     chars = named.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = int(chars) // (6 * BLOCK_WORDS) + 1
     for i in range(blocks):

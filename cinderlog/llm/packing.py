@@ -119,10 +119,10 @@ def _bins_schema(key: pa.DataType) -> pa.Schema:
     return pa.schema([("round", pa.int32()), ("node", pa.int64()), ("size", pa.int64()), ("done", pa.bool_()), ("items", pa.list_(item))])
 
 
-def _first_round(tokens: Callable, capacity: int, slack: int, end: int):
+def _first_round(tokenizers: str | None, capacity: int, slack: int, end: int):
     """Task code: tokenise, cut and pack; a node is a run of up to ITEMS pieces of a partition."""
     def task(batches: Batches) -> Batches:
-        encode = per_worker("encode", tokens)
+        encode = per_worker(f"encode {tokenizers}", lambda: tokenizer_of(tokenizers))
         waiting: list[tuple[int, list]] = []
         schema, run = None, 0
 
@@ -172,7 +172,7 @@ def pack(
     """
     kind = docs.schema[key].dataType.simpleString()
     schema = BINS.replace("doc_id:bigint", f"doc_id:{kind}")
-    local = mapped(docs.select(F.col(key).alias("doc_id"), text), _first_round(lambda: tokenizer_of(tokenizers), capacity, slack, end), schema)
+    local = mapped(docs.select(F.col(key).alias("doc_id"), text), _first_round(tokenizers, capacity, slack, end), schema)
     # a node of the first round is a run within a partition
     local = local.withColumn("node", F.spark_partition_id().cast("bigint") * 1_000_000 + F.col("node"))
     rounds = [freeze(local, "bins")]

@@ -26,19 +26,20 @@ class Rule:
     least: int = 0
 
 
-#: Names and patterns are fixed values; the first three are the base rules. Spans are listed in this order.
+#: Names and patterns are fixed values; the first three are the base rules. Spans are listed in this order. None of the
+#: patterns starts again within a run it has read in vain, or repeats a group without a bound, which long texts would punish.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("private_key", r"-----BEGIN (?:[A-Z]+ ){0,8}PRIVATE KEY-----"),
 )
 BASE = 3
 #: Change this with any rule: contents are then scanned again.
-RULE_VERSION = "1"
+RULE_VERSION = "1.1"
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 LEDGER = f"blob string, rule_version string, spans {SPANS}"

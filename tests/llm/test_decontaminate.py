@@ -51,3 +51,12 @@ def test_proximity_is_told_apart(spark):
     docs = spark.createDataFrame([(1, "w1 w2 w3 w4 w5"), (2, "w1 w2 x w3 w4 w5"), (3, "w1 w2 x x x x x w3 w4 w5")], "doc_id bigint, text string")
     found = decontaminate.contamination(docs, spark.createDataFrame([(1, "w1 w2 w3 w4 w5")], "item_id bigint, text string"))
     assert sorted((r.doc_id, r.n_items, r.n_near_items) for r in found.collect()) == [(1, 1, 0), (2, 0, 1), (3, 0, 0)]
+
+
+def test_repeated_items_count_once(spark, edges):
+    items = spark.createDataFrame([(1, "one"), (6, "word word word"), (9, "repeated row")], "item_id bigint, text string")
+    repeated = items
+    for _ in range(4):
+        repeated = repeated.unionAll(repeated)
+    assert sum(map(len, decontaminate.benchmark_blocks(repeated))) == 3
+    assert _judged(edges, repeated) == _judged(edges, items)

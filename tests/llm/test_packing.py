@@ -74,3 +74,10 @@ def test_ranks_give_the_ids_of_the_tokenizers_file(documents):
     encode = packing.tokenizer_of()
     texts = [r.text for r in documents.collect()] + ["", " ", "\n\n  x", "a<|endoftext|>b", "😀 ﷽ don't  \t1234 ..!!"]
     assert [encode(t) for t in texts] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_each_folder_of_tokenizers_has_its_own(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "Hello hello")], "doc_id bigint, text string").coalesce(1)
+    assert packing.pack(docs).count() == 1
+    with pytest.raises(Exception, match="No such file"):  # not the tokenizer that the worker holds already
+        packing.pack(docs, tokenizers=str(tmp_path / "none")).count()

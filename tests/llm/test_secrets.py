@@ -51,3 +51,13 @@ def test_masking(spark, edges, tmp_path):
     ]
     clash = secrets.redact(edges, secrets.update_ledger(edges, str(tmp_path / "b")))
     assert clash.columns == edges.columns and clash.count() == edges.count()
+
+
+def test_long_runs_take_no_deep_or_repeated_search(spark, tmp_path):
+    token = "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"
+    docs = spark.createDataFrame([
+        (1, "-----BEGIN " + "A " * 200_000), (2, "eyJ" * 300_000), (3, f"a {token} b"), (4, "-----BEGIN EC PRIVATE KEY-----"),
+    ], "doc_id bigint, text string")
+    ledger = secrets.update_ledger(docs, str(tmp_path / "ledger"))
+    spans = {r.doc_id: r.spans for r in secrets.report(secrets.findings(docs, ledger)).collect()}
+    assert spans == {1: "", 2: "", 3: f"web_token:2:{2 + len(token)}", 4: "private_key:0:30"}
