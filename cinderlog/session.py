@@ -50,9 +50,27 @@ def clean(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Spark then removes the shuffle files of a query when the query has ended, instead of at some later collection of garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def freeze(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back, so that later steps see one fixed state."""
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    frozen = spark.read.schema(df.schema).parquet(path)
+    frozen._frozen_at = path
+    return frozen
+
+
+def discard(*frozen: DataFrame) -> None:
+    """Remove working tables that `freeze` made; frames that read them can't be used any more."""
+    for df in frozen:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._frozen_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
