@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinderlog.llm import (
-    decontaminate, extraction, fixity, language, licenses, packing, quality, secrets, simhash, toxicity,
+    decontaminate, extraction, fixity, language, licenses, manifest, packing, quality, secrets, simhash, toxicity,
 )
 from cinderlog.llm.common import table
 from cinderlog.session import work_path
@@ -93,9 +93,15 @@ def op10_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and folded root of every document, half of them tampered with."""
+    return manifest.audit(table(spark, sf_dir, "documents", *manifest.FIELDS))
+
+
 REGISTERED = (
     op1_simhash_groups, op2_main_text, op3_quality_rules, op4_toxicity_chain, op5_license_sentences,
     op6_packed_sequences, op7_secret_ledger, op8_language_bayes, op9_contamination, op10_merkle_fixity,
+    op12_merkle_manifest,
 )
 
 
@@ -150,4 +156,48 @@ SELECT page_id, CASE WHEN page_id % 101 = 13 THEN 'missing' ELSE 'changed' END A
     CASE WHEN substring(r, length(r) // 2 + 1, 1) = '~' THEN '-' ELSE '~' END, substring(r, length(r) // 2 + 2))) END AS found_sha256
 FROM records"""
 
-ORACLES = {"op5_license_sentences": _license_sql(), "op10_merkle_fixity": _FIXITY_SQL}
+
+def _manifest_sql() -> str:
+    """Trees level by level, and each document's way up them, by recursion."""
+    def leaf(text: str) -> str:
+        values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(concat(" + ", ".join(f"coalesce(concat(strlen({v}), ':', {v}), '-')" for v in values) + "))"
+
+    # DuckDB has no CRC-32: its polynomial, bit by bit, over the digits of the number
+    crc = """list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+      lambda a, d: list_reduce([xor(a, d)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+        lambda b, z: CASE WHEN b % 2 = 1 THEN xor(b >> 1, 3988292384::BIGINT) ELSE b >> 1 END))"""
+    def tree(name: str, leaves: str) -> str:
+        return f"""{name} AS (
+  SELECT g, 0 AS level, i, n, h FROM {leaves}
+  UNION ALL
+  SELECT g, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM {name} WHERE n > 1
+  GROUP BY g, level, i // 3, n
+)"""
+
+    def fold(name: str, start: str, nodes: str) -> str:
+        return f"""{name} AS (
+  SELECT doc_id, g, 0 AS level, i, n, cur, proof FROM {start}
+  UNION ALL
+  SELECT f.doc_id, f.g, f.level + 1, f.i // 3, (f.n + 2) // 3,
+    sha256(string_agg(CASE WHEN t.i = f.i THEN f.cur ELSE t.h END, '' ORDER BY t.i)),
+    concat(f.proof, coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (t.i <> f.i), ''))
+  FROM {name} f JOIN {nodes} t ON t.g IS NOT DISTINCT FROM f.g AND t.level = f.level AND t.i // 3 = f.i // 3
+  WHERE f.n > 1 GROUP BY f.doc_id, f.g, f.level, f.i, f.n, f.cur, f.proof
+)"""
+
+    return f"""WITH RECURSIVE leaves AS (
+  SELECT doc_id, source AS g, {leaf('text')} AS h, CASE WHEN xor({crc}, 4294967295::BIGINT) % 2 = 0
+    THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf('text')} END AS cur, '' AS proof,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM documents
+), {tree('own', 'leaves')}, tops AS (
+  SELECT 0 AS g, g AS name, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM own WHERE n = 1
+), {tree('top', 'tops')}, {fold('up', 'leaves', 'own')}, ends AS (
+  SELECT doc_id, 0 AS g, tops.i, tops.n, cur, proof FROM up JOIN tops ON name IS NOT DISTINCT FROM up.g WHERE up.n = 1
+), {fold('over', 'ends', 'top')}
+SELECT l.doc_id, l.h AS leaf, t.h AS subroot, r.h AS root, sha256(o.proof) AS proof_sha256, o.cur AS folded_root, o.cur = r.h AS verified
+FROM leaves l JOIN tops t ON t.name IS NOT DISTINCT FROM l.g JOIN over o ON o.doc_id = l.doc_id AND o.n = 1 CROSS JOIN (SELECT h FROM top WHERE n = 1) r"""
+
+
+ORACLES = {"op12_merkle_manifest": _manifest_sql(), "op5_license_sentences": _license_sql(), "op10_merkle_fixity": _FIXITY_SQL}
