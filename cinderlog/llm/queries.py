@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinderlog.llm import (
-    decontaminate, extraction, fixity, language, licenses, manifest, packing, quality, secrets, simhash, toxicity,
+    decontaminate, extraction, fixity, language, licenses, manifest, packing, quality, secrets,
+    simhash, substrings, toxicity,
 )
 from cinderlog.llm.common import table
 from cinderlog.session import work_path
@@ -98,10 +99,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit(table(spark, sf_dir, "documents", *manifest.FIELDS))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that are found elsewhere too."""
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 REGISTERED = (
     op1_simhash_groups, op2_main_text, op3_quality_rules, op4_toxicity_chain, op5_license_sentences,
     op6_packed_sequences, op7_secret_ledger, op8_language_bayes, op9_contamination, op10_merkle_fixity,
-    op12_merkle_manifest,
+    op12_merkle_manifest, op13_substring_dedup,
 )
 
 
