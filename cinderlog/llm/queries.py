@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinderlog.llm import (
     decontaminate, extraction, fixity, language, licenses, manifest, packing, quality, secrets,
-    simhash, substrings, toxicity,
+    simhash, substrings, tokens, toxicity,
 )
 from cinderlog.llm.common import table
 from cinderlog.session import work_path
@@ -94,6 +94,11 @@ def op10_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two vocabularies' tokens of every document go together, by counts over all documents."""
+    return tokens.alignment(table(spark, sf_dir, "documents", "doc_id", "text")).documents
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and folded root of every document, half of them tampered with."""
     return manifest.audit(table(spark, sf_dir, "documents", *manifest.FIELDS))
@@ -108,7 +113,7 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED = (
     op1_simhash_groups, op2_main_text, op3_quality_rules, op4_toxicity_chain, op5_license_sentences,
     op6_packed_sequences, op7_secret_ledger, op8_language_bayes, op9_contamination, op10_merkle_fixity,
-    op12_merkle_manifest, op13_substring_dedup,
+    op11_token_alignment, op12_merkle_manifest, op13_substring_dedup,
 )
 
 
