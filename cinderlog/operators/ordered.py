@@ -49,9 +49,15 @@ def range_layout(df: DataFrame, order: Sequence[str], ranges: int | None = None)
     return freeze(placed, "ranges")
 
 
-def _range_order() -> Window:
+def _range_order(backward: bool = False) -> Window:
     """Over one row per range: as many rows as there are ranges, whatever the data size."""
-    return Window.orderBy("_part")
+    return Window.orderBy(F.desc("_part") if backward else "_part")
+
+
+def _upto(order: Window, strict: bool) -> Window:
+    """The rows up to this one in an order. Such a frame only grows, so it costs no more than its rows; one that ends at
+    the last row would be read anew for each row, and is therefore taken as this one in the opposite order."""
+    return order.rowsBetween(Window.unboundedPreceding, -int(strict))
 
 
 def row_numbers(laid: DataFrame, name: str = "row_number") -> DataFrame:
@@ -75,30 +81,28 @@ def _edges(laid: DataFrame, key: Column, held: Column) -> DataFrame:
 
 def _passed(edges: DataFrame) -> DataFrame:
     """For each range the last edge of the ranges before it and the first one of those after it."""
-    before = _range_order().rowsBetween(Window.unboundedPreceding, -1)
-    after = _range_order().rowsBetween(1, Window.unboundedFollowing)
     return edges.select(
-        "_part", F.last("_last", ignorenulls=True).over(before).alias("_from_before"),
-        F.first("_first", ignorenulls=True).over(after).alias("_from_after"),
+        "_part", F.last("_last", ignorenulls=True).over(_upto(_range_order(), True)).alias("_from_before"),
+        F.last("_first", ignorenulls=True).over(_upto(_range_order(backward=True), True)).alias("_from_after"),
     )
 
 
-def _carried(laid: DataFrame, group: Sequence[str], value: Column, frames: dict[str, tuple[bool, int, int]]) -> DataFrame:
-    """Add for each name the nearest value in a frame (backward, from, to); all frames share one sort of a range."""
+def _carried(laid: DataFrame, group: Sequence[str], value: Column, frames: dict[str, tuple[bool, bool]]) -> DataFrame:
+    """Add for each name the nearest value, by (backward, strict); those of one direction share a sort of a range."""
     key = F.struct(*group)
     source = laid.withColumn("_value", value)
-    own = Window.partitionBy("_part", *group).orderBy("_pos")
-    pick = {True: F.first, False: F.last}
+    within = Window.partitionBy("_part", *group)
+    own = {True: within.orderBy(F.desc("_pos")), False: within.orderBy("_pos")}
     near = source.withColumns({
-        f"_near_{name}": pick[backward]("_value", ignorenulls=True).over(own.rowsBetween(start, end))
-        for name, (backward, start, end) in frames.items()
+        f"_near_{name}": F.last("_value", ignorenulls=True).over(_upto(own[backward], strict))
+        for name, (backward, strict) in frames.items()
     })
     passed = _passed(_edges(source, key, F.col("_value")))
     joined = near.join(passed, "_part", "left")
     edge = {True: F.col("_from_after"), False: F.col("_from_before")}
     return joined.withColumns({
         name: F.coalesce(f"_near_{name}", F.when(edge[backward]["key"].eqNullSafe(key), edge[backward]["value"]))
-        for name, (backward, _, _) in frames.items()
+        for name, (backward, _) in frames.items()
     }).drop("_value", "_from_before", "_from_after", *[f"_near_{name}" for name in frames])
 
 
@@ -109,12 +113,9 @@ def carry(
 
     `laid` must be laid out by the group columns first. `strict` leaves out the row itself.
     """
-    frame = (True, int(strict), Window.unboundedFollowing) if backward else (False, Window.unboundedPreceding, -int(strict))
-    return _carried(laid, group, value, {name: frame})
+    return _carried(laid, group, value, {name: (backward, strict)})
 
 
 def carry_both(laid: DataFrame, group: Sequence[str], value: Column, before: str, after: str) -> DataFrame:
     """Add the nearest non-NULL `value` at or before each row and the one at or after it, in one pass."""
-    return _carried(laid, group, value, {
-        before: (False, Window.unboundedPreceding, 0), after: (True, 0, Window.unboundedFollowing)
-    })
+    return _carried(laid, group, value, {before: (False, False), after: (True, False)})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,3 +116,18 @@ def test_both_directions_share_one_sort(spark, events):
     both = ordered.carry_both(laid, ["service"], F.struct("log_id"), "_a", "_b")
     plan = both._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Window [") + plan.count("Window(") <= 3 and plan.count("hashpartitioning(_part") <= 4
+
+
+def test_time_grows_with_the_rows_of_a_range(spark):
+    """One range and one group; a frame that is read anew for each row would take minutes here."""
+    def seconds(n):
+        rows = spark.range(n).selectExpr("'s' AS g", "id AS at", "CASE WHEN id % 5000 = 0 THEN id END AS v")
+        start = time.perf_counter()
+        laid = ordered.range_layout(rows, ["g", "at"], ranges=1)
+        both = ordered.carry_both(laid, ["g"], F.col("v"), "before", "after")
+        off = both.where("before <> at - at % 5000 OR coalesce(after, -1) NOT IN (-1, at + (5000 - at % 5000) % 5000)")
+        assert off.count() == 0
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(400_000) < 60
