@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cinderlog.plans.adapter import EXTENSIONS, RAW_EXTENSIONS
-from cinderlog.plans.queries import ANY_TERMS, COMPACT_DATES, SEARCH_NON_ASCII, SEARCH_NUMBERS, SEARCH_PHRASE, SEARCH_TERMS
+from cinderlog.plans.queries import INDEXED_USER, ANY_TERMS, COMPACT_DATES, SEARCH_NON_ASCII, SEARCH_NUMBERS, SEARCH_PHRASE, SEARCH_TERMS
 from cinderlog.schema import PARSER_BY_EXTENSION, TAG_BY_EXTENSION
 
 _A = """a AS (
@@ -237,4 +237,23 @@ ORACLES = {
       message, CASE WHEN event_id % 2 = 1 THEN host END AS host"""),
     "otel_to_events": _from_a("""SELECT log_id, host, at_us AS epoch_us, service, pod_name, trace_id, level, message,
       'k' AS attr_key, attr_k AS attr_value, CAST(1 AS BIGINT) AS n_attrs"""),
+    "search_terms_indexed": _from_a("SELECT log_id, CAST(2 AS BIGINT) AS score", f"WHERE event_type = 'purchase' AND user_id = {INDEXED_USER}"),
+    "search_phrase_indexed": _from_a("SELECT log_id", f"WHERE user_id = {INDEXED_USER}"),
+    "filter_attribute_indexed": _from_a("SELECT log_id", "WHERE attr_k = '42'"),
+    "lookup_trace": _from_a("SELECT log_id, at_us - lag(at_us) OVER (ORDER BY at_us, log_id) AS gap_us",
+                            f"WHERE user_id = {INDEXED_USER} AND service = 'svc-2'"),
+    "rollup_days": f"""WITH {_A}, h AS (SELECT strftime(ts_sec, '%Y-%m-%d') AS day, service, host, count(*) AS n FROM a GROUP BY ALL)
+      SELECT strftime(ts_sec, '%Y-%m-%d') AS day, service, count(*) AS n, count(*) FILTER (WHERE level = 'ERROR') AS n_error,
+        CAST(sum(strlen(message)) AS BIGINT) AS bytes, true AS traces_near, true AS p95_near,
+        (SELECT max(h.n) FROM h WHERE h.day = strftime(a.ts_sec, '%Y-%m-%d') AND h.service = a.service) AS top_host_n
+      FROM a GROUP BY ALL""",
+    "rollup_late": f"WITH {_A} SELECT window_start, service, n, n_error, bytes FROM (" + _METRICS.format(
+        bytes="strlen(message)", source="(SELECT *, date_trunc('hour', ts_sec) AS h FROM a)") + ")",
+    "repeated_delivery": _from_a("SELECT log_id, level"),
+    "silence_stream": """WITH a AS (SELECT concat('svc-', user_id % 5) AS service, epoch_us(ts) AS at_us FROM events), g AS (
+      SELECT service, at_us, lead(at_us) OVER (PARTITION BY service ORDER BY at_us) AS next_us FROM a),
+      s AS (SELECT * FROM g WHERE next_us - at_us > 3600000000
+        OR next_us IS NULL AND at_us + 3600000000 + 600000000 < (SELECT max(at_us) FROM a))
+      SELECT service, 'silent' AS alert, at_us + 3600000000 AS at_us FROM s
+      UNION ALL SELECT service, 'back', next_us FROM s WHERE next_us IS NOT NULL""",
 }

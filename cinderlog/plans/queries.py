@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cinderlog.functions import attributes as attr, lines, records, times
 from cinderlog.operators import (
-    aggregate, attributes as attribute_rows, binding, bulk, collector, enrich, health, otel, search, trace, versions,
+    aggregate, attributes as attribute_rows, binding, bulk, collector, enrich, health, otel, rollups, search, trace, versions,
 )
 from cinderlog.plans import adapter as ad
 from cinderlog.plans.adapter import text
 from cinderlog.session import work_path
-from cinderlog.sinks import index as log_index
+from cinderlog.sinks import clustered, index as log_index, terms
 from cinderlog.sources import landing, topic
-from cinderlog.streaming import jobs
+from cinderlog.streaming import jobs, silence
 
 _MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -659,6 +659,96 @@ def otel_to_events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# ---- the index with terms, clustered, and rolled up
+
+def _with_terms(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """An index of the events with their attributes, and its terms."""
+    path, terms_path = work_path(spark, "index"), work_path(spark, "terms")
+    log_index.write_index(ad.json_events(spark, sf), path)
+    terms.update_terms(spark, path, terms_path)
+    return path, terms_path
+
+
+def search_terms_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """A search that opens only the files with both words."""
+    path, terms_path = _with_terms(spark, sf)
+    return terms.search_index(spark, path, terms_path, ("purchase", INDEXED_USER)).select("log_id", "score")
+
+
+INDEXED_USER = "17"
+
+
+def search_phrase_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    path, terms_path = _with_terms(spark, sf)
+    return terms.phrase_in_index(spark, path, terms_path, f"user {INDEXED_USER}").select("log_id")
+
+
+def filter_attribute_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    path, terms_path = _with_terms(spark, sf)
+    return terms.attribute_in_index(spark, path, terms_path, "k", "42").select("log_id")
+
+
+def lookup_trace(spark: SparkSession, sf: str) -> DataFrame:
+    """The events of one trace and service in the clustered index, with their time gaps."""
+    path = work_path(spark, "clustered")
+    clustered.write_clustered(ad.log_events(spark, sf), path)
+    found = search.filter_events(log_index.read_index(spark, path), services=["svc-2"], trace_id=f"t{INDEXED_USER}")
+    return trace.timeline(found).select("log_id", "gap_us")
+
+
+def rollup_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days put together from stored hours: counts, and whether the sketches' answers are within their bounds."""
+    events, path = ad.log_events(spark, sf), work_path(spark, "rollup")
+    rollups.write_hours(rollups.hourly(events), path)
+    days = rollups.figures(rollups.merged(rollups.read_hours(spark, path), "day"))
+    size, day = F.octet_length("message"), F.date_trunc("day", "event_time").alias("hour")
+    exact = events.groupBy(day, "service").agg(F.count_distinct("trace_id").alias("traces"))
+    ranks = events.select(day, "service", size.alias("size")).join(days.select("hour", "service", "p95"), ["hour", "service"]).groupBy(
+        "hour", "service"
+    ).agg(F.count("*").alias("all"), F.count_if(F.col("size") < F.col("p95")).alias("below"), F.count_if(F.col("size") <= F.col("p95")).alias("upto"))
+    near = (F.col("below") <= 0.98 * F.col("all") + 1) & (F.col("upto") >= 0.92 * F.col("all") - 1)
+    return days.join(exact, ["hour", "service"]).join(ranks, ["hour", "service"]).select(
+        F.date_format("hour", times.DATE_FORMAT).alias("day"), "service", "n", "n_error", "bytes",
+        (F.abs(F.col("n_traces") - F.col("traces")) <= 0.05 * F.col("traces") + 1).alias("traces_near"), near.alias("p95_near"),
+        _long(F.col("top_hosts")[0]["count"]).alias("top_host_n"),
+    )
+
+
+def rollup_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours after a tenth of the events arrived late: only the hours these belong to were computed again."""
+    events = ad.log_events(spark, sf)
+    late = F.col("log_id").cast("bigint") % 10 == 3
+    path = work_path(spark, "rollup")
+    rollups.write_hours(rollups.hourly(events.where(~late)), path)
+    rollups.update_hours(events, events.where(late), path)
+    return rollups.read_hours(spark, path).select(
+        F.date_format("hour", times.DATE_TIME_FORMAT).alias("window_start"), "service", "n", "n_error", "bytes"
+    )
+
+
+def silence_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Services that fall silent for an hour, and come back, as a stream tells them."""
+    source = spark.readStream.schema(ad.table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
+    events = source.select(F.col("ts").cast("timestamp").alias("event_time"), text("svc-", (F.col("user_id") % 5).cast("string")).alias("service"))
+    path = work_path(spark, "silence")
+    with silence.timer_state(spark):
+        jobs.drain(jobs.file_writer(silence.silence_alerts(events, 1), path, work_path(spark, "stream")))
+    return spark.read.schema("service string, alert string, at_us bigint").parquet(path)
+
+
+def repeated_delivery(spark: SparkSession, sf: str) -> DataFrame:
+    """A landing folder whose first third is delivered twice, as a topic may do: each event is indexed once."""
+    base, path = work_path(spark, "landing"), work_path(spark, "index")
+    rows = ad.adapted(spark, sf).select(F.lit("c-1").alias("client_id"), F.lit("app.ndjson").alias("file_name"), "event_id", ad.json_line().alias("line"))
+    landing.land_lines(rows.drop("event_id"), base)
+    landing.land_lines(rows.where("event_id % 3 = 0").drop("event_id"), base)
+    jobs.run_log_stream(
+        landing.stream_landing(spark, base, max_files_per_trigger=4), path, work_path(spark, "quarantine"), work_path(spark, "stream"),
+        parser=F.col("parser"), arrival=F.col("landed_at"), trigger=None, repeats_within="1 day",
+    ).awaitTermination()
+    return log_index.read_index(spark, path).select("log_id", "level")
+
+
 REGISTERED = (
     src_raw_json, tail_log_lines, tail_json_lines, tail_csv_lines, tail_raw_lines, landing_path_columns,
     explode_request_body, body_quarantine, body_record_count, drop_date_key, kafka_payload,
@@ -675,4 +765,5 @@ REGISTERED = (
     alert_windows, unusual_counts, route_by_source, client_lines,
     uppercase_stream, index_roundtrip, archive_roundtrip, index_with_source, compact_index, archive_twice,
     bind_by_version, otel_to_events,
+    search_terms_indexed, search_phrase_indexed, filter_attribute_indexed, lookup_trace, rollup_days, rollup_late, repeated_delivery, silence_stream,
 )

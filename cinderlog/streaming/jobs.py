@@ -14,6 +14,7 @@ from cinderlog.operators.enrich import document_id
 from cinderlog.schema import MAX_RECORD_BYTES
 from cinderlog.sinks.bulk import Transport, send_bulk
 from cinderlog.sinks.index import write_batch_folder, write_index_batch
+from cinderlog.sinks.terms import update_terms
 
 # Fixed value: a checkpoint every ten seconds; here that is the time between micro-batches.
 TRIGGER = "10 seconds"
@@ -47,6 +48,8 @@ def run_log_stream(
     sinks: Sequence[BatchSink] = (),
     trigger: str | None = TRIGGER,
     strict: bool = False,
+    terms_path: str | None = None,
+    repeats_within: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Bind a stream of lines; write valid events to the index and the rest to quarantine.
@@ -55,8 +58,15 @@ def run_log_stream(
     batch number and are overwritten on a replay, so a restart neither loses nor repeats records.
     Further `sinks` get the events with the `keep` columns and must cope with a replay themselves.
     With `strict` the first invalid record stops the query before its batch is written.
+    `terms_path` names a term index to keep up with the index. `repeats_within` is the time, by `arrival`, within which a
+    record that comes again, as topics deliver at least once, is dropped; see `without_repeats`.
     """
-    bound = bind(lines, parser, arrival=arrival, **options).withColumn("_seen_at", F.current_timestamp())
+    bound = bind(lines, parser, arrival=arrival, **options)
+    if repeats_within is not None:
+        if arrival is None:
+            raise ValueError("repeats_within needs the column of the arrival time")
+        bound = without_repeats(bound, arrival, repeats_within)
+    bound = bound.withColumn("_seen_at", F.current_timestamp())
     counted = bound.observe(
         "log_stream", F.count("*").alias("records"), F.count("reason").alias("quarantined")
     )
@@ -71,6 +81,8 @@ def run_log_stream(
                     raise ValueError(f"invalid record ({first['reason']}): {first['raw']}")
             write_index_batch(valid_events(batch, *keep), index_path, batch_id)
             write_batch_folder(rejected, quarantine_path, batch_id)
+            if terms_path is not None:
+                update_terms(batch.sparkSession, index_path, terms_path)
             for sink in sinks:
                 sink(valid_events(batch, *keep), batch_id)
         finally:
@@ -79,6 +91,16 @@ def run_log_stream(
     return started(counted.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), trigger)
 
 
+def without_repeats(bound: DataFrame, arrival: Column, within: str, value: str = "value") -> DataFrame:
+    """The first of the records with one document id that arrive within a time; the id is the log id, or a hash of the text.
+
+    The state holds an id for each record of that time and no more: the watermark, by arrival, lets older ones go.
+    """
+    known = F.coalesce(F.col("event.log_id"), F.sha2(F.coalesce(value, F.lit("")), 256))
+    marked = bound.withColumns({"_arrived": F.coalesce(arrival, F.current_timestamp()), "_document": known})
+    return marked.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_document"]).drop("_arrived", "_document")
+
+
 def bulk_sink(
     transport: Transport,
     counters_path: str,

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from cinderlog.operators import aggregate
 from cinderlog.operators.binding import bind, quarantine, valid_events
-from cinderlog.sinks import index as log_index
+from cinderlog.sinks import index as log_index, terms
 from cinderlog.sources import landing
-from cinderlog.streaming import jobs
+from cinderlog.streaming import jobs, silence
 
 
 def _record(i: int, **more) -> str:
@@ -170,3 +170,58 @@ def test_metrics_of_stream_and_table_agree(spark):
     frame = spark.sql("SELECT timestamp'2026-07-01 10:00:00' event_time, 's' service, 'ERROR' level, 'abc' message")
     row = aggregate.metrics(frame).first()
     assert (row["n"], row["n_error"], row["error_ratio"], row["bytes"]) == (1, 1, 1.0, 3)
+
+
+def _silences(spark, folder, out, checkpoint):
+    source = spark.readStream.schema("service string, at bigint").parquet(str(folder))
+    events = source.select("service", F.timestamp_seconds("at").alias("event_time"))
+    with silence.timer_state(spark):
+        jobs.drain(jobs.file_writer(silence.silence_alerts(events, 1, delay="10 minutes", forget_hours=48), str(out), str(checkpoint)))
+    rows = spark.read.schema("service string, alert string, at_us bigint").parquet(str(out)).collect()
+    return sorted((r.service, r.at_us // 1_000_000, r.alert) for r in rows)
+
+
+def test_silence_is_told_once_and_clears_over_a_restart(spark, tmp_path):
+    hour, start = 3600, 1_767_225_600
+
+    def arrive(*events):
+        rows = [(name, start + at) for name, at in events]
+        spark.createDataFrame(rows, "service string, at bigint").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def alerts():
+        found = _silences(spark, tmp_path / "in", tmp_path / "out", tmp_path / "state")
+        return [(name, at - start, alert) for name, at, alert in found]
+
+    arrive(("a", 0), ("a", hour), ("a", 3 * hour), ("b", 0), ("b", 3 * hour - 60))
+    first = [("a", 2 * hour, "silent"), ("a", 3 * hour, "back"), ("b", hour, "silent"), ("b", 3 * hour - 60, "back")]
+    assert alerts() == first
+    arrive(("a", 5 * hour), ("a", 6 * hour))  # after the restart: a is back, b's silence is told by its timer
+    second = sorted([*first, ("a", 4 * hour, "silent"), ("a", 5 * hour, "back"), ("b", 4 * hour - 60, "silent")])
+    assert alerts() == second
+    arrive(("a", 7 * hour), ("b", 7 * hour))
+    third = sorted([*second, ("b", 7 * hour, "back")])
+    assert alerts() == third
+    assert alerts() == third
+
+
+def test_repeats_of_a_topic_are_dropped_and_the_state_is_bounded(spark, job):
+    _put(job.base, "a.json", [_record(i) for i in range(20)] + [_record(3), "broken", "broken"])
+    job.run(repeats_within="1 hour")
+    _put(job.base, "b.json", [_record(i) for i in range(10, 30)] + ["broken"])  # a replayed slice
+    query = job.run(repeats_within="1 hour")
+    assert job.ids() == Counter(str(i) for i in range(30))
+    assert [r["reason"] for r in spark.read.parquet(job.bad).collect()] == ["not_json_object"]
+    states = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert states and max(states) <= 31
+    with pytest.raises(ValueError, match="arrival"):
+        job.run(repeats_within="1 hour", arrival=None)
+
+
+def test_terms_keep_up_with_the_stream(spark, job, tmp_path):
+    words = str(tmp_path / "terms")
+    for n, name in enumerate("abc"):
+        _put(job.base, f"{name}.json", [_record(100 * n + i) for i in range(20)])
+        job.run(terms_path=words)
+    found = terms.search_index(spark, job.index, words, ["m105"])
+    assert [r["log_id"] for r in found.collect()] == ["105"]
+    assert len(terms.opened_files(spark, job.index, words, ["m105"])) == 1 < len(terms.index_files(spark, job.index))
