@@ -1,9 +1,12 @@
 """Near copies by the exact similarity of their word shingles.
 
-Two sets whose Jaccard similarity is at least LEAST share a shingle among the first n - ceil(LEAST n) + 1 of each, n
-being the set's size and the order any one that holds for all sets. Documents therefore meet in a bucket for each
-shingle of that prefix, and every candidate is verified on whole sets, so no pair is missed and none is taken on
-trust. Equal sets are one node, known by a 64-bit hash.
+SimHash fingerprints of the shingles, found by the generalised pigeonhole search, make the first candidates, which join
+most copies at little cost. No distance of fingerprints holds all pairs, though: at a similarity of 0.8 they differ in a
+dozen bits and more. The rest is found by prefixes: two sets whose Jaccard similarity is at least LEAST share a shingle
+among the first n - ceil(LEAST n) + 1 of each, n being the set's size and the order any one that holds for all sets.
+Documents therefore meet in a bucket for each shingle of that prefix, at first those next to each other by size, then
+those farther apart, and only while they are not joined already. Every candidate is verified on whole sets, so no pair
+is missed and none is taken on trust. Equal sets are one node, known by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -13,12 +16,14 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
+from cinderlog.llm import simhash
 from cinderlog.llm.common import Batches, least_hashed, mapped, raw, unused
 from cinderlog.llm.graph import connected_components
-from cinderlog.session import freeze
+from cinderlog.session import discard, freeze
 
 SEED = 42
 SIZE = 5
@@ -31,9 +36,12 @@ COMMON = 50_000
 COMMON_SETS = 3
 #: Sets whose prefix a task has sent lately and does not send again.
 RECENT = 100_000
-#: Bits of a sketch, and the sets of a bucket that each meets at first.
+#: Bits of a sketch.
 WIDTH = 512
-FIRST = 16
+#: How far apart in a bucket, in the order of sizes, sets meet in each round; the last round has no limit.
+ROUNDS = ((1, 1), (2, 8), (9, None))
+#: Sets of a bucket that one task holds; a larger bucket is cut into blocks of this size, which meet two by two.
+BLOCK = 8_000
 
 
 def shingles(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -65,18 +73,20 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return LEAST[1] * both >= LEAST[0] * (len(a) + len(b) - both)
 
 
-def with_sets(docs: DataFrame, text: str, names: tuple[str, str, str]) -> DataFrame:
-    """`docs` with a hash of each document's shingle set, the set's size and its sketch."""
-    kinds = (LongType(), IntegerType(), BinaryType())
+def with_sets(docs: DataFrame, text: str, names: tuple[str, str, str, str]) -> DataFrame:
+    """`docs` with a hash of each document's shingle set, the set's size, its sketch and the text's fingerprint."""
+    kinds = (LongType(), IntegerType(), BinaryType(), LongType())
     schema = StructType([*docs.schema.fields, *map(StructField, names, kinds)])
 
     def task(batches: Batches) -> Batches:
         for batch in batches:
-            sets = [shingles(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            sets = [shingles(t) for t in texts]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             sizes = pa.array([len(s) for s in sets], pa.int32())
             bits = pa.array([sketch(s) for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes), sizes, bits], names=schema.names)
+            prints = pa.array([simhash.fingerprint(t, SIZE) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes), sizes, bits, prints], names=schema.names)
 
     return mapped(docs, task, schema)
 
@@ -148,20 +158,34 @@ def sketch(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def meet(rows: DataFrame, most: int | None = None) -> DataFrame:
-    """Candidates (a, b): of `rows` (h, n, node, label, bits), each set with those of its bucket that are before it by
-    size, or with `most` of them, if labels differ and neither sizes nor sketches rule the two out.
+def dealt(rows: DataFrame, block: int) -> DataFrame:
+    """Rows (h, ...) with the two blocks (low, high) of their bucket that meet and their own; a small bucket is one block."""
+    large = freeze(rows.groupBy("h").count().where(F.col("count") > block).select(
+        "h", F.ceil(F.col("count") / block).cast("int").alias("blocks")
+    ), "large-buckets")
+    cut = rows.join(large, "h", "left").fillna(1, ["blocks"]).withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return cut.select("h", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "n", "node", "label", "bits")
+
+
+def meet(rows: DataFrame, nearest: int, farthest: int | None, block: int) -> DataFrame:
+    """Candidates (a, b): of `rows` (h, n, node, label, bits), each set with those that are `nearest` to `farthest` places
+    before it by size in its bucket, or block, if labels differ and neither sizes nor sketches rule the two out.
 
     Two sets differ in no fewer shingles than their sketches in bits, so no similar pair is ruled out.
     """
-    def found(h, n, node, label, bits) -> Batches:
-        i, lag = np.arange(1, len(h)), 1
-        while len(i) and (most is None or lag <= most):
+    def found(key, own, n, node, label, bits) -> Batches:
+        lag = nearest
+        i = np.arange(lag, len(n))
+        across = key[:, 1] != key[:, 2]
+        while len(i) and (farthest is None or lag <= farthest):
             j = i - lag
-            near = (h[i] == h[j]) & (n[j] * LEAST[1] >= n[i] * LEAST[0])
+            near = np.all(key[i] == key[j], axis=1) & (n[j] * LEAST[1] >= n[i] * LEAST[0])
             i, j = i[near], j[near]
             differ = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
             keep = (label[i] != label[j]) & (differ * sum(LEAST) <= (n[i] + n[j]) * (LEAST[1] - LEAST[0]))
+            keep &= ~across[i] | (own[i] != own[j])
             if keep.any():
                 x, y = node[i[keep]], node[j[keep]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
@@ -169,59 +193,93 @@ def meet(rows: DataFrame, most: int | None = None) -> DataFrame:
             i = i[i >= lag]
 
     def task(batches: Batches) -> Batches:
-        held: list[list[np.ndarray]] = []  # the last bucket so far
+        held: list[tuple] = []  # the last block so far
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:4]]
-            bits = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, WIDTH // 64)
-            held.append([*columns, bits])
-            h = columns[0]
-            if h[-1] != held[0][0][-1]:
-                cut = int(np.flatnonzero(h != h[-1]).max(initial=-1)) + 1
-                whole = [np.concatenate(x) for x in zip(*held[:-1], [c[:cut] for c in held[-1]], strict=True)]
-                held = [[c[cut:] for c in held[-1]]]
+            columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:7]]
+            rows = (
+                np.stack(columns[:3], 1), *columns[3:],
+                np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(-1, WIDTH // 64),
+            )
+            held.append(rows)
+            cut = int(np.flatnonzero(np.any(rows[0] != rows[0][-1], axis=1)).max(initial=-1)) + 1
+            if cut or (len(held) > 1 and np.any(held[-2][0][-1] != rows[0][0])):
+                whole = [np.concatenate(x) for x in zip(*held[:-1], [c[:cut] for c in rows], strict=True)]
+                held = [tuple(c[cut:] for c in rows)]
                 yield from found(*whole)
-            elif len(held) == 1 and h[0] != h[-1]:
-                cut = int(np.flatnonzero(h != h[-1]).max()) + 1
-                yield from found(*[c[:cut] for c in held[0]])
-                held = [[c[cut:] for c in held[0]]]
         if held:
             yield from found(*[np.concatenate(x) for x in zip(*held, strict=True)])
 
-    dealt = rows.select("h", "n", "node", "label", "bits").repartition("h").sortWithinPartitions("h", "n", "node")
-    return mapped(dealt, task, "a bigint, b bigint").distinct()
+    bucket = ["h", "low", "high"]
+    return mapped(
+        dealt(rows, block).repartition(*bucket).sortWithinPartitions(*bucket, "n", "node"), task, "a bigint, b bigint"
+    ).distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the table `pairs` (a, b) that are alike, by the texts of `sets` (node, text)."""
+def packed_texts(sets: DataFrame) -> DataFrame:
+    """(node, text) of each different set, the text compressed, for the way to where it is verified."""
     def task(batches: Batches) -> Batches:
         for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = [alike(shingles(x), shingles(y)) for x, y in zip(a, b, strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            data = [zstandard.compress(raw(t), 3) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["node", "text"])
 
-    wanted = freeze(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-nodes")
-    texts = freeze(sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
-    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-    return mapped(both.select("a", "b", "text_a", "text_b"), task, "a bigint, b bigint")
+    return mapped(sets.select("node", "text"), task, "node bigint, text binary")
 
 
-def components(sets: DataFrame) -> DataFrame:
-    """(node, label) of the sets that are linked to one of a lesser hash; `sets` is a table of node, text and bits.
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the table `pairs` (a, b) that are alike, by the compressed texts of `sets` (node, text).
 
-    Small buckets are searched whole at once. In large ones only sets that are close by size meet at first, which
-    joins most of a large group, and then those that this has not joined.
+    A text moves once to each join and once more with each pair that names it second.
     """
-    shared = freeze(buckets(sets, common_shingles(sets)), "buckets")
-    bits = sets.select("node", "bits").dropDuplicates(["node"])
-    tried = freeze(meet(shared.withColumn("label", F.col("node")).join(bits, "node"), FIRST), "first-candidates")
-    near = freeze(verified(tried, sets), "near")
+    def task(batches: Batches) -> Batches:
+        last: tuple[int | None, np.ndarray] = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            keep = []
+            for a, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+                if a != last[0]:
+                    last = a, shingles(zstandard.decompress(x).decode("utf-8", "surrogatepass"))
+                keep.append(alike(last[1], shingles(zstandard.decompress(y).decode("utf-8", "surrogatepass"))))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    wanted = freeze(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-nodes")
+    # of the copies of a set one is taken before texts move
+    one = sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
+    texts = freeze(packed_texts(sets.join(one.select("row"), "row", "left_semi")), "texts")
+    both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+    found = freeze(mapped(both.select("a", "b", "text_a", "text_b"), task, "a bigint, b bigint"), "near")
+    discard(wanted, texts)
+    return found
+
+
+def by_fingerprint(sets: DataFrame) -> DataFrame:
+    """Candidates (a, b) whose SimHash fingerprints are equal or close, as stars of representatives."""
+    prints = freeze(sets.groupBy("node").agg(F.min("fp").alias("fp")), "prints")
+    nodes = freeze(prints.groupBy("fp").agg(F.min("node").alias("first")), "fingerprint-nodes")
+    same = prints.join(nodes, "fp").where("node <> first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b"))
+    close = simhash.links(nodes, simhash.make_plan(nodes))
+    first = nodes.toDF("a", "x")
+    near = close.join(first, "a").join(nodes.toDF("b", "y"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return same.union(near).distinct()
+
+
+def components(sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(node, label) of the sets that are linked to one of a lesser hash; `sets` is a table of row, node, text, bits and fp."""
+    tried = freeze(by_fingerprint(sets), "fingerprint-candidates")
+    near = verified(tried, sets)
     labels = freeze(connected_components(near, "a", "b"), "labels")
-    large = freeze(shared.groupBy("h").count().where(F.col("count") > FIRST + 1).select("h"), "large-buckets")
-    left = shared.join(large, "h", "left_semi").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    others = freeze(meet(left.join(bits, "node")).join(tried, ["a", "b"], "left_anti"), "candidates")
-    return connected_components(near.union(verified(others, sets)), "a", "b")
+    shared = freeze(buckets(sets, common_shingles(sets)), "buckets")
+    bits = freeze(sets.select("node", "bits").dropDuplicates(["node"]), "sketches")
+    for nearest, farthest in ROUNDS:
+        labelled = shared.join(labels, "node", "left").select("h", "n", "node", F.coalesce("label", "node").alias("label"))
+        open_buckets = labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("h")
+        left = freeze(labelled.join(freeze(open_buckets, "open-buckets"), "h", "left_semi"), "open")
+        new = freeze(meet(left.join(bits, "node"), nearest, farthest, block).join(tried, ["a", "b"], "left_anti"), "candidates")
+        tried = tried.union(new)
+        near = near.union(verified(new, sets))
+        labels = freeze(connected_components(near, "a", "b"), "labels")
+        discard(left)
+    return labels
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,16 +288,16 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     Documents without words are copies of each other. The documents are written once with a number for each row,
     so that the choice holds for repeated rows too.
     """
-    row, node, size, bits = (unused(docs, x) for x in ("row", "node", "size", "bits"))
-    numbered = freeze(with_sets(docs, text, (node, size, bits)).withColumn(row, F.monotonically_increasing_id()), "documents")
+    row, node, size, bits, fp = (unused(docs, x) for x in ("row", "node", "size", "bits", "fp"))
+    numbered = freeze(with_sets(docs, text, (node, size, bits, fp)).withColumn(row, F.monotonically_increasing_id()), "documents")
     sets = numbered.where(F.col(size) > 0).select(
-        F.col(node).alias("node"), F.col(text).alias("text"), F.col(bits).alias("bits")
+        F.col(row).alias("row"), F.col(node).alias("node"), F.col(text).alias("text"), F.col(bits).alias("bits"), F.col(fp).alias("fp")
     )
     named = numbered.select(F.col(node).alias("node"), F.col(row).alias("id"), F.col(key).alias("key"))
     chosen = (
-        named.join(freeze(components(sets), "classes"), "node", "left")
+        named.join(components(sets), "node", "left")
         .groupBy(F.coalesce("label", "node"))
         .agg(F.min(F.struct(F.col("key").isNull(), "key", "id")).alias("first"))
         .select(F.col("first.id").alias(row))
     )
-    return numbered.join(chosen, row, "left_semi").drop(row, node, size, bits)
+    return numbered.join(chosen, row, "left_semi").drop(row, node, size, bits, fp)

@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import xxhash
 
@@ -92,3 +93,24 @@ def secret_digest(text):
 
 def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def shingle_set(text):
+    words = WORD.findall(lowered(text))
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def kept_of_near_copies(rows):
+    """Least key of each component of texts whose similarity is at least 0.8."""
+    sets, least = {k: shingle_set(t) for k, t in rows}, {}
+    for k in sorted(sets):
+        if k in least:
+            continue
+        least[k], reached = k, [k]
+        while reached:
+            x = sets[reached.pop()]
+            for y in sets.keys() - least.keys():
+                if x == sets[y] or Fraction(len(x & sets[y]), max(1, len(x | sets[y]))) >= Fraction(4, 5):
+                    least[y] = k
+                    reached.append(y)
+    return sorted(set(least.values()))

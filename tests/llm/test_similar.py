@@ -2,34 +2,12 @@ from __future__ import annotations
 
 import itertools
 import random
-from fractions import Fraction
 
 import corpus_pipeline
 from cinderlog.llm import simhash, similar
 from tests.llm import plain
 
 
-def _set(text):
-    words = plain.WORD.findall(plain.lowered(text))
-    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
-
-
-def _kept(rows):
-    """Least key of each component of texts whose similarity is at least 0.8."""
-    sets, least = {k: _set(t) for k, t in rows}, {}
-    for k in sorted(sets):
-        if k in least:
-            continue
-        least[k], reached = k, [k]
-        while reached:
-            x = sets[reached.pop()]
-            for y in sets.keys() - least.keys():
-                if x == sets[y] or Fraction(len(x & sets[y]), max(1, len(x | sets[y]))) >= Fraction(4, 5):
-                    least[y] = k
-                    reached.append(y)
-    return sorted(set(least.values()))
-
-
 def _texts():
     """Copies of a few texts with words replaced, at similarities on both sides of 0.8, and a passage that all share."""
     pick = random.Random(3)
@@ -49,22 +27,33 @@ def _texts():
 def test_stage_finds_near_copies_that_fingerprints_miss(spark):
     rows = _texts()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    expected = _kept(rows)
+    expected = plain.kept_of_near_copies(rows)
     assert sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect()) == expected
     assert len(simhash.keep_one(docs).collect()) > len(expected)
 
 
 def test_groups_in_large_buckets(spark, monkeypatch):
-    monkeypatch.setattr(similar, "FIRST", 1)
+    """Buckets in many blocks, and rounds that each meet few neighbours."""
+    rows = _texts()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = similar.components
+    monkeypatch.setattr(similar, "components", lambda found: sets(found, block=3))
+    for rounds in (similar.ROUNDS, ((1, None),), ((1, 2), (3, None))):
+        monkeypatch.setattr(similar, "ROUNDS", rounds)
+        assert sorted(r.doc_id for r in similar.keep_one(docs).collect()) == plain.kept_of_near_copies(rows)
+
+
+def test_prefixes_alone_find_all(spark, monkeypatch):
     rows = _texts()
+    monkeypatch.setattr(similar, "by_fingerprint", lambda sets: sets.sparkSession.createDataFrame([], "a bigint, b bigint"))
     found = similar.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
-    assert sorted(r.doc_id for r in found.collect()) == _kept(rows)
+    assert sorted(r.doc_id for r in found.collect()) == plain.kept_of_near_copies(rows)
 
 
 def test_documents_match_brute_force(documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     kept = similar.keep_one(documents)
-    assert kept.columns == documents.columns and sorted(r.doc_id for r in kept.collect()) == _kept(rows)
+    assert kept.columns == documents.columns and sorted(r.doc_id for r in kept.collect()) == plain.kept_of_near_copies(rows)
 
 
 def test_edges_and_empty_table(edges, nothing):
@@ -78,7 +67,7 @@ def test_buckets_across_batches(spark):
     try:
         rows = [(i, "a b c d e f g") for i in range(3)] + [(3, "a b c d e f g h"), (4, "b c d e f g h i j k l m n")]
         found = similar.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
-        assert sorted(r.doc_id for r in found.collect()) == _kept(rows)
+        assert sorted(r.doc_id for r in found.collect()) == plain.kept_of_near_copies(rows)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
