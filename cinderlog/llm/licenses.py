@@ -138,8 +138,11 @@ RULES = (
     ("Unlicense", ("unlicense",)),
 )
 
-#: Every known sentence has one of these words, so a text without any of them has no known sentence.
-HINT = "(?i)licen|copyright|permission|redistribut|warrant|liab|public domain|rights reserved|provided that"
+#: Every known sentence has one of these words, whatever parts them, so a text without any has no known sentence.
+HINT = (
+    "(?i)licen|copyright|permission|redistribut|warrant|liab|public[^A-Za-z0-9]+domain|rights[^A-Za-z0-9]+reserved"
+    "|provided[^A-Za-z0-9]+that"
+)
 
 #: Where a sentence ends; a wrapped line goes on.
 SENTENCE_END = r"[.!?]+[ \t\r\n]+|[.!?]+$|:[ \t\r]*\n|\n[ \t\r]*\n"
@@ -157,11 +160,6 @@ def known_sentences() -> dict[str, str]:
     }
 
 
-def rule_pattern(sentences: tuple[str, ...]) -> str:
-    """A pattern over identifiers that each stand between commas; its groups hold what stands between the sentences."""
-    return "((?:,[^,]+,)*?)".join(f",{s}," for s in sentences)
-
-
 def sentence_ids(text: str) -> str:
     """SQL: identifiers of the known sentences of a text, in order. A sentence that is not known as a whole is looked
     up by its lines, so that a licence line counts after a line without an end."""
@@ -178,21 +176,70 @@ def sentence_ids(text: str) -> str:
     )
 
 
+#: Identifiers that are walked at once: what a walk takes is put together for so many, and then for the text.
+STRETCH = 1_000
+_WALK = "struct<at:int,gone:int,k:int,open:array<int>,n:int,taken:array<int>>"
+_TEXT = "struct<walk:{walk},taken:array<array<int>>>".format(walk=_WALK)
+
+
+def walk(sentences: tuple[str, ...], gone: str = "CAST(array() AS array<int>)", ids: str = "ids") -> str:
+    """SQL: how often the sentences follow one another among the identifiers, as (n, taken), taken being their places.
+
+    One walk from the left: the next sentence that is waited for is taken where it first comes, and after the last one the
+    first is waited for again; what is begun and not ended is not taken. Places in `gone`, in order, are passed over.
+    The time is that of the identifiers, however many rules they begin.
+    """
+    wanted = f"array({', '.join(map(quoted, sentences))})"
+    empty = "CAST(array() AS array<int>)"
+
+    def state(at: str, g: str, k: str, opened: str, n: str, taken: str) -> str:
+        return f"CAST(named_struct('at', {at}, 'gone', {g}, 'k', {k}, 'open', {opened}, 'n', {n}, 'taken', {taken}) AS {_WALK})"
+
+    step = (
+        f"CASE WHEN try_element_at(gone, s.gone + 1) = s.at THEN {state('s.at + 1', 's.gone + 1', 's.k', 's.open', 's.n', 's.taken')} "
+        f"WHEN x <> {wanted}[s.k] THEN {state('s.at + 1', 's.gone', 's.k', 's.open', 's.n', 's.taken')} "
+        f"WHEN s.k < {len(sentences) - 1} THEN {state('s.at + 1', 's.gone', 's.k + 1', 'array_append(s.open, s.at)', 's.n', 's.taken')} "
+        f"ELSE {state('s.at + 1', 's.gone', '0', empty, 's.n + 1', 'concat(s.taken, s.open, array(s.at))')} END"
+    ).replace("try_element_at(gone,", f"try_element_at({gone},")
+    fresh = state("t.walk.at", "t.walk.gone", "t.walk.k", "t.walk.open", "t.walk.n", empty)
+    one = f"aggregate(slice({ids}, i * {STRETCH} + 1, {STRETCH}), {fresh}, (s, x) -> {step})"
+    # the stretch is walked once and then put in place: a list of one holds it meanwhile
+    put = (
+        f"transform(array({one}), w -> CAST(named_struct('walk', w, 'taken', array_append(t.taken, w.taken)) AS {_TEXT}))[0]"
+    )
+    start = f"CAST(named_struct('walk', {state('0', '0', '0', empty, '0', empty)}, 'taken', CAST(array() AS array<array<int>>)) AS {_TEXT})"
+    walked = (
+        f"aggregate(sequence(0, (size({ids}) - 1) DIV {STRETCH}), {start}, (t, i) -> {put}, "
+        "t -> named_struct('n', t.walk.n, 'taken', flatten(t.taken)))"
+    )
+    there = " AND ".join(f"array_contains({ids}, {quoted(x)})" for x in dict.fromkeys(sentences))
+    return f"CASE WHEN {there} THEN {walked} ELSE named_struct('n', 0, 'taken', {empty}) END"
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, sentence_ids, licenses and n_unmatched.
 
     sentence_ids are the known sentences in order, licenses the names found, each once and sorted; both joined by
     commas and empty if there are none, as for a null or empty text. n_unmatched counts known sentences that no rule
-    took. Repeated rows each get their row.
+    took. Repeated rows each get their row. Very long texts, and any number of known sentences, take time in proportion.
     """
-    named = docs.select(F.col(key).alias("id"), F.expr(sentence_ids(f"`{text}`")).alias("ids"))
-    state = "array_join(transform(ids, i -> concat(',', i, ',')), '')"
-    for name, sentences in RULES:
-        between = "".join(f"${i}" for i in range(1, len(sentences)))
-        state = f"regexp_replace({state}, {quoted(rule_pattern(sentences))}, {quoted(f',<{name}>,' + between)})"
-    matched = named.select("id", "ids", F.expr(f"CASE WHEN size(ids) > 0 THEN {state} ELSE '' END").alias("left"))
-    return matched.selectExpr(
+    found = docs.select(F.col(key).alias("id"), F.expr(sentence_ids(f"`{text}`")).alias("ids"))
+    counts, taken, walked = [], [], {}
+    for at, (name, sentences) in enumerate(RULES):
+        if len(sentences) == 1:
+            # a sentence that makes a licence by itself: no other rule waits for it
+            count = f"size(filter(ids, i -> i = {quoted(sentences[0])}))"
+        else:
+            column, rest = f"walk_{at}", [w for w, before in walked.items() if set(before) & set(sentences)]
+            if len(rest) > 1:
+                raise ValueError("a sentence may be taken by two rules at most")
+            found = found.withColumn(column, F.expr(walk(sentences, *[f"{w}.taken" for w in rest])))
+            walked[column], count = sentences, f"{column}.n"
+        counts.append(f"named_struct('name', {quoted(name)}, 'n', {count})")
+        taken.append(f"{count} * {len(sentences)}")
+    names = f"transform(filter(array({', '.join(counts)}), c -> c.n > 0), c -> c.name)"
+    return found.selectExpr(
         f"id AS `{key}`", "array_join(ids, ',') AS sentence_ids",
-        "array_join(array_sort(array_distinct(regexp_extract_all(left, '<([^>]+)>', 1))), ',') AS licenses",
-        "CAST(size(regexp_extract_all(left, ',([a-z0-9_]+),', 1)) AS BIGINT) AS n_unmatched",
+        f"CASE WHEN size(ids) > 0 THEN array_join(array_sort(array_distinct({names})), ',') ELSE '' END AS licenses",
+        f"CASE WHEN size(ids) > 0 THEN CAST(size(ids) - ({' + '.join(taken)}) AS BIGINT) ELSE 0L END AS n_unmatched",
     )

@@ -122,6 +122,11 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _rule_pattern(sentences: tuple[str, ...]) -> str:
+    """A pattern over identifiers that each stand between commas; its groups hold what stands between the sentences."""
+    return "((?:,[^,]+,)*?)".join(f",{s}," for s in sentences)
+
+
 def _license_sql() -> str:
     """The licence scan with the functions of the oracle's own engine."""
     known = licenses.known_sentences()
@@ -130,13 +135,13 @@ def _license_sql() -> str:
     state = "list_aggregate(list_transform(ids, lambda i: ',' || i || ','), 'string_agg', '')"
     for name, sentences in licenses.RULES:
         put = f",<{name}>," + "".join(f"\\{i}" for i in range(1, len(sentences)))
-        state = f"regexp_replace({state}, {_sql_text(licenses.rule_pattern(sentences))}, {_sql_text(put)}, 'g')"
+        state = f"regexp_replace({state}, {_sql_text(_rule_pattern(sentences))}, {_sql_text(put)}, 'g')"
     return f"""
 WITH known AS (SELECT map({keys}, {values}) AS m),
 parts AS (
   SELECT doc_id, unnest(regexp_split_to_array(text, {_sql_text(licenses.SENTENCE_END)})) AS s,
          generate_subscripts(regexp_split_to_array(text, {_sql_text(licenses.SENTENCE_END)}), 1) AS i
-  FROM documents WHERE regexp_matches(text, {_sql_text(licenses.HINT)})
+  FROM documents
 ), lines AS (
   SELECT doc_id, i, CASE WHEN m[{normal.format('s')}] IS NOT NULL THEN [m[{normal.format('s')}]]
     ELSE list_filter(list_transform(string_split(s, chr(10)), lambda l: m[{normal.format('l')}]), lambda x: x IS NOT NULL)

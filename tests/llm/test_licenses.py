@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 
 from cinderlog.llm import licenses
 
@@ -46,3 +48,60 @@ def test_every_sentence_has_a_hint_and_every_rule_known_sentences():
         for wording in wordings:
             assert re.search(licenses.HINT, wording), name
     assert {s for _, rule in licenses.RULES for s in rule} <= set(licenses.SENTENCES)
+
+
+def _plain(ids):
+    """(licences, unmatched) by taking each rule's sentences from a list, rule by rule."""
+    left, names = list(ids), set()
+    for name, rule in licenses.RULES:
+        begun, rest = [], []
+        for x in left:
+            if x == rule[len(begun)]:
+                begun.append(len(rest))
+            rest.append(x)
+            if len(begun) == len(rule):
+                for at in begun:
+                    rest[at] = None
+                begun = []
+                names.add(name)
+        left = [x for x in rest if x is not None]
+    return ",".join(sorted(names)), len(left)
+
+
+def _text_of(ids):
+    return "".join(licenses.SENTENCES[x][0] + ".\n\n" for x in ids)
+
+
+def test_rules_match_brute_force(spark, monkeypatch):
+    pick = random.Random(8)
+    kinds = [[s for _, rule in licenses.RULES for s in rule if s.startswith(p)] for p in ("mit_", "bsd", "apache2", "")]
+    rows = [(i, [pick.choice(kinds[i % 4]) for _ in range(pick.randint(0, 40))]) for i in range(120)]
+    for stretch in (licenses.STRETCH, 3):
+        monkeypatch.setattr(licenses, "STRETCH", stretch)
+        found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([(i, _text_of(x)) for i, x in rows], "doc_id bigint, text string")).collect()}
+        for i, ids in rows:
+            assert found[i].sentence_ids == ",".join(ids)
+            assert (found[i].licenses, found[i].n_unmatched) == _plain(ids)
+
+
+def test_any_number_of_sentences_takes_its_time_only(spark):
+    grant = licenses.SENTENCES["mit_grant"][0] + ".\n"
+    many = {
+        1: grant + "Licensed under the MIT License\n" * 200_000,
+        2: _text_of(["mit_grant"] * 20_000 + ["mit_notice"] * 20_000 + ["mit_as_is"] * 20_000),  # never a liability
+        3: _text_of(["mit_grant", "mit_notice", "mit_as_is", "mit_liability"] * 10_000),
+    }
+    start = time.perf_counter()
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(many.items()), "doc_id bigint, text string")).collect()}
+    assert time.perf_counter() - start < 120
+    assert [found[i].licenses for i in (1, 2, 3)] == ["MIT"] * 3
+    assert [found[i].n_unmatched for i in (1, 2, 3)] == [1, 60_000 - 2, 0]
+
+
+def test_wrapped_sentences_are_seen(spark):
+    texts = [(1, "This is free and unencumbered software released into the public\ndomain."), (2, "All rights\n  reserved.")]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    assert found[1].licenses == "Unlicense" and found[2].sentence_ids == "reserved"
+    for wordings in licenses.SENTENCES.values():
+        for wording in wordings:
+            assert re.search(licenses.HINT, re.sub(" ", "\n \t", wording))
