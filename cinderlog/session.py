@@ -61,7 +61,7 @@ def freeze(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     frozen = spark.read.schema(df.schema).parquet(path)
