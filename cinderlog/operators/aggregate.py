@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cinderlog.operators.ordered import range_layout
+from cinderlog.operators.ordered import carry, range_layout
 
 ERROR = "ERROR"
 
@@ -21,13 +21,14 @@ def error_count() -> Column:
     return F.count_if(F.coalesce(F.col("level") == ERROR, F.lit(False)))
 
 
-def metric_columns() -> list[Column]:
-    """Count, error count, error ratio and message bytes of a group of events."""
+def metric_columns(size: Column | None = None) -> list[Column]:
+    """Count, error count, error ratio and message bytes of a group of events; `size` stands for the bytes of a message."""
+    size = F.octet_length("message") if size is None else size
     return [
         _long(F.count("*")).alias("n"),
         _long(error_count()).alias("n_error"),
         (error_count() / F.count("*")).alias("error_ratio"),
-        _long(F.coalesce(F.sum(F.octet_length("message")), F.lit(0))).alias("bytes"),
+        _long(F.coalesce(F.sum(size), F.lit(0))).alias("bytes"),
     ]
 
 
@@ -46,12 +47,23 @@ def metrics(
 
 def session_metrics(events: DataFrame, gap: str = "30 minutes", by: Sequence[str] = ("trace_id",)) -> DataFrame:
     """Metrics per session: a run of events of a group without a longer gap between them; `session_end` is the last
-    event's time plus the gap."""
-    return (
-        events.groupBy(F.session_window("event_time", gap).alias("session"), *by).agg(*metric_columns())
-        .select(F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"), *by,
-                "n", "n_error", "error_ratio", "bytes")
-    )
+    event's time plus the gap. Events without a time belong to no session.
+
+    On a stream Spark's session windows do it. On a table these would bring all events of a group into one task; here the
+    times are sorted into ranges, an event opens a session if the one before it is too far, and each takes the start of
+    its session from the last that opened one. The last step combines on the map side like any aggregation.
+    """
+    columns = [F.col("session_start"), F.col("session_end"), *by, "n", "n_error", "error_ratio", "bytes"]
+    if events.isStreaming:
+        windows = events.groupBy(F.session_window("event_time", gap).alias("session"), *by).agg(*metric_columns())
+        return windows.withColumns({"session_start": F.col("session.start"), "session_end": F.col("session.end")}).select(*columns)
+    length = F.expr(f"INTERVAL {gap}")
+    narrow = events.where(F.col("event_time").isNotNull()).select(*by, "event_time", "level", F.octet_length("message").alias("_size"))
+    placed = carry(range_layout(narrow, [*by, "event_time"]), by, F.col("event_time"), "_last", strict=True)
+    opens = F.col("_last").isNull() | (F.col("event_time") > F.col("_last") + length)
+    started = carry(placed, by, F.when(opens, F.col("event_time")), "session_start")
+    sessions = started.groupBy("session_start", *by).agg((F.max("event_time") + length).alias("session_end"), *metric_columns(F.col("_size")))
+    return sessions.select(*columns)
 
 
 def count_by(df: DataFrame, *by: str) -> DataFrame:

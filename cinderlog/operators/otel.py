@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cinderlog.schema import LEVELS
 
-_ANY = "struct<stringValue:string,intValue:string,doubleValue:double,boolValue:boolean>"
+# a value that is no scalar is kept as its JSON text
+_ANY = (
+    "struct<stringValue:string,intValue:string,doubleValue:double,boolValue:boolean,arrayValue:string,kvlistValue:string,"
+    "bytesValue:string>"
+)
 _ATTRIBUTES = f"array<struct<key:string,value:{_ANY}>>"
 # The names of the export format.
 EXPORT = (
@@ -25,7 +29,8 @@ SEVERITY_STEP = 4
 
 def _text(value: Column) -> Column:
     return F.coalesce(
-        value["stringValue"], value["intValue"], value["doubleValue"].cast("string"), value["boolValue"].cast("string")
+        value["stringValue"], value["intValue"], value["doubleValue"].cast("string"), value["boolValue"].cast("string"),
+        value["arrayValue"], value["kvlistValue"], value["bytesValue"],
     )
 
 
@@ -46,12 +51,39 @@ def _level() -> Column:
     return F.coalesce(F.when(named.isin(*LEVELS), named), F.when(F.col("r.severityNumber") > 0, numbered))
 
 
+_BROKEN = "_broken"
+
+
+def read_exports(df: DataFrame, value: str = "value") -> DataFrame:
+    """Add `export` and `reason`, of which one is NULL.
+
+    The first reason that applies: `empty`, `not_json_object`, `no_export` (no array of resourceLogs), `type_mismatch` (a
+    known field of another type anywhere in it). Unknown fields are let pass, as the format grows.
+    """
+    kind = f"schema_of_variant(try_parse_json(`{value}`))"
+    logs = f"schema_of_variant(try_variant_get(try_parse_json(`{value}`), '$.resourceLogs', 'variant'))"
+    read = F.from_json(value, f"{EXPORT}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN})
+    reason = F.expr(
+        f"CASE WHEN coalesce(trim(`{value}`), '') = '' THEN 'empty' "
+        f"WHEN NOT coalesce(startswith({kind}, 'OBJECT'), false) THEN 'not_json_object' "
+        f"WHEN NOT coalesce(startswith({logs}, 'ARRAY'), false) THEN 'no_export' "
+        f"WHEN _read.{_BROKEN} IS NOT NULL THEN 'type_mismatch' END"
+    )
+    judged = df.withColumn("_read", read).withColumn("reason", reason)
+    return judged.withColumn("export", F.when(F.col("reason").isNull(), F.col("_read"))).drop("_read")
+
+
+def otel_quarantine(df: DataFrame, value: str = "value", *keep: str) -> DataFrame:
+    """The texts that are no exports: raw text, reason and the kept columns."""
+    return read_exports(df, value).where(F.col("reason").isNotNull()).select(F.col(value).alias("raw"), "reason", *keep)
+
+
 def otel_events(df: DataFrame, value: str = "value", *keep: str) -> DataFrame:
     """One row per log record of the exports in `value`, as event columns after the kept ones.
 
-    A fatal record counts as ERROR. A text that is no export has no records.
+    A fatal record counts as ERROR. A text that is no export has no records, see `otel_quarantine`.
     """
-    export = df.select(*keep, F.explode(F.from_json(value, EXPORT)["resourceLogs"]).alias("l"))
+    export = read_exports(df, value).select(*keep, F.explode("export.resourceLogs").alias("l"))
     records = export.select(*keep, F.col("l.resource.attributes").alias("resource"), F.explode("l.scopeLogs").alias("s")).select(
         *keep, "resource", F.explode("s.logRecords").alias("r")
     ).withColumn("own", F.col("r.attributes"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cinderlog.plans.adapter import EXTENSIONS, RAW_EXTENSIONS
-from cinderlog.plans.queries import INDEXED_USER, ANY_TERMS, COMPACT_DATES, SEARCH_NON_ASCII, SEARCH_NUMBERS, SEARCH_PHRASE, SEARCH_TERMS
+from cinderlog.plans.queries import INDEXED_USER, ANY_TERMS, CHANGED_EVERY, SEARCH_NON_ASCII, SEARCH_NUMBERS, SEARCH_PHRASE, SEARCH_TERMS
 from cinderlog.schema import PARSER_BY_EXTENSION, TAG_BY_EXTENSION
 
 _A = """a AS (
@@ -231,12 +231,25 @@ ORACLES = {
     "index_with_source": _from_a("""SELECT log_id, 'c-2' AS client_id, 'logs.app' AS tag, true AS in_own_folder""",
                                  "WHERE user_id % 4 = 2"),
     "compact_index": _from_a(f"""SELECT strftime(ts_sec, '%Y-%m-%d') AS event_date,
-      strftime(ts_sec, '%Y-%m-%d') NOT IN {COMPACT_DATES} AS as_streamed, count(*) AS n""", "GROUP BY ALL"),
+      CAST(ts_sec AS DATE) = (SELECT max(CAST(ts_sec AS DATE)) FROM a) AS as_streamed, count(*) AS n""", "GROUP BY ALL"),
+    "archive_proof": f"""WITH {_A}, d AS (
+      SELECT CAST(ts_sec AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE event_id % {CHANGED_EVERY} = 0) AS n_missing
+      FROM a GROUP BY 1)
+      SELECT strftime(day, '%Y-%m-%d') AS event_date, n, n_missing, n_missing = 0 AS expired,
+        CASE WHEN n_missing = 0 THEN 0 ELSE n END AS n_left
+      FROM d WHERE day < (SELECT max(day) FROM d)""",
     "archive_twice": _from_a("SELECT log_id, level"),
     "bind_by_version": _from_a("""SELECT CAST(event_id % 2 + 1 AS VARCHAR) AS v, log_id, at_us AS epoch_us, service, level,
       message, CASE WHEN event_id % 2 = 1 THEN host END AS host"""),
     "otel_to_events": _from_a("""SELECT log_id, host, at_us AS epoch_us, service, pod_name, trace_id, level, message,
       'k' AS attr_key, attr_k AS attr_value, CAST(1 AS BIGINT) AS n_attrs"""),
+    "otel_quarantine": _from_a("""SELECT log_id,
+      [NULL, 'not_json_object', 'no_export', 'type_mismatch', 'empty'][event_id % 5 + 1] AS reason,
+      [concat('{"values":[{"stringValue":"', message, '"}]}'), message, concat('{"resourceSpans":[],"id":"', log_id, '"}'),
+       concat('{"resourceLogs":[{"scopeLogs":[{"logRecords":[{"severityNumber":"', level, '"}]}]}]}'), ' '][event_id % 5 + 1] AS raw"""),
+    "enrich_as_of": _from_a("SELECT log_id, n_name AS owner", """LEFT JOIN nation ON service = concat('svc-', n_nationkey % 5)
+      AND ts_sec >= TIMESTAMP '2024-01-01' + to_days(CAST(n_nationkey // 5 * 6 AS INT))
+      AND (n_nationkey // 5 >= 4 OR ts_sec < TIMESTAMP '2024-01-01' + to_days(CAST(n_nationkey // 5 * 6 + 5 AS INT)))"""),
     "search_terms_indexed": _from_a("SELECT log_id, CAST(2 AS BIGINT) AS score", f"WHERE event_type = 'purchase' AND user_id = {INDEXED_USER}"),
     "search_phrase_indexed": _from_a("SELECT log_id", f"WHERE user_id = {INDEXED_USER}"),
     "filter_attribute_indexed": _from_a("SELECT log_id", "WHERE attr_k = '42'"),

@@ -599,20 +599,34 @@ def index_with_source(spark: SparkSession, sf: str) -> DataFrame:
     return seen.select("log_id", "client_id", "tag", F.col("file_path").contains("client_id=c-2/").alias("in_own_folder"))
 
 
-COMPACT_DATES = ("2024-01-01", "2024-01-02", "2024-01-03")
-
-
 def compact_index(spark: SparkSession, sf: str) -> DataFrame:
-    """The index after some of its dates were put together: the same events, and one file or so for each such date."""
+    """The index after its closed dates, all but the newest, were put together: the same events, few files a date."""
     path = _indexed(spark, sf)
-    log_index.compact_index(spark, path, *COMPACT_DATES)
-    files = F.regexp_replace(F.input_file_name(), "/part-[^/]*$", "")
+    log_index.compact_index(spark, path, stopped=True)
     rows = log_index.read_index(spark, path).select(
-        F.col("event_date").cast("string").alias("event_date"), (~files.endswith(f"ingest_batch={log_index.COMPACTED}")).alias("as_streamed")
+        F.col("event_date").cast("string").alias("event_date"), (~F.input_file_name().contains("ingest_batch=-")).alias("as_streamed")
     )
     return aggregate.count_by(rows, "event_date", "as_streamed")
 
 
+def archive_proof(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates of the index expire if all their rows are archived; those of which a row was changed stay."""
+    path, archived = work_path(spark, "index"), work_path(spark, "archive")
+    events = ad.log_events(spark, sf)
+    log_index.write_index(events, path)
+    changed = F.when(F.col("log_id").cast("bigint") % CHANGED_EVERY == 0, F.upper("message")).otherwise(F.col("message"))
+    log_index.archive(events.withColumn("message", changed), archived)
+    newest = events.agg(F.max(F.to_date("event_time")).cast("string")).first()[0] or ""
+    told = log_index.expire(spark, path, archived, newest)
+    left = aggregate.count_by(log_index.read_index(spark, path), "event_date").withColumnRenamed("n", "n_left")
+    return told.join(left, "event_date", "left").select(
+        F.col("event_date").cast("string").alias("event_date"), "n", "n_missing", "expired", F.coalesce("n_left", F.lit(0)).alias("n_left")
+    )
+
+
+CHANGED_EVERY = 701
+
+
 def archive_twice(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "archive")
     for _ in range(2):
@@ -659,6 +673,32 @@ def otel_to_events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def otel_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Five kinds of texts in turn, of which one is an export, with an array for its body."""
+    c = F.col
+    logs = lambda inner: text('{"resourceLogs":[{"scopeLogs":[{"logRecords":[{"severityNumber":', inner, "}]}]}]}")
+    kinds = [
+        logs(text('9,"body":{"arrayValue":{"values":[{"stringValue":"', c("message"), '"}]}}')), c("message"),
+        text('{"resourceSpans":[],"id":"', c("log_id"), '"}'), logs(text('"', c("level"), '"')), F.lit(" "),
+    ]
+    rows = ad.adapted(spark, sf).select("log_id", F.element_at(F.array(*kinds), (c("event_id") % len(kinds) + 1).cast("int")).alias("value"))
+    bad = otel.otel_quarantine(rows, "value", "log_id").select("log_id", "reason", "raw")
+    good = otel.otel_events(rows.withColumnRenamed("log_id", "id"), "value", "id")
+    return bad.unionByName(good.select(F.col("id").alias("log_id"), F.lit(None).cast("string").alias("reason"), F.col("message").alias("raw")))
+
+
+def enrich_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Each event with the nation that owned its service at its time; owners change every six days, with a day between."""
+    start = F.lit("2024-01-01").cast("timestamp")
+    turn = F.floor(F.col("n_nationkey") / 5).cast("int")
+    owners = ad.table(spark, sf, "nation").select(
+        text("svc-", (F.col("n_nationkey") % 5).cast("string")).alias("service"), F.col("n_name").alias("owner"),
+        (start + F.make_dt_interval(turn * 6)).alias("valid_from"),
+        F.when(turn < 4, start + F.make_dt_interval(turn * 6 + 5)).alias("valid_to"),
+    )
+    return enrich.join_as_of(ad.log_events(spark, sf), owners, ["service"], ["owner"]).select("log_id", "owner")
+
+
 # ---- the index with terms, clustered, and rolled up
 
 def _with_terms(spark: SparkSession, sf: str) -> tuple[str, str]:
@@ -763,7 +803,7 @@ REGISTERED = (
     filter_facets, filter_attribute, agg_by_level, top_services, date_histogram, distinct_traces,
     value_percentiles, percentiles_approx, level_service_cube, trace_timeline, context_around_error, service_health, silent_services,
     alert_windows, unusual_counts, route_by_source, client_lines,
-    uppercase_stream, index_roundtrip, archive_roundtrip, index_with_source, compact_index, archive_twice,
-    bind_by_version, otel_to_events,
+    uppercase_stream, index_roundtrip, archive_roundtrip, index_with_source, compact_index, archive_twice, archive_proof,
+    bind_by_version, otel_to_events, otel_quarantine, enrich_as_of,
     search_terms_indexed, search_phrase_indexed, filter_attribute_indexed, lookup_trace, rollup_days, rollup_late, repeated_delivery, silence_stream,
 )

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinderlog.functions import quoted, text as txt
 from cinderlog.operators.search import has_attribute, search, search_phrase
-from cinderlog.sinks.index import FOLDER, INDEX_SCHEMA
+from cinderlog.sinks.index import FOLDER, read_index, read_parts
 
 #: Folders of the postings; a search reads only those of its words.
 BUCKETS = 64
@@ -37,17 +37,10 @@ def attribute_term(key: str, value: str) -> str:
 
 def index_files(spark: SparkSession, path: str) -> list[str]:
     """The index's files now, named from the date folder on: the list that Spark makes itself before it reads a table."""
-    found = spark.read.schema(INDEX_SCHEMA).parquet(path).inputFiles()
+    found = read_index(spark, path).inputFiles()
     return sorted(f[f.rindex(f"/{FOLDER}=") + 1:] for f in found)
 
 
-def read_files(spark: SparkSession, path: str, files: Sequence[str]) -> DataFrame:
-    """Some files of the index."""
-    if not files:
-        return spark.createDataFrame([], INDEX_SCHEMA)
-    return spark.read.schema(INDEX_SCHEMA).option("basePath", path).parquet(*[f"{path}/{f}" for f in files])
-
-
 def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -74,7 +67,7 @@ def update_terms(spark: SparkSession, path: str, terms_path: str) -> int:
     files = spark.createDataFrame(list(enumerate(new)), "number int, file string")
     name = F.concat(F.lit(f"{FOLDER}="), F.substring_index("_metadata.file_path", f"/{FOLDER}=", -1))
     words = f"explode(array_distinct(concat(coalesce({txt.tokens('message')}, array()), coalesce({_ATTRIBUTE_TERMS}, array())))) AS term"
-    terms = read_files(spark, path, new).withColumn("file", name).selectExpr(FOLDER, "file", words).distinct()
+    terms = read_parts(spark, path, new).withColumn("file", name).selectExpr(FOLDER, "file", words).distinct()
     postings = terms.join(files, "file").groupBy("term", FOLDER).agg(
         F.count("*").cast("int").alias("n_files"), F.sort_array(F.collect_list("number")).alias("files")
     )
@@ -120,16 +113,16 @@ def opened_files(spark: SparkSession, path: str, terms_path: str, terms: Sequenc
 def search_index(spark: SparkSession, path: str, terms_path: str, terms: Sequence[str], mode: str = "all", **dates) -> DataFrame:
     """What `search` finds in the index, opening only the files that hold the words."""
     files = opened_files(spark, path, terms_path, txt.term_words(terms), mode == "all", **dates)
-    return search(read_files(spark, path, files), terms, "message", mode)
+    return search(read_parts(spark, path, files), terms, "message", mode)
 
 
 def phrase_in_index(spark: SparkSession, path: str, terms_path: str, phrase: str, **dates) -> DataFrame:
     """What `search_phrase` finds in the index, opening only the files that hold all of its words."""
     files = opened_files(spark, path, terms_path, txt.words_of(phrase), **dates)
-    return search_phrase(read_files(spark, path, files), phrase)
+    return search_phrase(read_parts(spark, path, files), phrase)
 
 
 def attribute_in_index(spark: SparkSession, path: str, terms_path: str, key: str, value: str, **dates) -> DataFrame:
     """The events with an attribute, opening only the files that hold it."""
     files = opened_files(spark, path, terms_path, [attribute_term(key, value)], **dates)
-    return read_files(spark, path, files).where(has_attribute(key, value))
+    return read_parts(spark, path, files).where(has_attribute(key, value))
