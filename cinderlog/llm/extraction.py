@@ -2,8 +2,8 @@
 
 A page becomes the sequence of its text blocks. A bidirectional LSTM reads, for each block, vectors of its tag
 path, its words and its shape, and labels it as article or not with the whole page in view. The network is
-plain numpy and trained here, on a bounded sample of pages: their own semantic tags label their blocks, and
-variants of each page, with its parts put into other containers, teach it other layouts.
+plain numpy and trained here, on a bounded sample of pages: their own semantic tags, or else names and shapes, label
+their blocks, and variants of each page, with its parts put into other containers, teach it other layouts.
 """
 
 from __future__ import annotations
@@ -40,7 +40,9 @@ BLOCK_TAGS = frozenset(
     "td tfoot th thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED_TAGS = frozenset("script style noscript template head title svg math iframe object textarea".split())
+#: Elements whose content is no article text, closed by an end tag of theirs; and what may stand in a head.
+HIDDEN_TAGS = frozenset("noscript template iframe svg annotation annotation-xml".split())
+HEAD_TAGS = frozenset("html head title base link meta script style noscript template".split())
 #: An open element of the key is closed by the start of one of these.
 CLOSED_BY = {
     "p": BLOCK_TAGS - {"html", "body", "button", "option"}, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}),
@@ -53,16 +55,20 @@ ASIDE = (
     "comment comments reply share social related newsletter subscribe breadcrumb copyright popup modal widget login search"
 ).split()
 MAIN = "article main content post entry story body-text article-body post-content entry-content main-content".split()
+_MAIN_PARTS = frozenset("article main content post entry story".split())
 
+# only raw text, where no other element can be, runs to the end of the page if its end tag is missing
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^>]*(>|\Z)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_HIDDEN_END = re.compile(r"</(noscript|template|iframe|svg|annotation-xml|annotation)(?=[\s/>])", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_NAMING = frozenset(("class", "id", "role"))
 _PART = re.compile(r"[a-z0-9]+")
 
 
@@ -111,7 +117,10 @@ class _Reader:
         elif tag == "br":
             self.parts and self.parts.append(" ")
         if tag not in VOID_TAGS:
-            names = tuple(p for m in _NAMED.finditer(attributes) for p in _PART.findall((m[1] or m[2] or m[3] or "").lower()))
+            names = tuple(
+                p for m in _ATTRIBUTE.finditer(attributes) if m[1].lower() in _NAMING
+                for p in _PART.findall((m[2] or m[3] or m[4] or "").lower())
+            )
             self.open.append((tag, (tag, *names)))
 
     def end(self, tag: str) -> None:
@@ -126,38 +135,76 @@ class _Reader:
 
 
 def blocks_of(page: str | None) -> list[Block]:
-    """The text blocks of a page in order, without scripts, styles, comments and the head."""
-    page, reader, at, head = page or "", _Reader(), 0, 0
+    """The text blocks of a page in order, without scripts, styles, comments, the head and hidden elements.
+
+    A head ends at its end tag, or else at the first text or element that can't stand in it. A hidden element that is empty
+    (`<svg/>`) or has no end tag hides nothing; an svg also ends where a block begins. Formulas and the content of objects
+    are text like any other.
+    """
+    page, reader, at, head = page or "", _Reader(), 0, False
+    last_end = {m[1].lower(): m.start() for m in _HIDDEN_END.finditer(page)}
+    hidden, depth = "", 0
     for m in _TOKEN.finditer(page):
-        if m.start() > at and not head:
-            reader.text(page[at:m.start()])
+        if m.start() > at and not hidden:
+            raw = page[at:m.start()]
+            head = head and not raw.strip()
+            if not head:
+                reader.text(raw)
         at = m.end()
         if not m[3]:
             continue
-        tag = m[3].lower()
+        tag, ends, attributes = m[3].lower(), bool(m[2]), m[4] or ""
+        empty = attributes.endswith("/")
+        if hidden == "svg" and not ends and tag in BLOCK_TAGS:
+            hidden = ""
+        if hidden:
+            if tag == hidden and not (empty and not ends):
+                depth += -1 if ends else hidden in ("svg", "template")
+                hidden = hidden if depth else ""
+            continue
         if tag == "head":
-            head = not m[2]
-        elif tag == "body":
-            head = 0
-        if head:
+            head = not ends
+        elif not ends and tag not in HEAD_TAGS:
+            head = False
+        if tag in HIDDEN_TAGS:
+            if not ends and not empty and last_end.get(tag, -1) > at - 1:
+                hidden, depth = tag, 1
+        elif head or tag == "head":
             continue
-        if m[2]:
+        elif ends:
             reader.end(tag)
-        elif tag not in SKIPPED_TAGS:
-            reader.start(tag, m[4] or "")
-            if (m[4] or "").endswith("/") and tag not in BLOCK_TAGS and tag not in VOID_TAGS:
+        else:
+            reader.start(tag, attributes)
+            if empty and tag not in BLOCK_TAGS and tag not in VOID_TAGS:
                 reader.open.pop()
-    if not head:
+    if not hidden and not (head and not page[at:].strip()):
         reader.text(page[at:])
     reader.end_block()
     return reader.blocks
 
 
+def _apart(block: Block) -> bool:
+    return any(set(names) & set(ASIDE) for names in block.path)
+
+
 def semantic_label(block: Block) -> int:
     """1 for a block inside an article or main element and not inside one that is set apart, else 0."""
-    inside = any(set(names) & {"article", "main"} for names in block.path)
-    apart = any(set(names) & set(ASIDE) for names in block.path)
-    return int(inside and not apart)
+    return int(any(set(names) & {"article", "main"} for names in block.path) and not _apart(block))
+
+
+#: Words that a block has at least, and the share of them that links have at most, where only its shape tells.
+SHAPE_WORDS, SHAPE_LINKS = 10, 0.3
+
+
+def teaching_labels(blocks: list[Block]) -> list[int]:
+    """What a page teaches: its semantic tags; without any, the names of its containers; without those, blocks shaped like
+    sentences. Each time, what is named as set apart is none of it."""
+    found = [semantic_label(b) for b in blocks]
+    if not any(found):
+        found = [int(any(set(names[1:]) & _MAIN_PARTS for names in b.path) and not _apart(b)) for b in blocks]
+    if not any(found):
+        found = [int(len(b.text.split()) >= SHAPE_WORDS and b.links <= SHAPE_LINKS * len(b.text) and not _apart(b)) for b in blocks]
+    return found
 
 
 def _place(text: str, dimensions: int) -> tuple[int, float]:
@@ -344,7 +391,10 @@ def variant(blocks: list[Block], labels: list[int], rng: np.random.Generator) ->
 
 
 def train(pages: DataFrame, key: str = "page_id", page: str = "html", bound: int = TRAINING_PAGES) -> Network:
-    """Fit on at most `bound` pages, those with the least hash of key and page, and variants of them."""
+    """Fit on at most `bound` pages, those with the least hash of key and page, and variants of them.
+
+    A network that nothing could teach, for want of any page with text, takes every block for the article.
+    """
     hashed = pages.where(F.col(page).isNotNull()).select(F.xxhash64(key, page).alias("order"), F.col(page).alias("page"))
     orders = least_hashed(hashed.select("order").distinct(), "order", bound).orderBy("order").limit(bound)
     # of equal pages one counts, so that no more than the bound come to the driver
@@ -353,7 +403,7 @@ def train(pages: DataFrame, key: str = "page_id", page: str = "html", bound: int
     rng, vectors, rows, labels = np.random.default_rng(11), Vectors(), [], []
     for text in texts:
         blocks = blocks_of(text)
-        own = [semantic_label(b) for b in blocks]
+        own = teaching_labels(blocks)
         for some, y in [(blocks, own), *[variant(blocks, own, rng) for _ in range(VARIANTS)]]:
             if some and any(own):
                 rows.append(vectors.of(some))
