@@ -22,6 +22,8 @@ from cinderlog.llm.common import Batches, least_hashed, mapped
 #: Pages that training uses at most.
 TRAINING_PAGES = 300
 VARIANTS = 4
+#: Shares of variants with the article in a cell of a table, without a name, and with a list in it.
+CELLS, BARE, LISTS = 0.15, 0.2, 0.4
 EPOCHS = 12
 HIDDEN = 24
 #: Dimensions that tag paths and words are hashed into.
@@ -364,22 +366,33 @@ def fit(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCHS,
 
 
 def variant(blocks: list[Block], labels: list[int], rng: np.random.Generator) -> tuple[list[Block], list[int]]:
-    """The same texts in another layout: article blocks in a container that names it, the others in ones set apart,
-    some of them moved behind or into the article."""
+    """The same texts in another layout: article blocks in a container that mostly names it, or in a cell of a table, some of
+    them as a list; the others in containers set apart, or bare if they are all links, some moved behind or into the article."""
     def box(name: str) -> tuple[str, ...]:
         tags = {"nav", "header", "footer", "aside", "form", "article", "main"}
         return (name,) if name in tags and rng.random() < 0.5 else (str(rng.choice(["div", "section"])), *_PART.findall(name))
 
     outer = [(("html",), ("body",)), (("html",), ("body",), ("div", "page")), (("html",), ("body",), ("div", "container"))]
     base = outer[rng.integers(len(outer))]
-    content = (*base, *([box(str(rng.choice(MAIN)))] if rng.random() < 0.9 else []), box(str(rng.choice(MAIN))))
+    if rng.random() < CELLS:
+        base = (*base, ("table",), ("tr",))
+        content = (*base, ("td", *_PART.findall(str(rng.choice(MAIN)))))
+    elif rng.random() < BARE:
+        content = (*base, ("div",), ("div",))
+    else:
+        content = (*base, *([box(str(rng.choice(MAIN)))] if rng.random() < 0.9 else []), box(str(rng.choice(MAIN))))
     main, apart = [b for b, y in zip(blocks, labels, strict=True) if y], [b for b, y in zip(blocks, labels, strict=True) if not y]
-    groups: list[tuple[list[Block], int]] = [([Block(b.text, (*content, (b.tag or "p",)), b.links, b.tag) for b in main], 1)]
+    listed = rng.integers(len(main)) if main and rng.random() < LISTS else len(main)
+    own = [Block(b.text, (*content, *((("ul",), ("li",)) if listed <= i < listed + 3 else ((b.tag or "p",),))), b.links,
+                 "li" if listed <= i < listed + 3 else b.tag) for i, b in enumerate(main)]
+    groups: list[tuple[list[Block], int]] = [(own, 1)]
     size = max(1, len(apart) // 3)
     for at in range(0, len(apart), size):
-        around = box(str(rng.choice(ASIDE)))
+        some = apart[at:at + size]
+        bare = all(2 * b.links >= len(b.text) for b in some) and rng.random() < BARE
+        around = ("div",) if bare else box(str(rng.choice(ASIDE)))
         path = (*(content if rng.random() < 0.3 else base), around)
-        moved = [Block(b.text, (*path, (str(rng.choice(["p", "li", "div", "span", "a"])),)), b.links, b.tag) for b in apart[at:at + size]]
+        moved = [Block(b.text, (*path, (str(rng.choice(["p", "li", "div", "span", "a"])),)), b.links, b.tag) for b in some]
         groups.insert(int(rng.integers(len(groups) + 1)), (moved, 0))
     # readers' comments and notices are written like articles: some of the article's sentences stand in for them
     if main and rng.random() < 0.7:
