@@ -102,6 +102,11 @@ def update_ledger(docs: DataFrame, path: str, text: str = "text", rules=RULES, v
     return read_ledger(spark, path)
 
 
+def of_version(ledger: DataFrame, version: str = RULE_VERSION) -> DataFrame:
+    """One row per content, blob and spans, of one version; runs that overlapped may have added a content twice."""
+    return ledger.where(F.col("rule_version") == version).groupBy("blob").agg(F.first("spans").alias("spans"))
+
+
 def named_spans(spans: str, rules: tuple[Rule, ...] = RULES) -> str:
     """SQL: spans as kind:start:end, joined by commas."""
     names = ", ".join(quoted(r.name) for r in rules)
@@ -116,7 +121,7 @@ def findings(
     Repeated rows each get their row; a null text is empty. A content that the ledger lacks has null spans.
     """
     paths = docs.select(key, F.expr(blob_of(f"`{text}`")).alias("blob"))
-    return paths.join(ledger.where(F.col("rule_version") == version).select("blob", "spans"), "blob", "left")
+    return paths.join(of_version(ledger, version), "blob", "left")
 
 
 def report(found: DataFrame, key: str = "doc_id", rules=RULES) -> DataFrame:
@@ -143,9 +148,7 @@ def masked(text: str, spans: str) -> str:
 def redact(docs: DataFrame, ledger: DataFrame, text: str = "text", n_chars: str = "n_chars", version: str = RULE_VERSION) -> DataFrame:
     """The documents with their secrets masked, and n_chars, if there is one, counted anew where text changed."""
     blob, spans = unused(docs, "blob"), unused(docs, "spans")
-    found = ledger.where((F.col("rule_version") == version) & (F.size("spans") > 0)).select(
-        F.col("blob").alias(blob), F.col("spans").alias(spans)
-    )
+    found = of_version(ledger.where(F.size("spans") > 0), version).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
     joined = docs.join(found, F.expr(blob_of(f"`{text}`")) == found[blob], "left")
     changed = found[blob].isNotNull()
     new = F.expr(masked(f"`{text}`", f"`{spans}`"))

@@ -61,3 +61,15 @@ def test_long_runs_take_no_deep_or_repeated_search(spark, tmp_path):
     ledger = secrets.update_ledger(docs, str(tmp_path / "ledger"))
     spans = {r.doc_id: r.spans for r in secrets.report(secrets.findings(docs, ledger)).collect()}
     assert spans == {1: "", 2: "", 3: f"web_token:2:{2 + len(token)}", 4: "private_key:0:30"}
+
+
+def test_overlapping_runs_add_no_rows(spark, edges, tmp_path):
+    """Two runs that did not see each other leave contents twice; each document still comes once."""
+    path = str(tmp_path / "ledger")
+    once = secrets.update_ledger(edges, path)
+    expected = sorted(secrets.report(secrets.findings(edges, once)).collect(), key=str)
+    secrets.update_ledger(edges, str(tmp_path / "other")).write.mode("append").parquet(path)
+    twice = secrets.read_ledger(spark, path)
+    assert twice.count() == 2 * secrets.of_version(twice).count()
+    assert sorted(secrets.report(secrets.findings(edges, twice)).collect(), key=str) == expected
+    assert secrets.redact(edges, twice).count() == edges.count()
