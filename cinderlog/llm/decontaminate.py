@@ -123,7 +123,10 @@ class Windows:
         self.padded = np.array([[*w, *[w[0]] * (width - len(w))] for w in self.windows], np.int64).reshape(-1, width)
 
     def search(self, s: dict[str, np.ndarray], slop: int = SLOP) -> tuple[list, list]:
-        """(window, exact starts) and (window, starts of proximity matches) in a segment."""
+        """(window, exact starts) and (window, documents of proximity matches) in a segment.
+
+        A match lies within one document, so that what its neighbours in the segment hold makes no difference.
+        """
         exact, near = [], []
         if not len(s["terms"]) or not self.windows:
             return exact, near
@@ -136,8 +139,7 @@ class Windows:
             order = sorted(range(len(window)), key=lambda i: counts[window[i]])
             first = slot[window[order[0]]]
             found = places[starts[first]:starts[first + 1]].astype(np.int64) - order[0]
-            doc = np.searchsorted(doc_starts, np.maximum(found + order[0], 0), "right")
-            found = found[(found >= doc_starts[doc - 1]) & (found + len(window) <= doc_starts[doc])]
+            doc = np.searchsorted(doc_starts, found + order[0], "right") - 1
             off = np.zeros(len(found), bool)
             for i in order[1:]:
                 if not len(found):
@@ -145,16 +147,19 @@ class Windows:
                 term = slot[window[i]]
                 own = places[starts[term]:starts[term + 1]]
                 want = found + i
-                left = np.searchsorted(own, want - slop)
-                kept = (left < len(own)) & (own[np.minimum(left, len(own) - 1)] <= want + slop)
+                left = np.searchsorted(own, np.maximum(want - slop, doc_starts[doc]))
+                last = np.minimum(want + slop, doc_starts[doc + 1] - 1)
+                kept = (left < len(own)) & (own[np.minimum(left, len(own) - 1)] <= last)
                 spot = np.searchsorted(own, want)
                 same = (spot < len(own)) & (own[np.minimum(spot, len(own) - 1)] == want)
-                found, off = found[kept], (off | ~same)[kept]
+                # at a border of the document the word may stand in the next one
+                same &= (want >= doc_starts[doc]) & (want < doc_starts[doc + 1])
+                found, doc, off = found[kept], doc[kept], (off | ~same)[kept]
             if len(found):
                 if not off.all():
                     exact.append((at, found[~off]))
                 if off.any():
-                    near.append((at, found[off]))
+                    near.append((at, doc[off]))
         return exact, near
 
 
@@ -166,11 +171,12 @@ def _hits(w: Windows, s: dict[str, np.ndarray], slop: int) -> tuple[list, list,
     items: list[set] = [set() for _ in range(n)]
     close: list[set] = [set() for _ in range(n)]
     cover = np.zeros(int(doc_starts[-1]) + 1, np.int32)
-    for found, into in ((exact, items), (near, close)):
-        for at, starts in found:
-            for doc in set((np.searchsorted(doc_starts, starts, "right") - 1).tolist()):
-                into[doc].update(w.items[at])
+    for at, docs in near:
+        for doc in set(docs.tolist()):
+            close[doc].update(w.items[at])
     for at, starts in exact:
+        for doc in set((np.searchsorted(doc_starts, starts, "right") - 1).tolist()):
+            items[doc].update(w.items[at])
         np.add.at(cover, starts, 1)
         np.add.at(cover, starts + len(w.windows[at]), -1)
     intervals: list[list] = [[] for _ in range(n)]

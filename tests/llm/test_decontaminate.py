@@ -60,3 +60,14 @@ def test_repeated_items_count_once(spark, edges):
         repeated = repeated.unionAll(repeated)
     assert sum(map(len, decontaminate.benchmark_blocks(repeated))) == 3
     assert _judged(edges, repeated) == _judged(edges, items)
+
+
+def test_proximity_stops_at_the_borders_of_a_document(spark):
+    """Words of a neighbour complete nothing, whichever documents share a segment; swapped words at an end still match."""
+    item = spark.createDataFrame([(1, "w1 w2 w3 w4 w5")], "item_id bigint, text string")
+    rows = [(1, "w1 w2 w3 w4"), (2, "w5 x"), (3, "y w1"), (4, "w2 w3 w4 w5"), (5, "w1 w2 w3 w5 w4"), (6, "w2 w1 w3 w4 w5"), (7, "w1 w2 w3 w4 w5")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for partitions in (1, 7):
+        found = decontaminate.contamination(docs.repartition(partitions) if partitions > 1 else docs.coalesce(1), item).collect()
+        assert sorted((r.doc_id, r.n_items, r.n_near_items) for r in found) == [
+            (1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 0, 0), (5, 0, 1), (6, 0, 1), (7, 1, 0)]
