@@ -143,8 +143,10 @@ def archive(events: DataFrame, path: str, merge: bool = False) -> None:
     """Copy whole dates of events to long-term storage as few large files; running again replaces those dates.
 
     A date can only grow: if an archived row of it is not among the events, as when only late ones are given, nothing is
-    written and the call fails. With `merge` those dates take up the events that they lack instead. A job that dies while
-    it replaces a date is to be run again; the events are still there, as `expire` removes only what it finds archived.
+    written and the call fails. Arrival times don't count there, as records that are bound again get new ones. With `merge`
+    those dates take up the events that they lack instead, by whole rows, so give it rows of an index, whose arrival times
+    stay. A job that dies while it replaces a date is to be run again; the events are still there, as `expire` removes only
+    what it finds archived.
     """
     spark, rows = events.sparkSession, with_folder(events)
     there = _dates_of(spark, path)
@@ -157,7 +159,8 @@ def archive(events: DataFrame, path: str, merge: bool = False) -> None:
             grown = freeze(archived.unionAll(new.exceptAll(archived)), "archive")
             rows = rows.where(F.col(FOLDER).isNull() | ~F.col(FOLDER).isin([F.lit(d).cast("date") for d in both])).unionAll(grown)
         else:
-            lost = sorted(str(r[0]) for r in archived.exceptAll(new).select(FOLDER).distinct().collect())
+            gone = archived.drop("ingestion_time").exceptAll(new.drop("ingestion_time"))
+            lost = sorted(str(r[0]) for r in gone.select(FOLDER).distinct().collect())
             if lost:
                 raise ValueError(f"archived rows of these dates are not among the events: {', '.join(lost)}")
     (
