@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cinderlog.functions import quoted
 from cinderlog.llm.common import unused
+from cinderlog.session import freeze
 
 
 @dataclass(frozen=True)
@@ -103,8 +104,13 @@ def update_ledger(docs: DataFrame, path: str, text: str = "text", rules=RULES, v
 
 
 def of_version(ledger: DataFrame, version: str = RULE_VERSION) -> DataFrame:
-    """One row per content, blob and spans, of one version; runs that overlapped may have added a content twice."""
-    return ledger.where(F.col("rule_version") == version).groupBy("blob").agg(F.first("spans").alias("spans"))
+    """One row per content, blob and spans, of one version; runs that overlapped may have added a content twice.
+
+    Written once, so that a join by blob shuffles both of its sides and adaptive execution can split a content that very
+    many documents share; right above an aggregation by the same key it could not.
+    """
+    rows = ledger.where(F.col("rule_version") == version).groupBy("blob").agg(F.first("spans").alias("spans"))
+    return freeze(rows, "ledger")
 
 
 def named_spans(spans: str, rules: tuple[Rule, ...] = RULES) -> str:
