@@ -117,6 +117,8 @@ ORACLES = {
     "filter_valid_level": _from_a("SELECT level, count(*) AS n", "WHERE event_id % 10 <> 3 GROUP BY 1"),
     "replay_quarantine": _from_a(
         f"SELECT replace({_REASON}, 'oversize', 'valid') AS reason, count(*) AS n", "WHERE event_id % 10 < 8 GROUP BY 1"),
+    "replay_out": _from_a(f"""SELECT log_id, CASE WHEN event_id % 10 >= 7 THEN 'index' ELSE 'quarantine' END AS place,
+      CASE WHEN event_id % 10 < 7 THEN {_REASON} END AS reason"""),
     "route_by_extension": _from_a(
         f"SELECT ext, {_case('ext', PARSER_BY_EXTENSION)} AS parser, count(*) AS n",
         ).replace("FROM a", f"FROM (SELECT {_pick((*EXTENSIONS, 'png'))} AS ext FROM a) WHERE ext <> 'png' GROUP BY ext"),

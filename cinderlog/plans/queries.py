@@ -11,7 +11,7 @@ from cinderlog.operators import (
 from cinderlog.plans import adapter as ad
 from cinderlog.plans.adapter import text
 from cinderlog.session import work_path
-from cinderlog.sinks import clustered, index as log_index, terms
+from cinderlog.sinks import clustered, generations, index as log_index, terms
 from cinderlog.sources import landing, topic
 from cinderlog.streaming import jobs, silence
 
@@ -188,6 +188,21 @@ def replay_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return again.groupBy(F.coalesce("reason", F.lit("valid")).alias("reason")).agg(_long(F.count("*")).alias("n"))
 
 
+def replay_out(spark: SparkSession, sf: str) -> DataFrame:
+    """What a stream's batches left in quarantine is replayed under a larger limit, twice: index and quarantine afterwards."""
+    path, kept_out = work_path(spark, "index"), work_path(spark, "quarantine")
+    judged = _judged(spark, sf)
+    for batch in range(3):
+        own = judged.where(F.crc32("log_id") % 3 == batch)
+        log_index.write_index_batch(binding.valid_events(own), path, batch)
+        log_index.write_batch_folder(binding.quarantine(own, "log_id"), kept_out, batch)
+    for _ in range(2):
+        generations.replay_out(spark, kept_out, path, keep="log_id string", stopped=True, arrival=ad.no_time())
+    left = generations.read_quarantine(spark, kept_out, "log_id string").select("log_id", F.lit("quarantine").alias("place"), "reason")
+    there = log_index.read_index(spark, path).select("log_id", F.lit("index").alias("place"), F.lit(None).cast("string").alias("reason"))
+    return left.unionByName(there)
+
+
 # ---- collector
 
 def _files(spark: SparkSession, sf: str) -> DataFrame:
@@ -792,7 +807,7 @@ def repeated_delivery(spark: SparkSession, sf: str) -> DataFrame:
 REGISTERED = (
     src_raw_json, tail_log_lines, tail_json_lines, tail_csv_lines, tail_raw_lines, landing_path_columns,
     explode_request_body, body_quarantine, body_record_count, drop_date_key, kafka_payload,
-    bind_log_event, validate_split, quarantine_counts, filter_valid_level, replay_quarantine,
+    bind_log_event, validate_split, quarantine_counts, filter_valid_level, replay_quarantine, replay_out,
     route_by_extension, filter_by_tag, csv_line_match, union_all_formats, mixed_formats,
     parse_log_line, parse_csv_line, parse_log_time, normalize_timestamp, parse_attributes,
     event_to_json, bulk_index_actions, document_size, oversize_filter, bulk_batches_by_count,

@@ -55,6 +55,11 @@ def write_index_batch(events: DataFrame, path: str, batch_id: int) -> None:
     write_batch_folder(_gathered(events), path, batch_id, FOLDER)
 
 
+def write_change(events: DataFrame, path: str, number: int) -> None:
+    """Write events as the folders of a change, which are hidden until it is finished."""
+    write_batch_folder(_gathered(events), path, -number, FOLDER)
+
+
 def index_writer(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Stream events into the index with the file sink, each record exactly once."""
     return (
@@ -114,12 +119,12 @@ def compact_index(spark: SparkSession, path: str, *dates: str, stopped: bool = F
     chosen = {}
     for date in dates or sorted(by_date)[:-1]:
         own = [child for child in by_date.get(date, []) if stopped or batch_of(child) != newest]
-        if any(batch_of(child) >= 0 for child in own):  # else it is one compacted folder already
+        if len(own) > 1 or any(batch_of(child) >= 0 for child in own):  # else it is one compacted folder already
             chosen[date] = own
     if chosen:
         covered = [child for own in chosen.values() for child in own]
         number = made.begin()
-        write_batch_folder(_gathered(read_parts(spark, path, covered)), path, -number, FOLDER)
+        write_change(read_parts(spark, path, covered), path, number)
         made.finish(number, covered)
         if sweep:
             made.sweep()
