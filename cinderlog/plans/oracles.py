@@ -243,6 +243,15 @@ ORACLES = {
     "archive_twice": _from_a("SELECT log_id, level"),
     "bind_by_version": _from_a("""SELECT CAST(event_id % 2 + 1 AS VARCHAR) AS v, log_id, at_us AS epoch_us, service, level,
       message, CASE WHEN event_id % 2 = 1 THEN host END AS host"""),
+    "bind_registered_versions": """WITH j AS (
+      SELECT event_id, event_id % 4 AS place, user_id, ts,
+        CASE WHEN event_id % 4 = 3 THEN 'unknown_version' WHEN event_id % 7 = 3 THEN 'type_mismatch' END AS reason FROM events)
+      SELECT CAST(event_id AS VARCHAR) AS log_id, CAST(place + 1 AS VARCHAR) AS v, reason,
+        CASE WHEN reason IS NULL THEN CAST(event_id + CASE place WHEN 1 THEN 5000000000 ELSE 0 END AS BIGINT) END AS id,
+        CASE WHEN reason IS NULL THEN concat('svc-', user_id % 5) END AS owner,
+        CASE WHEN reason IS NULL THEN CAST(user_id + CASE place WHEN 2 THEN 0.5 ELSE 0 END AS DOUBLE) END AS n,
+        CASE WHEN reason IS NULL AND place = 2 THEN strftime(ts, '%Y-%m-%d') END AS at_date
+      FROM j""",
     "otel_to_events": _from_a("""SELECT log_id, host, at_us AS epoch_us, service, pod_name, trace_id, level, message,
       'k' AS attr_key, attr_k AS attr_value, CAST(1 AS BIGINT) AS n_attrs"""),
     "otel_quarantine": _from_a("""SELECT log_id,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cinderlog.functions import attributes as attr, lines, records, times
 from cinderlog.operators import (
-    aggregate, attributes as attribute_rows, binding, bulk, collector, enrich, health, otel, rollups, search, trace, versions,
+    aggregate, attributes as attribute_rows, binding, bulk, collector, enrich, health, otel, registry, rollups, search, trace, versions,
 )
 from cinderlog.plans import adapter as ad
 from cinderlog.plans.adapter import text
@@ -664,6 +664,34 @@ def bind_by_version(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+RECORD_VERSIONS = (
+    registry.Version("1", "id INT NOT NULL, svc STRING, n INT, old STRING"),
+    registry.Version("2", "id BIGINT NOT NULL, service STRING, n INT", {"svc": "service"}),
+    registry.Version("3", "id BIGINT NOT NULL, owner STRING, n DOUBLE, at DATE", {"service": "owner"}),
+)
+
+
+def bind_registered_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of three registered versions, and of one that is not, typed as the last; some have a text for a number."""
+    path = work_path(spark, "registry")
+    for version in RECORD_VERSIONS:
+        registry.register(spark, path, version)
+    c, place = F.col, F.col("event_id") % 4
+    n = F.when(c("event_id") % 7 == 3, F.lit('"many"')).otherwise(c("user_id").cast("string"))
+    half = F.when(c("event_id") % 7 == 3, F.lit('"many"')).otherwise(text(c("user_id").cast("string"), ".5"))
+    value = (
+        F.when(place == 0, text('{"id":', c("log_id"), ',"svc":"', c("service"), '","n":', n, ',"old":"', c("level"), '"}'))
+        .when(place == 1, text('{"id":', (c("event_id") + 5_000_000_000).cast("string"), ',"service":"', c("service"), '","n":', n, "}"))
+        .otherwise(text('{"id":', c("log_id"), ',"owner":"', c("service"), '","n":', half, ',"at":"', F.substring("ts_text", 1, 10), '"}'))
+    )
+    rows = ad.adapted(spark, sf).select("log_id", (place + 1).cast("string").alias("v"), value.alias("value"))
+    bound = registry.bind_versions(rows, c("v"), registry.read_registry(spark, path))
+    return bound.select(
+        "log_id", "v", "reason", c("record.id").alias("id"), c("record.owner").alias("owner"), c("record.n").alias("n"),
+        c("record.at").cast("string").alias("at_date"),
+    )
+
+
 def otel_to_events(spark: SparkSession, sf: str) -> DataFrame:
     """Every event as an export of its own, with its resource, a severity name or number, and two attributes."""
     def attribute(key: str, value: Column) -> list:
@@ -819,6 +847,6 @@ REGISTERED = (
     value_percentiles, percentiles_approx, level_service_cube, trace_timeline, context_around_error, service_health, silent_services,
     alert_windows, unusual_counts, route_by_source, client_lines,
     uppercase_stream, index_roundtrip, archive_roundtrip, index_with_source, compact_index, archive_twice, archive_proof,
-    bind_by_version, otel_to_events, otel_quarantine, enrich_as_of,
+    bind_by_version, bind_registered_versions, otel_to_events, otel_quarantine, enrich_as_of,
     search_terms_indexed, search_phrase_indexed, filter_attribute_indexed, lookup_trace, rollup_days, rollup_late, repeated_delivery, silence_stream,
 )
