@@ -96,8 +96,9 @@ def land_lines(lines: DataFrame, base: str, lines_per_file: int = LINES_PER_FILE
     """Write rows of (client_id, file_name, line), in folders by client and file name.
 
     Spark's commit makes the files appear whole, and only those of one attempt of each task. A part is one upload:
-    its name carries the id of the write. Nothing is shuffled, so one large client is spread over all tasks. A name
-    that could lead out of its folder fails the write.
+    its name carries the id of the write. Lines of a file are gathered first, so that there are about as many parts as
+    files and not one for each task; adaptive execution splits a large file over several tasks. A name that could lead
+    out of its folder fails the write.
     """
     wrong = F.lit(False)
     for column in ("client_id", "file_name"):
@@ -106,6 +107,7 @@ def land_lines(lines: DataFrame, base: str, lines_per_file: int = LINES_PER_FILE
     client = F.when(wrong, F.raise_error(message).cast("string")).otherwise(F.col("client_id"))
     (
         lines.select(client.alias("client_id"), "file_name", F.col("line").alias("value"))
+        .hint("rebalance", "client_id", "file_name")
         .write.partitionBy("client_id", "file_name").mode("append").option("maxRecordsPerFile", lines_per_file).text(base)
     )
 

@@ -76,3 +76,12 @@ def test_lines_roll_over_to_new_files(spark, tmp_path):
     back = landing.read_landing(spark, base)
     assert max(r["count"] for r in back.groupBy("file_path").count().collect()) <= 50
     assert sorted(r["value"] for r in back.collect()) == sorted(f"line {i}" for i in range(1000))
+
+
+def test_parts_follow_files_and_not_tasks(spark, tmp_path):
+    base = str(tmp_path / "logs")
+    rows = spark.range(400).repartition(8).select(
+        F.concat(F.lit("c"), F.col("id") % 5).alias("client_id"), F.lit("app.log").alias("file_name"), F.col("id").cast("string").alias("line"),
+    )
+    landing.land_lines(rows, base)
+    assert landing.read_landing(spark, base).select("file_path").distinct().count() == 5
