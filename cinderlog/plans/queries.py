@@ -828,6 +828,7 @@ def repeated_delivery(spark: SparkSession, sf: str) -> DataFrame:
     jobs.run_log_stream(
         landing.stream_landing(spark, base, max_files_per_trigger=4), path, work_path(spark, "quarantine"), work_path(spark, "stream"),
         parser=F.col("parser"), arrival=F.col("landed_at"), trigger=None, repeats_within="1 day",
+        state_partitions=max(16, 2 * spark.sparkContext.defaultParallelism),
     ).awaitTermination()
     return log_index.read_index(spark, path).select("log_id", "level")
 

@@ -12,6 +12,7 @@ from cinderlog.operators.binding import bind, quarantine, valid_events
 from cinderlog.operators.bulk import sink_counters, split_oversize, with_documents
 from cinderlog.operators.enrich import document_id
 from cinderlog.schema import MAX_RECORD_BYTES
+from cinderlog.session import setting
 from cinderlog.sinks.bulk import Transport, send_bulk
 from cinderlog.sinks.index import write_batch_folder, write_index_batch
 from cinderlog.sinks.terms import update_terms
@@ -50,6 +51,7 @@ def run_log_stream(
     strict: bool = False,
     terms_path: str | None = None,
     repeats_within: str | None = None,
+    state_partitions: int | None = None,
     **options,
 ) -> StreamingQuery:
     """Bind a stream of lines; write valid events to the index and the rest to quarantine.
@@ -60,6 +62,8 @@ def run_log_stream(
     With `strict` the first invalid record stops the query before its batch is written.
     `terms_path` names a term index to keep up with the index. `repeats_within` is the time, by `arrival`, within which a
     record that comes again, as topics deliver at least once, is dropped; see `without_repeats`.
+    Its state is kept in `state_partitions` parts, by default the session's shuffle partitions; a checkpoint holds to the
+    number it began with. Each part commits files of its own in each batch, so that small batches want few parts.
     """
     bound = bind(lines, parser, arrival=arrival, **options)
     if repeats_within is not None:
@@ -72,6 +76,11 @@ def run_log_stream(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # the session of a stream with state does not plan adaptively, and would pass over hints to rebalance
+        with setting(batch.sparkSession, "spark.sql.adaptive.enabled", "true"):
+            write_all(batch, batch_id)
+
+    def write_all(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             rejected = quarantine(batch, *keep, seen_at=F.col("_seen_at"))
@@ -88,7 +97,9 @@ def run_log_stream(
         finally:
             batch.unpersist()
 
-    return started(counted.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), trigger)
+    spark, parts = lines.sparkSession, "spark.sql.shuffle.partitions"
+    with setting(spark, parts, str(state_partitions or spark.conf.get(parts))):
+        return started(counted.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), trigger)
 
 
 def without_repeats(bound: DataFrame, arrival: Column, within: str, value: str = "value") -> DataFrame:

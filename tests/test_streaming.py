@@ -217,6 +217,22 @@ def test_repeats_of_a_topic_are_dropped_and_the_state_is_bounded(spark, job):
         job.run(repeats_within="1 hour", arrival=None)
 
 
+def test_a_batch_of_a_stream_with_state_leaves_one_file_a_date(spark, job, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    _put(job.base, "a.json", [_record(i) for i in range(60)])
+    job.run(repeats_within="1 hour")
+    assert job.ids() == Counter(str(i) for i in range(60))
+    assert len(list((tmp_path / "index").rglob("*.parquet"))) == 3
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before
+
+
+def test_state_is_kept_in_the_parts_asked_for(spark, job):
+    _put(job.base, "a.json", [_record(i) for i in range(20)])
+    query = job.run(repeats_within="1 hour", state_partitions=3)
+    assert {s["numShufflePartitions"] for p in query.recentProgress for s in p["stateOperators"]} == {3}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8" and job.ids() == Counter(str(i) for i in range(20))
+
+
 def test_terms_keep_up_with_the_stream(spark, job, tmp_path):
     words = str(tmp_path / "terms")
     for n, name in enumerate("abc"):
