@@ -34,8 +34,9 @@ SPARSITY = 2e-4
 #: Words count by their beginnings too, of these lengths, and by whether a beginning comes once, twice or more.
 PREFIXES = (4, 5, 6, 7)
 REPEATS = 3
-#: Words whose features a task remembers.
+#: Words without features, words with some, and beginnings that a task remembers, of each at most so many.
 MEMORY = 300_000
+_ENDINGS = tuple(f" {k}".encode() for k in range(1, REPEATS + 1))
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -51,7 +52,8 @@ def _counted(text: str | None) -> Counter:
 
 def _repeats(prefix: str) -> list[int]:
     """The buckets of a beginning that comes at least once, twice, and so on."""
-    return [_bucket(f"{prefix} {k}") for k in range(1, REPEATS + 1)]
+    start = zlib.crc32(prefix.encode("utf-8", "surrogatepass"))
+    return [zlib.crc32(ending, start) % BUCKETS for ending in _ENDINGS]
 
 
 def buckets_of(text: str | None) -> list[int]:
@@ -67,6 +69,14 @@ def buckets_of(text: str | None) -> list[int]:
     return sorted(found)
 
 
+def _kept(memory: dict, key: str, value: tuple) -> tuple:
+    """Remember a value; a full memory begins anew."""
+    if len(memory) >= MEMORY:
+        memory.clear()
+    memory[key] = value
+    return value
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -136,27 +146,39 @@ class Chain:
     earlier: tuple[np.ndarray, ...]
     bias: np.ndarray
 
-    def _known(self, word: str) -> tuple[int | None, tuple[str, ...]]:
-        """The column of a word, and those of its beginnings that have one."""
-        starts = (word[:size] for size in PREFIXES if len(word) > size)
-        return self.columns.get(_bucket(word)), tuple(p for p in starts if any(b in self.columns for b in _repeats(p)))
+    def _repeated(self, prefix: str, memory: dict) -> tuple[tuple[int, int], ...]:
+        """The columns of a beginning that comes at least so often, as pairs of a number and a column."""
+        found = memory.get(prefix)
+        if found is None:
+            columns = ((k, self.columns.get(b)) for k, b in enumerate(_repeats(prefix), 1))
+            found = _kept(memory, prefix, tuple((k, c) for k, c in columns if c is not None))
+        return found
 
     def read(self, text: str | None, memory: dict) -> list[int]:
-        """The columns of a text, as `buckets_of` has them; few words have any, which `memory` knows."""
+        """The columns of a text, as `buckets_of` has them; most words have none, which `memory` knows."""
+        plain, known, beginnings = (memory.setdefault(part, kind()) for part, kind in (("plain", set), ("known", dict), ("beginnings", dict)))
+        counts = _counted(text)
         found, starts = set(), Counter()
-        for word, n in _counted(text).items():
-            known = memory.get(word)
-            if known is None:
-                if len(memory) >= MEMORY:
-                    memory.clear()
-                known = memory[word] = self._known(word)
-            column, prefixes = known
+        for word in set(counts) - plain:
+            own = known.get(word)
+            if own is None:
+                prefixes = tuple([p for size in PREFIXES if len(word) > size and self._repeated(p := word[:size], beginnings)])
+                own = self.columns.get(_bucket(word)), prefixes
+                if own == (None, ()):
+                    if len(plain) >= MEMORY:
+                        plain.clear()
+                    plain.add(word)
+                    continue
+                _kept(known, word, own)
+            column, prefixes = own
             if column is not None:
                 found.add(column)
             for prefix in prefixes:
-                starts[prefix] += n
+                starts[prefix] += counts[word]
         for prefix, n in starts.items():
-            found.update(self.columns[b] for b in _repeats(prefix)[:n] if b in self.columns)
+            for k, column in self._repeated(prefix, beginnings):
+                if k <= n:
+                    found.add(column)
         return sorted(found)
 
     def predict(self, texts: list[str | None], memory: dict | None = None) -> np.ndarray:

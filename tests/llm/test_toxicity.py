@@ -46,3 +46,17 @@ def test_edges_and_nothing_to_learn_from(spark, edges, nothing):
     assert toxicity.score(nothing, chain).count() == 0
     some = spark.createDataFrame([(1, 1, 0), (6, 0, 1), (9, 1, 0), (None, 1, 1)], none.schema)
     assert toxicity.score(edges, _chain(edges, some)).count() == 12
+
+
+def test_words_that_a_task_remembers_are_not_hashed_again(monkeypatch):
+    text = "Worthless worthless worthy, plain words and worthlessness"
+    chosen = toxicity.buckets_of("worthless worthy worthless")
+    chain = toxicity.Chain(("a",), {b: i for i, b in enumerate(chosen)}, np.zeros((1, len(chosen))), (np.zeros(0),), np.zeros(1))
+    memory: dict = {}
+    found = chain.read(text, memory)
+    assert found == list(range(len(chosen)))
+    monkeypatch.setattr(toxicity.zlib, "crc32", None)
+    assert chain.read(text, memory) == found
+    monkeypatch.undo()
+    monkeypatch.setattr(toxicity, "MEMORY", 1)
+    assert chain.read(text, {}) == found
