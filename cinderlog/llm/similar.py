@@ -5,12 +5,18 @@ most copies at little cost. No distance of fingerprints holds all pairs, though:
 dozen bits and more. The rest is found by prefixes: two sets whose Jaccard similarity is at least LEAST share a shingle
 among the first n - ceil(LEAST n) + 1 of each, n being the set's size and the order any one that holds for all sets.
 Documents therefore meet in a bucket for each shingle of that prefix, at first those next to each other by size, then
-those farther apart, and only while they are not joined already. Every candidate is verified on whole sets, so no pair
-is missed and none is taken on trust. Equal sets are one node, known by a 64-bit hash.
+those farther apart, and only while they are not joined already.
+
+One shared shingle is little, and the pairs that have one by chance grow with the square of the documents. Alike sets of
+about one size share nearly half of their prefixes, though, so the meetings of a pair are counted over all buckets and
+rounds, and only a pair with as many as alike sets have at least is a candidate. A pair whose count is too low in an early
+round may be one in a later; the last round has met all. Every candidate is verified on whole sets, so no pair is missed
+and none is taken on trust. Equal sets are one node, known by a 64-bit hash.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -36,12 +42,17 @@ COMMON = 50_000
 COMMON_SETS = 3
 #: Sets whose prefix a task has sent lately and does not send again.
 RECENT = 100_000
+#: Shingles of a prefix beyond those that hold one of every alike set, so that sets of unlike sizes must share several too.
+MORE = 2
 #: Bits of a sketch.
 WIDTH = 512
 #: How far apart in a bucket, in the order of sizes, sets meet in each round; the last round has no limit.
 ROUNDS = ((1, 1), (2, 8), (9, None))
 #: Sets of a bucket that one task holds; a larger bucket is cut into blocks of this size, which meet two by two.
 BLOCK = 8_000
+#: Rows of buckets that meet in one query, until that would take more than SLICES of them; what a query moves is gone with it.
+SLICE = 4_000_000
+SLICES = 8
 
 
 def shingles(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -57,10 +68,23 @@ def shingles(text: str | None, size: int = SIZE) -> np.ndarray:
     return np.unique(np.frombuffer(found, ">u8").astype(np.uint64))
 
 
+def extent(n: np.ndarray | int) -> np.ndarray:
+    """The length of the prefix of a set of n shingles."""
+    return np.minimum(n, n + LEAST[0] * -n // LEAST[1] + 1 + MORE)
+
+
+def needed(n: np.ndarray | int, m: np.ndarray | int) -> np.ndarray:
+    """How many shingles the prefixes of alike sets of n and m shingles share at least.
+
+    Of the set whose prefix ends first in the order, only shingles behind it can be shared without being in both prefixes.
+    """
+    both = -(-LEAST[0] * (n + m) // sum(LEAST))
+    return np.maximum(1, both - np.maximum(n - extent(n), m - extent(m)))
+
+
 def prefix(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The shingles by which a set is found: those not in `common` (sorted) come first, each part by hash."""
-    n = len(hashes)
-    k = n + LEAST[0] * -n // LEAST[1] + 1 if n else 0
+    k = extent(len(hashes))
     if not len(common):
         return hashes[:k]
     often = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
@@ -170,8 +194,9 @@ def dealt(rows: DataFrame, block: int) -> DataFrame:
 
 
 def meet(rows: DataFrame, nearest: int, farthest: int | None, block: int) -> DataFrame:
-    """Candidates (a, b): of `rows` (h, n, node, label, bits), each set with those that are `nearest` to `farthest` places
-    before it by size in its bucket, or block, if labels differ and neither sizes nor sketches rule the two out.
+    """(a, b, least, times): of `rows` (h, n, node, label, bits), each set with those that are `nearest` to `farthest` places
+    before it by size in its bucket, or block, if labels differ and neither sizes nor sketches rule the two out; how often
+    the two meet, and how often alike sets do.
 
     Two sets differ in no fewer shingles than their sketches in bits, so no similar pair is ruled out.
     """
@@ -188,7 +213,10 @@ def meet(rows: DataFrame, nearest: int, farthest: int | None, block: int) -> Dat
             keep &= ~across[i] | (own[i] != own[j])
             if keep.any():
                 x, y = node[i[keep]], node[j[keep]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)),
+                    pa.array(needed(n[i[keep]], n[j[keep]]).astype(np.int32)),
+                ], names=["a", "b", "least"])
             lag += 1
             i = i[i >= lag]
 
@@ -213,8 +241,21 @@ def meet(rows: DataFrame, nearest: int, farthest: int | None, block: int) -> Dat
 
     bucket = ["h", "low", "high"]
     return mapped(
-        dealt(rows, block).repartition(*bucket).sortWithinPartitions(*bucket, "n", "node"), task, "a bigint, b bigint"
-    ).distinct()
+        dealt(rows, block).repartition(*bucket).sortWithinPartitions(*bucket, "n", "node"), task, "a bigint, b bigint, least int"
+    ).groupBy("a", "b").agg(F.max("least").alias("least"), F.count("*").alias("times"))
+
+
+def met(shared: DataFrame, labels: DataFrame, bits: DataFrame, nearest: int, farthest: int | None, block: int) -> DataFrame:
+    """The table of what `meet` gives of the buckets `shared` (h, n, node) that hold sets of different labels."""
+    labelled = shared.join(labels, "node", "left").select("h", "n", "node", F.coalesce("label", "node").alias("label"))
+    open_buckets = freeze(
+        labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("h"),
+        "open-buckets",
+    )
+    left = freeze(labelled.join(open_buckets, "h", "left_semi"), "open")
+    found = freeze(meet(left.join(bits, "node"), nearest, farthest, block), "met")
+    discard(open_buckets, left)
+    return found
 
 
 def packed_texts(sets: DataFrame) -> DataFrame:
@@ -270,15 +311,17 @@ def components(sets: DataFrame, block: int = BLOCK) -> DataFrame:
     labels = freeze(connected_components(near, "a", "b"), "labels")
     shared = freeze(buckets(sets, common_shingles(sets)), "buckets")
     bits = freeze(sets.select("node", "bits").dropDuplicates(["node"]), "sketches")
+    slices, meetings = min(SLICES, 1 + shared.count() // SLICE), []
     for nearest, farthest in ROUNDS:
-        labelled = shared.join(labels, "node", "left").select("h", "n", "node", F.coalesce("label", "node").alias("label"))
-        open_buckets = labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("h")
-        left = freeze(labelled.join(freeze(open_buckets, "open-buckets"), "h", "left_semi"), "open")
-        new = freeze(meet(left.join(bits, "node"), nearest, farthest, block).join(tried, ["a", "b"], "left_anti"), "candidates")
+        for i in range(slices):
+            own = shared.where(F.pmod(F.col("h"), F.lit(slices)) == i)
+            meetings.append(met(own, labels, bits, nearest, farthest, block))
+        # a bucket that is closed or a pair that is joined by now stays so, and places in a bucket stay as they are
+        often = reduce(DataFrame.union, meetings).groupBy("a", "b").agg(F.max("least").alias("least"), F.sum("times").alias("times"))
+        new = freeze(often.where("times >= least").select("a", "b").join(tried, ["a", "b"], "left_anti"), "candidates")
         tried = tried.union(new)
         near = near.union(verified(new, sets))
         labels = freeze(connected_components(near, "a", "b"), "labels")
-        discard(left)
     return labels
 
 

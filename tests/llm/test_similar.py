@@ -82,3 +82,41 @@ def test_prefixes_of_alike_sets_meet():
             assert set(similar.prefix(a, common)) & set(similar.prefix(b, common))
             ones = similar.np.unpackbits(similar.np.frombuffer(similar.sketch(a), "u1") ^ similar.np.frombuffer(similar.sketch(b), "u1"))
             assert ones.sum() <= len(similar.np.setxor1d(a, b))
+
+
+def test_prefixes_of_alike_sets_share_as_many_as_are_needed():
+    pick = random.Random(7)
+    for n, less, more in itertools.product((1, 2, 3, 9, 20, 21, 80, 200), (0, 1, 2, 10, 40), (0, 1, 2, 10)):
+        base = pick.sample(range(4000), n + more)
+        a, b = (similar.np.array(sorted(x), similar.np.uint64) for x in (base[:n], base[min(less, n - 1):]))
+        for often in (0, 1000, 4000):
+            common = similar.np.array(sorted(pick.sample(range(4000), often)), similar.np.uint64)
+            met = len(set(similar.prefix(a, common)) & set(similar.prefix(b, common)))
+            assert not similar.alike(a, b) or met >= similar.needed(len(a), len(b)) >= 1
+
+
+def test_sets_that_share_little_are_no_candidates(spark, monkeypatch):
+    """Sketches rule out no large sets; texts of pairs that share a passage would move with each pair."""
+    pick, tried, verified = random.Random(11), [], similar.verified
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"{passage} {' '.join(f'w{i}x{pick.random()}' for _ in range(2000))}") for i in range(12)]
+    rows += [(12, rows[0][1] + " and more"), (13, " ".join(rows[1][1].split()[:1700]))]
+    monkeypatch.setattr(similar, "by_fingerprint", lambda sets: sets.sparkSession.createDataFrame([], "a bigint, b bigint"))
+    monkeypatch.setattr(similar, "verified", lambda pairs, sets: tried.append(pairs.count()) or verified(pairs, sets))
+    kept = similar.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == plain.kept_of_near_copies(rows) == list(range(12))
+    assert sum(tried) == 2
+
+
+def test_buckets_meet_in_slices(spark, monkeypatch):
+    """Pairs are counted over all slices and rounds."""
+    rows = _texts()
+    docs, met, sizes = spark.createDataFrame(rows, "doc_id bigint, text string"), similar.met, []
+    monkeypatch.setattr(similar, "SLICE", 100)
+    monkeypatch.setattr(similar, "SLICES", 3)
+    monkeypatch.setattr(similar, "met", lambda shared, *rest: sizes.append(shared.count()) or met(shared, *rest))
+    for rounds in (similar.ROUNDS, ((1, None),), ((1, 2), (3, None))):
+        sizes.clear()
+        monkeypatch.setattr(similar, "ROUNDS", rounds)
+        assert sorted(r.doc_id for r in similar.keep_one(docs).collect()) == plain.kept_of_near_copies(rows)
+        assert len(sizes) == 3 * len(rounds) and min(sizes) > 0 and max(sizes[:3]) < sum(sizes[:3]) / 2
